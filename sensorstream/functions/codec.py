@@ -24,6 +24,7 @@ def is_reading() -> Column:
 def decode(
     messages: DataFrame,
     *,
+    fields: Sequence[str] = tuple(READING.names),
     corrupt: bool = False,
     mode: str = "PERMISSIVE",
     source_tz: str | None = None,
@@ -31,25 +32,30 @@ def decode(
     """Parse each message once, before any window sees it.
 
     The message text stays available as ``raw`` and the log's own time as
-    ``log_time``; the reading's fields become columns, ``id`` as ``sensor_id``.
-    With the default options Catalyst parses only the fields a job uses.
+    ``log_time``; the reading's ``fields`` become columns, ``id`` as ``sensor_id``,
+    and ``timestamp`` gives ``event_time``. Jobs name only the fields they need.
     ``corrupt=True`` adds the parser's ``_corrupt_record``; ``mode="FAILFAST"``
     stops the job at the first message that is not a complete reading.
     """
-    schema, options = READING, {}
+    missing = {"id", "timestamp", "value"} - set(fields)
+    if missing:
+        raise ValueError(f"a reading needs {sorted(missing)}")
+    schema = T.StructType([f for f in READING.fields if f.name in fields])
+    options = {}
     if corrupt:
-        schema = T.StructType(READING.fields + [T.StructField(CORRUPT, T.StringType())])
-        options = {"columnNameOfCorruptRecord": CORRUPT}
+        schema = schema.add(CORRUPT, T.StringType())
+        options["columnNameOfCorruptRecord"] = CORRUPT
     if mode != "PERMISSIVE":
         options["mode"] = mode
-    envelope = [
-        F.col(c).alias({"value": "raw", "timestamp": "log_time"}.get(c, c))
-        for c in messages.columns
-    ]
-    parsed = messages.select(*envelope, F.from_json("value", schema, options).alias("r"))
-    fields = [F.col(f"r.{f}").alias("sensor_id" if f == "id" else f) for f in schema.names]
-    decoded = parsed.select(*[c for c in parsed.columns if c != "r"], *fields).withColumn(
-        "event_time", parse_event_time(F.col("timestamp"), source_tz)
+    renamed = {"value": "raw", "timestamp": "log_time"}
+    envelope = [F.col(c).alias(renamed.get(c, c)) for c in messages.columns]
+    names = ["sensor_id" if n == "id" else n for n in schema.names]
+    # As generators, both parses are evaluated once: Catalyst would copy plain
+    # expressions into every filter that it pushes below them.
+    reading = F.inline(F.array(F.from_json("value", schema, options)))
+    event_time = parse_event_time(F.col("timestamp"), source_tz)
+    decoded = messages.select(*envelope, reading.alias(*names)).select(
+        "*", F.explode(F.array(event_time)).alias("event_time")
     )
     if mode == "FAILFAST":
         incomplete = F.raise_error(F.concat(F.lit("not a complete reading: "), F.col("raw")))

@@ -32,10 +32,10 @@ def series_grid(
     kind = sensors.schema[start].dataType.simpleString()
     first = F.unix_micros(F.col(start).cast("timestamp"))
     last = F.unix_micros(F.col(end).cast("timestamp"))
+    block_starts = F.when(first <= last, F.sequence(first, last, F.lit(block_us)))
     blocks = (
         sensors.withColumn("last_us", last)
-        .where(first <= F.col("last_us"))
-        .withColumn("block_us", F.explode(F.sequence(first, F.col("last_us"), F.lit(block_us))))
+        .withColumn("block_us", F.explode(block_starts))
         .select(*kept, "last_us", "block_us")
         .repartition(*kept, "block_us")
     )

@@ -103,8 +103,9 @@ def _panes(df, keys, time, size, slide, measures) -> DataFrame:
             "first_start",
             floor_to(F.col("pane") + F.lit(pane_us - size_us + slide_us - 1), slide_us),
         )
-        .where(F.col("first_start") <= F.col("last_start"))
     )
+    if size_us < slide_us:  # some panes lie between windows
+        panes = panes.where(F.col("first_start") <= F.col("last_start"))
     # A window lives in the block that holds its start, so a pane near the start
     # of a block also goes to the block before.
     blocks = panes.withColumn(
@@ -112,7 +113,7 @@ def _panes(df, keys, time, size, slide, measures) -> DataFrame:
         F.explode(
             F.sequence(
                 floor_to(F.col("first_start"), block_us),
-                floor_to(F.col("last_start"), block_us),
+                floor_to(F.greatest("first_start", "last_start"), block_us),
                 F.lit(block_us),
             )
         ),

@@ -36,7 +36,8 @@ def overheat(
     clocks = {EVENT: F.col("event_time"), LOG: F.col("log_time"), CLOCK: F.current_timestamp()}
     if time not in clocks:
         raise ValueError(f"time must be one of {tuple(clocks)}")
-    readings = good_readings(decode(messages, source_tz=source_tz))
+    decoded = decode(messages, fields=("id", "timestamp", "value"), source_tz=source_tz)
+    readings = good_readings(decoded)
     timed = with_event_time(readings, clocks[time], delay if messages.isStreaming else None, "at")
     windows = overheat_stats(timed, time="at", **stats)
     return overheat_alerts(windows) if alerts_only else windows

@@ -57,10 +57,12 @@ def distinct_positions(documents: DataFrame) -> DataFrame:
 
 
 def create_collections(spark: SparkSession, store: str, database: str = DATABASE) -> None:
-    """Declare each collection as a catalog table over its folder in the store."""
+    """Create each collection, empty, and declare it as a catalog table over its folder."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in DOCUMENT.fields)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in COLLECTIONS:
+        empty = spark.createDataFrame([], T.StructType([*DOCUMENT.fields, T.StructField("batch_id", T.LongType())]))
+        empty.write.mode("append").partitionBy("batch_id").parquet(f"{store}/collection={name}")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}, batch_id BIGINT) "
             f"USING parquet PARTITIONED BY (batch_id) LOCATION '{store}/collection={name}'"
