@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorstream.functions.codec import CORRUPT, decode
 from sensorstream.operators.routing import collection_of
-from sensorstream.sources.collections import DOCUMENT, QUARANTINE
+from sensorstream.sources.collections import DOCUMENT, QUARANTINE, create_folders
 from sensorstream.streaming.runner import start_batches
 from sensorstream.streaming.sinks import batch_store
 
@@ -37,6 +37,7 @@ def start_archive(
     every: str | None = None,
 ) -> StreamingQuery:
     """Run the archive on a stream: one pass and one write for all collections."""
+    create_folders(messages.sparkSession, store)
     return start_batches(
         documents(messages),
         batch_store(store, ["collection"]),

@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -67,6 +70,22 @@ def require_utc(spark: SparkSession) -> None:
         )
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block; a stream keeps those of its start."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it in spark.checkpoint.dir.
 

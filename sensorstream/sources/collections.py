@@ -7,7 +7,6 @@ streaming writer idempotent; the collection folder is what a scan prunes by.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorstream.schemas import COLLECTIONS, DATABASE, READING
@@ -34,16 +33,23 @@ STORED = T.StructType(
 )
 
 
+def create_folders(spark: SparkSession, store: str) -> None:
+    """Create the folder of each collection, so that empty ones can be scanned."""
+    empty = spark.createDataFrame([], STORED).drop("collection")
+    for name in (*COLLECTIONS, QUARANTINE):
+        empty.write.mode("append").partitionBy("batch_id").parquet(f"{store}/collection={name}")
+
+
 def find(
     spark: SparkSession, store: str, collection: str, where: Column | None = None
 ) -> DataFrame:
-    """All documents of a collection, or those that satisfy ``where``."""
-    documents = (
-        spark.read.schema(STORED)
-        .parquet(store)
-        .where(F.col("collection") == F.lit(collection))
-        .drop("collection", "batch_id")
-    )
+    """All documents of a collection, or those that satisfy ``where``.
+
+    Only the collection's own folder is listed and read.
+    """
+    schema = T.StructType([f for f in STORED.fields if f.name != "collection"])
+    documents = spark.read.schema(schema).parquet(f"{store}/collection={collection}")
+    documents = documents.drop("batch_id")
     return documents if where is None else documents.where(where)
 
 
@@ -58,11 +64,10 @@ def distinct_positions(documents: DataFrame) -> DataFrame:
 
 def create_collections(spark: SparkSession, store: str, database: str = DATABASE) -> None:
     """Create each collection, empty, and declare it as a catalog table over its folder."""
+    create_folders(spark, store)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in DOCUMENT.fields)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in COLLECTIONS:
-        empty = spark.createDataFrame([], T.StructType([*DOCUMENT.fields, T.StructField("batch_id", T.LongType())]))
-        empty.write.mode("append").partitionBy("batch_id").parquet(f"{store}/collection={name}")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}, batch_id BIGINT) "
             f"USING parquet PARTITIONED BY (batch_id) LOCATION '{store}/collection={name}'"

@@ -26,8 +26,13 @@ def read_readings(spark: SparkSession, path: str, *, lines: bool = False) -> Dat
 
 
 def write_readings(readings: DataFrame, path: str, *, mode: str = "error") -> None:
-    """Readings as JSON lines in one folder per sensor (``id=<n>``)."""
-    readings.select(*READING.names).write.mode(mode).partitionBy("id").json(path)
+    """Readings as JSON lines in one folder per sensor (``id=<n>``).
+
+    Ranges of (sensor, time) keep the number of files near sensors plus tasks,
+    and still let several tasks write one hot sensor.
+    """
+    ranged = readings.select(*READING.names).repartitionByRange("id", "timestamp")
+    ranged.sortWithinPartitions("id", "timestamp").write.mode(mode).partitionBy("id").json(path)
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:

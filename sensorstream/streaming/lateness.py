@@ -2,35 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from sensorstream.session import settings
+
 ALLOW_MULTIPLE = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
-@contextmanager
-def strict_lateness(spark: SparkSession, strict: bool = True) -> Iterator[None]:
+def strict_lateness(spark: SparkSession, strict: bool = True) -> AbstractContextManager[None]:
     """Start a query inside this block to drop late rows by the current watermark.
 
     By default Spark drops rows by the previous batch's watermark, so windows that
     are about to close may still take a few late rows. Strict queries cannot chain
     stateful operators. The choice is recorded in the checkpoint.
     """
-    if not strict:
-        yield
-        return
-    before = spark.conf.get(ALLOW_MULTIPLE, None)
-    spark.conf.set(ALLOW_MULTIPLE, "false")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(ALLOW_MULTIPLE)
-        else:
-            spark.conf.set(ALLOW_MULTIPLE, before)
+    return settings(spark, {ALLOW_MULTIPLE: "false"} if strict else {})
 
 
 def late_rows(query: StreamingQuery) -> list[int]:

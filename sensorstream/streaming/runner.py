@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from sensorstream.session import ROCKSDB
+from sensorstream.session import ROCKSDB, settings
 from sensorstream.streaming.lateness import strict_lateness
 from sensorstream.streaming.sinks import BatchWriter
 
@@ -25,10 +25,11 @@ def _writer(
 
 def _start(writer: DataStreamWriter, df: DataFrame, strict: bool) -> StreamingQuery:
     spark = df.sparkSession
-    if spark.conf.get(STATE_PROVIDER, None) is None:
-        spark.conf.set(STATE_PROVIDER, ROCKSDB)
-    with strict_lateness(spark, strict):
-        return writer.start()
+    # Window state on local disk instead of executor heap, unless the session chose.
+    unset = spark.conf.get(STATE_PROVIDER, None) is None
+    with settings(spark, {STATE_PROVIDER: ROCKSDB} if unset else {}):
+        with strict_lateness(spark, strict):
+            return writer.start()
 
 
 def start_batches(

@@ -10,6 +10,7 @@ from sensorstream.session import new_folder, shared_folder, shuffle_partitions_f
 from sensorstream.sources import kafka
 from sensorstream.sources.collections import (
     create_collections,
+    create_folders,
     distinct_positions,
     find,
     refresh_collections,
@@ -136,6 +137,8 @@ def test_documents_and_collections(spark, messages, folder):
     good = '{"id":2,"timestamp":"2010-01-02 12:25:00","value":95}'
     texts = [good, '{"id":3}', "nope", None]
     batch = documents(messages(texts).unionByName(messages([good], "other")))
+    create_folders(spark, store)
+    assert find(spark, store, "humidity").isEmpty()
     write = batch_store(store, ["collection"])
     write(batch, 0)
     write(batch, 0)
