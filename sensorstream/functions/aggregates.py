@@ -34,6 +34,12 @@ def count_rows(name: str = "n") -> Measure:
     )
 
 
+def count_values(value: str, name: str = "n") -> Measure:
+    """Rows that carry a ``value``; shares its state with the mean of that column."""
+    state = f"{value}_count"
+    return Measure(name, {state: F.count(value)}, {state: F.sum(state)}, F.col(state))
+
+
 def rounded_mean(
     value: str, name: str = "mean", digits: int = MEAN_DIGITS, decimals: int | None = None
 ) -> Measure:
@@ -43,22 +49,21 @@ def rounded_mean(
     sum is then kept as a whole number, so that the result depends neither on the
     order of rows nor on the number of tasks.
     """
-    total, count = f"{name}_sum", f"{name}_count"
-    merge = {total: F.sum(total), count: F.sum(count)}
-    number = F.col(value)
+    number, count = F.col(value), f"{value}_count"
     if decimals is None:
-        fold = {total: F.sum(number), count: F.count(number)}
-        return Measure(name, fold, merge, F.round(F.col(total) / F.col(count), digits))
-    if decimals > digits:
+        total = f"{value}_sum"
+        summand = number
+        mean = F.round(F.col(total) / F.col(count), digits)
+    elif decimals > digits:
         raise ValueError("values have more decimals than the mean keeps")
-    fold = {
-        total: F.sum(F.round(number * F.lit(10**decimals)).cast("bigint")),
-        count: F.count(number),
-    }
-    doubled = f"{total} * {2 * 10 ** (digits - decimals)}L"
-    half = f"cast(sign({total}) as bigint) * {count}"
-    exact = F.expr(f"(({doubled} + {half}) div (2 * {count})) / {10**digits}.0D")
-    return Measure(name, fold, merge, exact)
+    else:
+        total = f"{value}_sum_{decimals}"
+        summand = F.round(number * F.lit(10**decimals)).cast("bigint")
+        doubled = f"{total} * {2 * 10 ** (digits - decimals)}L"
+        half = f"cast(sign({total}) as bigint) * {count}"
+        mean = F.expr(f"(({doubled} + {half}) div (2 * {count})) / {10**digits}.0D")
+    fold = {total: F.sum(summand), count: F.count(value)}
+    return Measure(name, fold, {total: F.sum(total), count: F.sum(count)}, mean)
 
 
 def all_above(value: str, threshold: float, name: str = "constant") -> Measure:

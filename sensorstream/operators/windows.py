@@ -25,6 +25,7 @@ from sensorstream.functions.aggregates import (
     Measure,
     all_above,
     count_rows,
+    count_values,
     edge_reading,
     rounded_mean,
 )
@@ -67,11 +68,14 @@ def sliding_windows(
 
 
 def _fold(measures: Sequence[Measure]) -> list[Column]:
-    return [agg.alias(state) for m in measures for state, agg in m.fold.items()]
+    """The states of all measures; measures may share one of the same name."""
+    states = {state: agg for m in measures for state, agg in m.fold.items()}
+    return [agg.alias(state) for state, agg in states.items()]
 
 
 def _merge(measures: Sequence[Measure]) -> list[Column]:
-    return [agg.alias(state) for m in measures for state, agg in m.merge.items()]
+    states = {state: agg for m in measures for state, agg in m.merge.items()}
+    return [agg.alias(state) for state, agg in states.items()]
 
 
 def _direct(df, keys, time, size, slide, measures) -> DataFrame:
@@ -91,45 +95,38 @@ def _panes(df, keys, time, size, slide, measures) -> DataFrame:
     def floor_to(column: Column, unit: int) -> Column:
         return column - F.pmod(column, F.lit(unit))
 
+    # Starts of the first and the last window that hold a pane. They are computed
+    # on both sides of the exchange rather than shuffled.
+    pane = F.col("pane")
+    last_start = floor_to(pane, slide_us)
+    first_start = floor_to(pane + F.lit(pane_us - size_us + slide_us - 1), slide_us)
+    if pane_us == slide_us:
+        last_start, first_start = pane, pane + F.lit(slide_us - size_us)
+
     instant = F.unix_micros(F.col(time).cast("timestamp"))
     panes = (
         df.where(F.col(time).isNotNull())
         .withColumn("pane", floor_to(instant, pane_us))
         .groupBy(*keys, "pane")
         .agg(*_fold(measures))
-        # Starts of the first and the last window that hold this pane.
-        .withColumn("last_start", floor_to(F.col("pane"), slide_us))
-        .withColumn(
-            "first_start",
-            floor_to(F.col("pane") + F.lit(pane_us - size_us + slide_us - 1), slide_us),
-        )
     )
+    last_block = floor_to(last_start, block_us)
     if size_us < slide_us:  # some panes lie between windows
-        panes = panes.where(F.col("first_start") <= F.col("last_start"))
+        panes = panes.where(first_start <= last_start)
+        last_block = floor_to(F.greatest(first_start, last_start), block_us)
     # A window lives in the block that holds its start, so a pane near the start
     # of a block also goes to the block before.
-    blocks = panes.withColumn(
-        "block",
-        F.explode(
-            F.sequence(
-                floor_to(F.col("first_start"), block_us),
-                floor_to(F.greatest("first_start", "last_start"), block_us),
-                F.lit(block_us),
-            )
-        ),
-    ).repartition(*keys, "block")
+    own_blocks = F.sequence(floor_to(first_start, block_us), last_block, F.lit(block_us))
+    blocks = panes.withColumn("block", F.explode(own_blocks)).repartition(*keys, "block")
     # Grouping by (keys, block, start) needs no exchange beyond the one by (keys, block).
+    block = F.col("block")
+    own_starts = F.sequence(
+        F.greatest(first_start, block),
+        F.least(last_start, block + F.lit(block_us - slide_us)),
+        F.lit(slide_us),
+    )
     windows = (
-        blocks.withColumn(
-            "start",
-            F.explode(
-                F.sequence(
-                    F.greatest("first_start", "block"),
-                    F.least(F.col("last_start"), F.col("block") + F.lit(block_us - slide_us)),
-                    F.lit(slide_us),
-                )
-            ),
-        )
+        blocks.withColumn("start", F.explode(own_starts))
         .groupBy(*keys, "block", "start")
         .agg(*_merge(measures))
     )
@@ -171,7 +168,7 @@ def overheat_stats(
         all_above(value, constant_threshold, "overheat_constant"),
         edge_reading(time, "first_ts", last=False, order=arrival),
         edge_reading(time, "last_ts", last=True, order=arrival),
-        count_rows("n"),
+        count_values(value, "n"),
     ]
     windows = sliding_windows(complete, [key], time, size, slide, measures, plan=plan)
     mean = F.col("mean_temp")

@@ -9,7 +9,11 @@ from sensorstream.session import ROCKSDB, settings
 from sensorstream.streaming.lateness import strict_lateness
 from sensorstream.streaming.sinks import BatchWriter
 
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Window state on local disk instead of executor heap; commits upload changes only.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 FILE_FORMATS = ("csv", "json", "parquet")
 
 
@@ -25,9 +29,8 @@ def _writer(
 
 def _start(writer: DataStreamWriter, df: DataFrame, strict: bool) -> StreamingQuery:
     spark = df.sparkSession
-    # Window state on local disk instead of executor heap, unless the session chose.
-    unset = spark.conf.get(STATE_PROVIDER, None) is None
-    with settings(spark, {STATE_PROVIDER: ROCKSDB} if unset else {}):
+    unset = {k: v for k, v in STATE_SETTINGS.items() if spark.conf.get(k, None) is None}
+    with settings(spark, unset):
         with strict_lateness(spark, strict):
             return writer.start()
 
