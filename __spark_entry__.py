@@ -24,7 +24,7 @@ from sensorstream.functions.eventtime import (  # noqa: E402
     parse_event_time,
     with_event_time,
 )
-from sensorstream.functions.keys import position_key  # noqa: E402
+from sensorstream.functions.keys import log_place, position_key  # noqa: E402
 from sensorstream.operators.quality import good_readings, quarantined  # noqa: E402
 from sensorstream.operators.routing import collection_of, topic_of  # noqa: E402
 from sensorstream.operators.series import series_grid  # noqa: E402
@@ -171,6 +171,18 @@ def q_first_last_arrival(spark, sf_dir):
     )
 
 
+def q_overheat_arrival(spark, sf_dir):
+    """Heat statistics with the first and last reading in order of arrival."""
+    place = log_place(F.pmod("event_id", F.lit(4)), F.col("event_id"))
+    readings = _events(spark, sf_dir).select(
+        F.col("user_id").alias("sensor_id"),
+        F.col("ts").alias("event_time"),
+        "value",
+        place.alias("place"),
+    )
+    return overheat_stats(readings, arrival="place", **WINDOW, **EXACT)
+
+
 def q_proc_time_window(spark, sf_dir):
     delay = F.make_dt_interval(secs=F.pmod("event_id", F.lit(7)))
     arrived = _events(spark, sf_dir).select(
@@ -325,7 +337,7 @@ def q_stream_alerts(spark, sf_dir):
     start_overheat(
         messages, path, name="alerts", checkpoint=new_folder(spark, "checkpoint"), **job
     ).awaitTermination()
-    schema = overheat(read_file_log(spark, log), **job).schema
+    schema = overheat(messages, **job).schema
     return _plain_bounds(read_batches(spark, path, schema).drop("batch_id"))
 
 
@@ -343,7 +355,7 @@ def q_stream_clock_window(spark, sf_dir):
         time=CLOCK,
         delay="0 seconds",
     ).awaitTermination()
-    schema = overheat(read_file_log(spark, log)).schema
+    schema = overheat(messages).schema
     keys = ["sensor_id", "window_start", "window_end"]
     windows = latest_revisions(read_batches(spark, path, schema), keys)
     return windows.groupBy("sensor_id").agg(F.sum("n").alias("n"))
@@ -435,17 +447,26 @@ def entry(spark: SparkSession) -> DataFrame:
 
 # --- oracles ----------------------------------------------------------------
 
+_FIRST, _LAST = "min(moment)", "max(moment)"
+_PLACE = "{'p': event_id % 4, 'o': event_id}"
+
 _STATS = """
   ((20 * sum(cast(round(value * 100) as bigint)) + count(*)) // (2 * count(*)))
     / cast(1000 as double) AS mean_temp,
   bool_and(value > 89.0) AS overheat_constant,
-  strftime(min({time}), '%Y-%m-%d %H:%M:%S') AS first_ts,
-  strftime(max({time}), '%Y-%m-%d %H:%M:%S') AS last_ts,
+  strftime({first}, '%Y-%m-%d %H:%M:%S') AS first_ts,
+  strftime({last}, '%Y-%m-%d %H:%M:%S') AS last_ts,
   count(*) AS n"""
 
 
 def _windows_sql(
-    *, time: str = "ts", where: str = "true", key_type: str = "bigint", having: str = "true"
+    *,
+    time: str = "ts",
+    where: str = "true",
+    key_type: str = "bigint",
+    having: str = "true",
+    first: str = _FIRST,
+    last: str = _LAST,
 ) -> str:
     """All 10 h / 1 h windows of the events, each row spread to the ten it is in."""
     return f"""
@@ -457,7 +478,7 @@ WITH readings AS (
   FROM readings, generate_series(0, 9) g(k)
 ), stats AS (
   SELECT cast(user_id AS {key_type}) AS sensor_id, ws AS window_start,
-    ws + interval '10 hours' AS window_end, {_STATS.format(time="moment")}
+    ws + interval '10 hours' AS window_end, {_STATS.format(first=first, last=last)}
   FROM spread WHERE moment < ws + interval '10 hours' GROUP BY user_id, ws
 )
 SELECT *, mean_temp > 90.0 OR overheat_constant AS hot FROM stats WHERE {having}"""
@@ -516,6 +537,9 @@ SELECT user_id AS sensor_id, ws AS window_start, ws + interval '10 hours' AS win
   strftime(arg_min(ts, place), '%Y-%m-%d %H:%M:%S') AS first_ts,
   strftime(arg_max(ts, place), '%Y-%m-%d %H:%M:%S') AS last_ts
 FROM spread WHERE ts < ws + interval '10 hours' GROUP BY user_id, ws""",
+        "overheat_arrival": _windows_sql(
+            first=f"arg_min(moment, {_PLACE})", last=f"arg_max(moment, {_PLACE})"
+        ),
         "proc_time_window": _windows_sql(time="ts + (event_id % 7) * interval '1 second'"),
         "reading_decode": f"""
 SELECT event_id, cast(user_id AS integer) AS sensor_id, event_type AS sensor_type,

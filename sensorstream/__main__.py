@@ -52,6 +52,9 @@ def parser() -> argparse.ArgumentParser:
     heat.add_argument("--time", choices=[EVENT, LOG, CLOCK], default=EVENT)
     heat.add_argument("--mode", choices=["append", "update"], default="append")
     heat.add_argument("--alerts-only", action="store_true")
+    heat.add_argument(
+        "--arrival-order", action="store_true", help="first and last reading as the log has them"
+    )
     heat.add_argument("--strict", action="store_true", help="drop late rows at once")
 
     store = job("archive", "messages into their collections")
@@ -99,6 +102,8 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def _overheat(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     messages = _messages(spark, args)
     options = {"time": args.time, "alerts_only": args.alerts_only}
+    if args.arrival_order:
+        options["arrival"] = ("partition", "offset")
     if not args.output:
         return start_console(
             overheat(messages, **options), name="overheat", mode=args.mode, every=args.every

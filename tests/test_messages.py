@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sensorstream.functions.codec import CORRUPT, decode, encode
 from sensorstream.functions.eventtime import parse_event_time
-from sensorstream.functions.keys import log_partition, position_key
+from sensorstream.functions.keys import log_partition, log_place, position_key
 from sensorstream.operators.quality import good_readings, quarantined
 from sensorstream.operators.routing import by_topic, collection_of, topic_of
 from sensorstream.plans.publish import messages_of
@@ -125,3 +125,17 @@ def test_equal_keys_share_a_partition(spark):
     placed = frame.select("key", log_partition(F.col("key"), 8).alias("p")).distinct()
     assert placed.count() == 50
     assert {r.p for r in placed.collect()} <= set(range(8))
+
+
+def test_log_place_orders_like_the_pair(spark):
+    pairs = [(0, 5), (0, 2**43 - 1), (1, 0), (7, 3), (2**20 - 1, 2**43 - 1)]
+    frame = spark.createDataFrame(pairs, "p int, o long")
+    places = [r.x for r in frame.select(log_place(F.col("p"), F.col("o")).alias("x")).collect()]
+    assert places == sorted(set(places)) and places[0] == 5 and places[-1] == 2**63 - 1
+
+
+@pytest.mark.parametrize("pair", [(2**20, 0), (0, 2**43), (-1, 0), (0, -1)])
+def test_log_place_refuses_what_does_not_fit(spark, pair):
+    frame = spark.createDataFrame([pair], "p int, o long")
+    with pytest.raises((PySparkException, Py4JError), match="too large"):
+        frame.select(log_place(F.col("p"), F.col("o"))).collect()

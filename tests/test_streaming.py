@@ -244,6 +244,20 @@ def test_result_files(spark, folder, log, file_format):
     assert len(parts) >= closed.count() // 20
 
 
+def test_arrival_order_in_a_stream(spark, folder):
+    """First and last reading by log offset, not by time."""
+    log, out = folder("log"), folder("out")
+    append(spark, log, [(2, s, 50) for s in (3, 1, 5, 2)], 0)
+    messages = read_file_log(spark, log, streaming=True)
+    start_overheat(
+        messages, out, name="arrival", checkpoint=folder("cp"), mode="update",
+        arrival=("partition", "offset"),
+    ).awaitTermination(120)
+    rows = {r.window_start: r for r in latest_revisions(stats_of(spark, out, log), KEYS).collect()}
+    row = rows[ORIGIN]
+    assert (row.first_ts[-2:], row.last_ts[-2:], row.n) == ("03", "02", 4)
+
+
 def test_unknown_file_format(spark, log):
     with pytest.raises(ValueError):
         start_files(read_file_log(spark, log, streaming=True), "x", name="x", checkpoint="y", file_format="xml")
