@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
     heat.add_argument("--output", help="folder of the result table; console without it")
     heat.add_argument("--time", choices=[EVENT, LOG, CLOCK], default=EVENT)
     heat.add_argument("--mode", choices=["append", "update"], default="append")
+    heat.add_argument("--files-per-batch", type=int)
     heat.add_argument("--alerts-only", action="store_true")
     heat.add_argument(
         "--arrival-order", action="store_true", help="first and last reading as the log has them"
@@ -116,6 +117,7 @@ def _overheat(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         mode=args.mode,
         every=args.every,
         strict=args.strict,
+        files_per_batch=args.files_per_batch,
         **options,
     )
 

@@ -52,6 +52,7 @@ def start_overheat(
     mode: str = "append",
     every: str | None = None,
     strict: bool = False,
+    files_per_batch: int | None = None,
     **job,
 ) -> StreamingQuery:
     """Run :func:`overheat` on a stream into a table of results.
@@ -61,7 +62,7 @@ def start_overheat(
     """
     return start_batches(
         overheat(messages, **job),
-        batch_store(path),
+        batch_store(path, files_per_batch=files_per_batch),
         name=name,
         checkpoint=checkpoint,
         mode=mode,

@@ -11,14 +11,21 @@ from pyspark.sql import types as T
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def batch_store(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
+def batch_store(
+    path: str, partition_by: Sequence[str] = (), files_per_batch: int | None = None
+) -> BatchWriter:
     """Writer for ``foreachBatch``: batch n owns the folders ``batch_id=n``.
 
     A replayed batch replaces exactly those folders. That holds while the
-    checkpoint fixes the batch boundaries.
+    checkpoint fixes the batch boundaries. Each task of the stream writes its own
+    file unless ``files_per_batch`` spreads the rows over that many tasks, which
+    suits frequent small batches such as alerts.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if files_per_batch is not None:
+            # A shuffle, not coalesce: that would also shrink the stage that keeps state.
+            batch = batch.repartition(files_per_batch)
         (
             batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")

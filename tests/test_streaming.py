@@ -222,10 +222,13 @@ def test_alert_table(spark, folder, late_log):
     out = folder("alerts")
     messages = read_file_log(spark, late_log, streaming=True)
     start_overheat(
-        messages, out, name="alerts", checkpoint=folder("cp"), alerts_only=True
+        messages, out, name="alerts", checkpoint=folder("cp"), alerts_only=True, files_per_batch=1
     ).awaitTermination(120)
     rows = stats_of(spark, out, late_log).collect()
     assert rows and all(r.hot for r in rows)
+    batches = [d for d in os.listdir(out) if d.startswith("batch_id=")]
+    for batch in batches:
+        assert len([f for f in os.listdir(f"{out}/{batch}") if f.endswith(".parquet")]) == 1
 
 
 @pytest.mark.parametrize("file_format", ["csv", "json", "parquet"])
