@@ -35,12 +35,13 @@ def start_archive(
     checkpoint: str,
     name: str = "archive",
     every: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Run the archive on a stream: one pass and one write for all collections."""
     create_folders(messages.sparkSession, store)
     return start_batches(
         documents(messages),
-        batch_store(store, ["collection"]),
+        batch_store(store, ["collection"], files_per_batch),
         name=name,
         checkpoint=checkpoint,
         every=every,

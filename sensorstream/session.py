@@ -12,7 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Small, because window rows multiply by size/slide behind the exchange.
+TARGET_PARTITION_BYTES = 32 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 # Local scratch folder of this process, used only where the session names none.
@@ -20,7 +21,7 @@ _local_scratch: str | None = None
 
 
 def shuffle_partitions_for(shuffle_bytes: int, cores: int) -> int:
-    """Reduce tasks that keep a partition near 128 MB, three waves of cores at least."""
+    """Reduce tasks that keep a partition near 32 MB, three waves of cores at least."""
     wanted = -(-shuffle_bytes // TARGET_PARTITION_BYTES)
     return max(1, min(max(wanted, 3 * cores), MAX_SHUFFLE_PARTITIONS))
 
@@ -41,7 +42,7 @@ def session_builder(
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", TARGET_PARTITION_BYTES)
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")

@@ -31,7 +31,10 @@ def write_readings(readings: DataFrame, path: str, *, mode: str = "error") -> No
     Ranges of (sensor, time) keep the number of files near sensors plus tasks,
     and still let several tasks write one hot sensor.
     """
-    ranged = readings.select(*READING.names).repartitionByRange("id", "timestamp")
+    # The work is in opening files, not in bytes, so adaptive merging of small
+    # partitions would starve it: a fixed number of ranges is not merged.
+    ranges = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = readings.select(*READING.names).repartitionByRange(ranges, "id", "timestamp")
     ranged.sortWithinPartitions("id", "timestamp").write.mode(mode).partitionBy("id").json(path)
 
 

@@ -173,4 +173,5 @@ def test_shared_folder(spark):
 
 def test_shuffle_sizing():
     assert shuffle_partitions_for(0, 8) == 24
-    assert shuffle_partitions_for(10 * 2**40, 4000) == 81_920
+    assert shuffle_partitions_for(2 * 2**40, 4000) == 65_536
+    assert shuffle_partitions_for(100 * 2**40, 4000) == 100_000
