@@ -41,7 +41,7 @@ def decode(
     if missing:
         raise ValueError(f"a reading needs {sorted(missing)}")
     schema = T.StructType([f for f in READING.fields if f.name in fields])
-    options = {}
+    options = {"allowSingleQuotes": "false"}  # not JSON, though Spark would take it
     if corrupt:
         schema = schema.add(CORRUPT, T.StringType())
         options["columnNameOfCorruptRecord"] = CORRUPT

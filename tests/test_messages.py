@@ -55,6 +55,22 @@ def test_quarantine_split(messages, corrupt):
     }
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "{'id':3,'timestamp':'2010-01-02 12:25:00','value':50}",
+        '[{"id":3}]',
+        '{"id":3,"timestamp":"2010-01-02 12:25:00","value":true}',
+        '{"id":99999999999,"timestamp":"2010-01-02 12:25:00","value":50}',
+        "",
+    ],
+)
+def test_other_texts_are_set_aside(messages, text):
+    decoded = decode(messages([text]))
+    assert good_readings(decoded).isEmpty()
+    assert [r.raw for r in quarantined(decoded).collect()] == [text]
+
+
 @pytest.mark.parametrize("bad", [*MIXED[1:], '{"id":1,"timestamp":"soon","value":1}'])
 def test_failfast_stops(messages, bad):
     assert decode(messages(MIXED[:1]), mode="FAILFAST").collect()[0].sensor_id == 3
