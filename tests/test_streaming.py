@@ -247,6 +247,16 @@ def test_result_files(spark, folder, log, file_format):
     assert len(parts) >= closed.count() // 20
 
 
+def test_batches_are_limited_by_bytes_and_files(spark, folder, log):
+    for limit in ({"max_bytes_per_trigger": 1}, {"max_files_per_trigger": 1}):
+        messages = read_file_log(spark, log, streaming=True, **limit)
+        seen = []
+        start_batches(
+            messages, lambda batch, n: seen.append(batch.count()), name="limited", checkpoint=folder("cp")
+        ).awaitTermination(120)
+        assert seen == [80, 80, 80]
+
+
 def test_arrival_order_in_a_stream(spark, folder):
     """First and last reading by log offset, not by time."""
     log, out = folder("log"), folder("out")

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sensorstream.functions.aggregates import rounded_mean
+from sensorstream.functions.aggregates import Measure, count_rows, rounded_mean
 from sensorstream.functions.eventtime import event_time_from_millis, with_event_time
 from sensorstream.functions.intervals import micros
 from sensorstream.operators.windows import (
@@ -236,6 +236,25 @@ def test_zoneless_times_keep_their_type(spark):
     assert starts == [datetime(1969, 12, 31, 23, 59, 49) + timedelta(seconds=i) for i in range(10)]
 
 
+@pytest.mark.parametrize("plan", PLANS)
+def test_own_window_function(readings, plan):
+    """A caller's own measure: the spread of values, next to a built-in one."""
+    spread = Measure(
+        "spread",
+        {"low": F.min("value"), "high": F.max("value")},
+        {"low": F.min("low"), "high": F.max("high")},
+        F.col("high") - F.col("low"),
+    )
+    rows = readings([(1, 0, 50), (1, 4, 80), (1, 12, 60)])
+    windows = sliding_windows(
+        rows, ["sensor_id"], "event_time", "10 seconds", "1 second", [spread, count_rows()], plan=plan
+    )
+    got = offsets(windows.collect())
+    assert (got[0].spread, got[0].n) == (30.0, 2)
+    assert (got[4].spread, got[4].n) == (20.0, 2)
+    assert (got[5].spread, got[5].n) == (0.0, 1)
+
+
 def test_pane_plan_is_for_batches(spark):
     stream = spark.readStream.format("rate").load().selectExpr(
         "1 AS sensor_id", "timestamp AS event_time", "1D AS value"
