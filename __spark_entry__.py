@@ -25,7 +25,7 @@ from sensorstream.functions.eventtime import (  # noqa: E402
     with_event_time,
 )
 from sensorstream.functions.keys import log_place, position_key  # noqa: E402
-from sensorstream.operators.quality import good_readings, quarantined  # noqa: E402
+from sensorstream.operators.quality import good_readings, missing_fields  # noqa: E402
 from sensorstream.operators.routing import collection_of, topic_of  # noqa: E402
 from sensorstream.operators.series import series_grid  # noqa: E402
 from sensorstream.operators.windows import (  # noqa: E402
@@ -37,6 +37,7 @@ from sensorstream.operators.windows import (  # noqa: E402
 from sensorstream.plans.archive import start_archive  # noqa: E402
 from sensorstream.plans.overheat import CLOCK, overheat, start_overheat  # noqa: E402
 from sensorstream.plans.publish import messages_of, publish_to_files  # noqa: E402
+from sensorstream.plans.quarantine import QUARANTINED, start_quarantine  # noqa: E402
 from sensorstream.plans.recompute import recompute  # noqa: E402
 from sensorstream.schemas import TIMESTAMP_FORMAT  # noqa: E402
 from sensorstream.session import new_folder, use_utc  # noqa: E402
@@ -45,6 +46,8 @@ from sensorstream.sources.files import (  # noqa: E402
     read_file_log,
     read_locations,
     read_readings,
+    with_log_position,
+    write_file_log,
     write_locations,
     write_readings,
 )
@@ -223,7 +226,7 @@ def q_reading_encode(spark, sf_dir):
     return messages_of(_readings(spark, sf_dir)).select("event_id", "key", "value")
 
 
-def q_quarantine_split(spark, sf_dir):
+def _broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events lose their value, signups carry it as text, purchases are cut off."""
     text = F.concat(F.lit('{"id":'), F.col("user_id").cast("string"), F.lit(',"timestamp":"'))
     stamp = F.date_format("ts", TIMESTAMP_FORMAT)
@@ -235,9 +238,18 @@ def q_quarantine_split(spark, sf_dir):
         .when(kind == "purchase", F.lit("nope"))
         .otherwise(F.concat(text, stamp, F.lit('","value":'), value, F.lit("}")))
     )
-    decoded = decode(_events(spark, sf_dir).select("event_type", message.alias("value")))
-    good = good_readings(decoded).withColumn("missing", F.lit(""))
-    routed = good.unionByName(quarantined(decoded))
+    return _events(spark, sf_dir).select(
+        "event_id",
+        "event_type",
+        F.col("user_id").cast("string").alias("key"),
+        message.alias("value"),
+        topic_of(_sensor_type()).alias("topic"),
+    )
+
+
+def q_quarantine_split(spark, sf_dir):
+    decoded = decode(_broken_messages(spark, sf_dir).select("event_type", "value"))
+    routed = decoded.withColumn("missing", missing_fields())
     return routed.groupBy("event_type", "missing").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("sensor_id").alias("sensors")
     )
@@ -361,6 +373,18 @@ def q_stream_clock_window(spark, sf_dir):
     return windows.groupBy("sensor_id").agg(F.sum("n").alias("n"))
 
 
+def q_stream_quarantine(spark, sf_dir):
+    """What the heat job passes over, as a table: message text and fault."""
+    log = new_folder(spark, "log")
+    broken = with_log_position(_broken_messages(spark, sf_dir), "event_id", partitions=8)
+    write_file_log(broken, log)
+    path = new_folder(spark, "quarantine")
+    start_quarantine(
+        read_file_log(spark, log, streaming=True), path, checkpoint=new_folder(spark, "checkpoint")
+    ).awaitTermination()
+    return read_batches(spark, path, QUARANTINED).select("topic", "raw", "missing")
+
+
 def q_stream_result_files(spark, sf_dir):
     """Windows as rolling CSV part files, read back."""
     readings = with_event_time(
@@ -579,6 +603,15 @@ FROM spans""",
         ),
         "stream_clock_window": """
 SELECT cast(user_id AS integer) AS sensor_id, 10 * count(*) AS n FROM events GROUP BY user_id""",
+        "stream_quarantine": f"""
+SELECT {_TOPIC} AS topic,
+  CASE event_type
+    WHEN 'purchase' THEN 'nope'
+    WHEN 'error' THEN '{{"id":' || user_id || ',"timestamp":"' || {_STAMP} || '"}}'
+    ELSE '{{"id":' || user_id || ',"timestamp":"' || {_STAMP} || '","value":"' || value || '"}}'
+  END AS raw,
+  CASE event_type WHEN 'purchase' THEN 'sensor_id,event_time,value' ELSE 'value' END AS missing
+FROM events WHERE event_type IN ('error', 'signup', 'purchase')""",
         "stream_result_files": _windows_sql(having=_CLOSED),
         "archive_roundtrip": f"""
 SELECT replace({_TOPIC}, '-topic', '') AS collection, {_TOPIC} AS topic, count(*) AS n,

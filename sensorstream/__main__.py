@@ -19,6 +19,7 @@ from sensorstream.operators.windows import window_counts
 from sensorstream.plans.archive import start_archive
 from sensorstream.plans.overheat import CLOCK, EVENT, LOG, overheat, start_overheat
 from sensorstream.plans.publish import messages_of, publish_to_files
+from sensorstream.plans.quarantine import start_quarantine
 from sensorstream.plans.recompute import recompute
 from sensorstream.schemas import HUMIDITY_TOPIC, KEYED_MILLIS, TEMPERATURE_TOPIC
 from sensorstream.session import session_builder
@@ -63,6 +64,11 @@ def parser() -> argparse.ArgumentParser:
     store.add_argument("--store", required=True)
     store.add_argument("--tables", action="store_true", help="declare catalog tables as well")
 
+    aside = job("quarantine", "messages that are no complete readings")
+    consumes(aside, [TEMPERATURE_TOPIC, HUMIDITY_TOPIC])
+    aside.add_argument("--output", required=True)
+    aside.add_argument("--files-per-batch", type=int)
+
     send = job("publish", "reading files into the message log")
     send.add_argument("input")
     send.add_argument("--lines", action="store_true", help="input has one reading per line")
@@ -133,6 +139,16 @@ def _archive(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     )
 
 
+def _quarantine(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    return start_quarantine(
+        _messages(spark, args),
+        args.output,
+        checkpoint=args.checkpoint or f"{args.output}.checkpoint",
+        every=args.every,
+        files_per_batch=args.files_per_batch,
+    )
+
+
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
     readings = read_readings(spark, args.input, lines=args.lines)
     if args.log:
@@ -159,6 +175,7 @@ JOBS = {
     "overheat": _overheat,
     "archive": _archive,
     "publish": _publish,
+    "quarantine": _quarantine,
     "recompute": _recompute,
     "count": _count,
 }

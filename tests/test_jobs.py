@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sensorstream.__main__ import main, parser
 from sensorstream.sources.collections import find
-from sensorstream.sources.files import read_file_log
+from sensorstream.sources.files import read_file_log, write_file_log
 from test_sources import series
 
 
@@ -32,6 +32,14 @@ def test_publish_archive_recompute_alert(spark, dump, folder):
     main(["overheat", "--log", log, "--alerts-only", "--mode", "update"])
 
 
+def test_quarantine(spark, dump, folder, messages):
+    log, out = folder("log"), folder("aside")
+    main(["publish", dump, "--log", log])
+    write_file_log(messages(["nope"]), log)
+    main(["quarantine", "--log", log, "--output", out, "--files-per-batch", "1"])
+    assert [r.raw for r in spark.read.parquet(out).collect()] == ["nope"]
+
+
 def test_archive_declares_tables(spark, dump, folder):
     log, store = folder("log"), folder("store")
     main(["publish", dump, "--log", log])

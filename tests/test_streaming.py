@@ -10,6 +10,7 @@ from sensorstream.operators.windows import overheat_stats
 from sensorstream.plans.archive import start_archive
 from sensorstream.plans.overheat import CLOCK, LOG, overheat, start_overheat
 from sensorstream.plans.publish import publish_to_files
+from sensorstream.plans.quarantine import QUARANTINED, start_quarantine
 from sensorstream.plans.recompute import recompute
 from sensorstream.schemas import READING
 from sensorstream.sources.collections import find
@@ -247,6 +248,22 @@ def test_result_files(spark, folder, log, file_format):
     assert len(parts) >= closed.count() // 20
 
 
+def test_heat_and_quarantine_streams_share_out_all_messages(spark, folder, messages):
+    log, heat, aside = folder("log"), folder("heat"), folder("aside")
+    texts = [text(2, 0, 95), "nope", '{"id":3}', None, text(2, 1, 95)]
+    write_file_log(messages(texts), log)
+    stream = read_file_log(spark, log, streaming=True)
+    start_overheat(stream, heat, name="heat", checkpoint=folder("cp"), mode="update").awaitTermination(120)
+    start_quarantine(stream, aside, checkpoint=folder("cp")).awaitTermination(120)
+    assert stats_of(spark, heat, log).agg(F.sum("n")).first()[0] == 20
+    rows = {r.raw: r.missing for r in read_batches(spark, aside, QUARANTINED).collect()}
+    assert rows == {
+        "nope": "sensor_id,event_time,value",
+        '{"id":3}': "event_time,value",
+        None: "sensor_id,event_time,value",
+    }
+
+
 def test_batches_are_limited_by_bytes_and_files(spark, folder, log):
     for limit in ({"max_bytes_per_trigger": 1}, {"max_files_per_trigger": 1}):
         messages = read_file_log(spark, log, streaming=True, **limit)
