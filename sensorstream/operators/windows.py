@@ -97,7 +97,7 @@ def _panes(df, keys, time, size, slide, measures) -> DataFrame:
 
     # Starts of the first and the last window that hold a pane. They are computed
     # on both sides of the exchange rather than shuffled.
-    pane = F.col("pane")
+    pane = F.col("__pane")
     last_start = floor_to(pane, slide_us)
     first_start = floor_to(pane + F.lit(pane_us - size_us + slide_us - 1), slide_us)
     if pane_us == slide_us:
@@ -106,8 +106,8 @@ def _panes(df, keys, time, size, slide, measures) -> DataFrame:
     instant = F.unix_micros(F.col(time).cast("timestamp"))
     panes = (
         df.where(F.col(time).isNotNull())
-        .withColumn("pane", floor_to(instant, pane_us))
-        .groupBy(*keys, "pane")
+        .withColumn("__pane", floor_to(instant, pane_us))
+        .groupBy(*keys, "__pane")
         .agg(*_fold(measures))
     )
     last_block = floor_to(last_start, block_us)
@@ -117,24 +117,24 @@ def _panes(df, keys, time, size, slide, measures) -> DataFrame:
     # A window lives in the block that holds its start, so a pane near the start
     # of a block also goes to the block before.
     own_blocks = F.sequence(floor_to(first_start, block_us), last_block, F.lit(block_us))
-    blocks = panes.withColumn("block", F.explode(own_blocks)).repartition(*keys, "block")
+    blocks = panes.withColumn("__block", F.explode(own_blocks)).repartition(*keys, "__block")
     # Grouping by (keys, block, start) needs no exchange beyond the one by (keys, block).
-    block = F.col("block")
+    block = F.col("__block")
     own_starts = F.sequence(
         F.greatest(first_start, block),
         F.least(last_start, block + F.lit(block_us - slide_us)),
         F.lit(slide_us),
     )
     windows = (
-        blocks.withColumn("start", F.explode(own_starts))
-        .groupBy(*keys, "block", "start")
+        blocks.withColumn("__start", F.explode(own_starts))
+        .groupBy(*keys, "__block", "__start")
         .agg(*_merge(measures))
     )
     kind = df.schema[time].dataType
     bound_type = "timestamp_ntz" if isinstance(kind, T.TimestampNTZType) else "timestamp"
     return windows.withColumn(
-        "window_start", F.timestamp_micros("start").cast(bound_type)
-    ).withColumn("window_end", F.timestamp_micros(F.col("start") + F.lit(size_us)).cast(bound_type))
+        "window_start", F.timestamp_micros("__start").cast(bound_type)
+    ).withColumn("window_end", F.timestamp_micros(F.col("__start") + F.lit(size_us)).cast(bound_type))
 
 
 def overheat_stats(

@@ -255,6 +255,14 @@ def test_own_window_function(readings, plan):
     assert (got[5].spread, got[5].n) == (0.0, 1)
 
 
+@pytest.mark.parametrize("key", ["pane", "block", "start"])
+def test_keys_may_have_any_name(readings, key):
+    rows = readings([(1, 0, 95), (2, 0, 85)]).withColumnRenamed("sensor_id", key)
+    direct, panes = (overheat_stats(rows, key=key, plan=plan) for plan in PLANS)
+    assert panes.count() == 20
+    assert direct.exceptAll(panes).isEmpty() and panes.exceptAll(direct).isEmpty()
+
+
 def test_pane_plan_is_for_batches(spark):
     stream = spark.readStream.format("rate").load().selectExpr(
         "1 AS sensor_id", "timestamp AS event_time", "1D AS value"
