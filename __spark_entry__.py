@@ -59,6 +59,15 @@ from sensorstream.streaming.sinks import (  # noqa: E402
     read_batches,
 )
 
+# The training-data operators are a part that may be left out.
+try:
+    import corpus_pipeline  # noqa: E402
+    import sensorstream.llm.entries as llm_entries  # noqa: E402
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "sensorstream.llm", "sensorstream.llm.entries"):
+        raise
+    corpus_pipeline = llm_entries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 SIZE, SLIDE = "10 hours", "1 hour"
 # The mean in whole cents is exact, so both engines round alike.
@@ -457,11 +466,14 @@ def q_location_files(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per implemented query/operator, by name."""
-    return {
+    found = {
         name.removeprefix("q_"): query
         for name, query in globals().items()
         if name.startswith("q_")
     }
+    if llm_entries is not None:
+        found |= {**llm_entries.QUERIES, "pipeline": corpus_pipeline.run}
+    return found
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -544,7 +556,8 @@ _MESSAGE = f"""CASE WHEN value = floor(value) THEN {_message_sql("cast(value AS
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL over the same tables."""
-    return {
+    trained = {} if llm_entries is None else llm_entries.ORACLES
+    return trained | {
         "overheat_stats": _windows_sql(),
         "overheat_stats_direct": _windows_sql(),
         "overheat_alerts": _windows_sql(having=_HOT),

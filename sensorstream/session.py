@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -18,6 +19,8 @@ MAX_SHUFFLE_PARTITIONS = 100_000
 
 # Local scratch folder of this process, used only where the session names none.
 _local_scratch: str | None = None
+# Applications whose Python workers have this library.
+_shipped: set[str] = set()
 
 
 def shuffle_partitions_for(shuffle_bytes: int, cores: int) -> int:
@@ -104,5 +107,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder (not created)."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder (not created), deleted when the session's JVM ends."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    files.deleteOnExit(path)
+    return folder
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once per application.
+
+    They may run anywhere and need not find it on a path of their own.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="library-"))
+    archive = os.path.join(folder, "sensorstream.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for place, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(place, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
