@@ -105,22 +105,27 @@ class DigestIndex:
         )
 
     def _decide(self, hashed, decided, names, place, columns) -> DataFrame:
-        digest = names["digest"]
+        digest, best, n = names["digest"], fresh_name("best"), fresh_name("n")
         total = decided.agg(F.sum("n")).first()[0] or 0
-        decided = decided.withColumnRenamed("digest", digest)
-        is_hot = F.col("n") > max(1.0, HOT_SHARE * total)
+        is_hot = F.col(n) > max(1.0, HOT_SHARE * total)
+        decided = decided.select(
+            F.col("digest").alias(digest),
+            F.col("best").alias(best),
+            F.col("n").alias(n),
+            F.col("keep_id").alias(names["keep_id"]),
+        )
         hot, cold = decided.where(is_hot), decided.where(~is_hot)
         # At most 1,000 rows are broadcast; their texts' rows need no shuffle at all.
         hot_rows = hashed.join(F.broadcast(hot), digest)
         cold_rows = hashed.join(F.broadcast(hot.select(digest)), digest, "left_anti").join(
             cold.hint("merge"), digest
         )
-        stays = F.col("keep_id").eqNullSafe(F.col("best.id")) & (F.col("best.at") == F.col(place))
+        stays = F.col(names["keep_id"]).eqNullSafe(F.col(best)["id"]) & (F.col(best)["at"] == F.col(place))
         out = [
             *(F.col(f"`{c}`") for c in columns),
             F.col(digest),
-            F.col("keep_id").alias(names["keep_id"]),
-            F.col("n").alias(names["group_size"]),
+            F.col(names["keep_id"]),
+            F.col(n).alias(names["group_size"]),
             stays.alias(names["kept"]),
         ]
         return hot_rows.select(*out).unionAll(cold_rows.select(*out))

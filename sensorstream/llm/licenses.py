@@ -11,6 +11,7 @@ Only DataFrame functions are used, row by row, without a shuffle.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -86,10 +87,10 @@ class Template:
     license: str
     bigrams: tuple[str, ...]
 
-    def bounds(self, threshold: float) -> tuple[float, float]:
+    def bounds(self, threshold: float) -> tuple[int, int]:
         """Numbers of bigrams with which a unit can reach the threshold."""
-        size = len(self.bigrams)
-        return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
+        size, ratio = len(self.bigrams), (2 - threshold) / threshold
+        return math.ceil(size / ratio - 1e-9), math.floor(size * ratio + 1e-9)
 
 
 def bigrams_of(text: str) -> list[str]:
@@ -131,7 +132,7 @@ def best_license(
     names = {k: fresh_name(k) for k in ("license", "dice", "matches")}
     limits = [t.bounds(threshold) for t in templates]
     # A set of b bigrams comes from b + 1 words at least; the upper bound needs the set itself.
-    fewest = min((low for low, _ in limits), default=1.0)
+    fewest = min((low for low, _ in limits), default=1)
     units, words, pairs, hits = (fresh_name(k) for k in ("units", "words", "pairs", "hits"))
     normal = F.transform(
         units_of(text_of(text)),

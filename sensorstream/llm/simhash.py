@@ -212,15 +212,16 @@ def near_duplicates(
     ).select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = scratch.write(rooted)
     best = scratch.write(rooted.groupBy("root").agg(F.min("first").alias("best")))
+    stays = fresh_name("best")
     groups = scratch.write(
-        rooted.join(best.hint("merge"), "root").select(F.col("fp").alias(fp), "best")
+        rooted.join(best.hint("merge"), "root").select(F.col("fp").alias(fp), F.col("best").alias(stays))
     )
     grouped = prints.join(groups.hint("merge"), fp)
     out = [
         *carried,
         F.col(fp),
-        F.col("best.id").alias(names["component"]),
-        (F.col(place) == F.col("best.at")).alias(names["kept"]),
+        F.col(stays)["id"].alias(names["component"]),
+        (F.col(place) == F.col(stays)["at"]).alias(names["kept"]),
     ]
     return grouped.select(*out), names
 

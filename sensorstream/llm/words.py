@@ -42,6 +42,9 @@ def numbered(token_lists: list[list[str]], memo: Memo) -> tuple[np.ndarray, np.n
 
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sum of each range; empty ranges give 0."""
-    upto = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
-    return upto[bounds[1:]] - upto[bounds[:-1]]
+    """Sum of each range, in double precision; empty ranges give 0."""
+    out = np.zeros(len(bounds) - 1)
+    full = np.flatnonzero(np.diff(bounds))
+    if len(full):
+        out[full] = np.add.reduceat(values.astype(np.float64), bounds[:-1][full])
+    return out

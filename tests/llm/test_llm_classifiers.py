@@ -1,0 +1,118 @@
+"""Classifiers: held-out accuracy, folds, and odd input."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sensorstream.llm import quality, toxicity
+from sensorstream.llm.entries import op7_toxicity, op8_quality
+from sensorstream.llm.sampling import fold, labelled_sample
+from sensorstream.llm.words import Memo, sums
+
+SF = "/root/testdata/sf0.1"
+
+
+def outcome(spark, query, label, folds, held_out):
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = query(spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == held_out) for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    seen = [(labels[r.doc_id], r.predicted, r.score) for r in rows if r.held_out and r.doc_id in labels]
+    return np.array(seen)
+
+
+def test_quality_of_held_out_documents(spark):
+    seen = outcome(spark, op8_quality, "quality", 5, 0)
+    good, bad = seen[seen[:, 0] == 1], seen[seen[:, 0] == 0]
+    assert ((seen[:, 2] >= 0.3) == seen[:, 1]).all()
+    assert good[:, 1].mean() >= 0.99 and bad[:, 1].mean() <= 0.05
+
+
+def test_toxicity_of_held_out_documents(spark):
+    seen = outcome(spark, op7_toxicity, "toxic", 3, 1)
+    toxic, clean = seen[seen[:, 0] == 1], seen[seen[:, 0] == 0]
+    assert ((seen[:, 2] >= 0.7) == seen[:, 1]).all()
+    assert clean[:, 1].mean() <= 0.005 and toxic[:, 1].mean() >= 0.8
+
+
+def test_the_sample_is_bounded_and_stays_out_of_the_fold(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("quality"))
+    labels = labels.union(labels.limit(50)).union(spark.createDataFrame([(None, 1), (5, None), (6, 3)], "doc_id long, quality int"))
+    usable = fold(F.col("doc_id"), 5) != 0
+    rows = labelled_sample(docs, labels, "quality", usable, 100).collect()
+    assert len(rows) == 200 and sum(r.label for r in rows) == 100
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in rows)
+    again = labelled_sample(docs.repartition(7), labels.repartition(3), "quality", usable, 100).collect()
+    assert sorted(rows) == sorted(again)
+
+
+def test_pairs_say_what_single_terms_do_not():
+    """Label 1 only where two terms meet; each alone is as frequent in both classes."""
+    rng = np.random.default_rng(0)
+    index, labels = [], []
+    for k in range(1200):
+        a, b = rng.integers(0, 2, 2)
+        filler = rng.choice(np.arange(100, 200), 3, replace=False)
+        index.append(np.array(sorted([*([3] if a else [4]), *([7] if b else [8]), *filler])))
+        labels.append(int(a == b))
+    model = toxicity.ToxicityModel
+    labels = np.array(labels)
+    monkey = toxicity.choose_terms
+    toxicity.choose_terms = lambda index, labels: np.array([3, 4, 7, 8])
+    try:
+        model = toxicity.train(index, labels, epochs=60)
+    finally:
+        toxicity.choose_terms = monkey
+    rows = [[model.chosen[t] for t in found.tolist() if t in model.chosen] for found in index]
+    right = [(model.margin(r) > 0) == bool(y) for r, y in zip(rows, labels)]
+    assert np.mean(right) > 0.95
+
+
+def test_pairs_in_one_pass_equal_all_pairs():
+    rng = np.random.default_rng(1)
+    model = toxicity.ToxicityModel({}, rng.normal(size=6), rng.normal(size=(6, 4)), 0.3)
+    rows = [0, 2, 3, 5]
+    pairs = sum(model.vectors[i] @ model.vectors[j] for k, i in enumerate(rows) for j in rows[:k])
+    assert model.margin(rows) == pytest.approx(0.3 + model.weights[rows].sum() + pairs)
+
+
+def test_scores_are_sparse_dot_products():
+    rng = np.random.default_rng(2)
+    model = quality.QualityModel(rng.normal(size=1 << quality.WEIGHT_BITS).astype(np.float32), 0.1)
+    texts = ["", "one two, two!!", "$$$ x", "Word " * 5000]
+    memo = Memo(quality._number)
+    for text, score in zip(texts, model.scores(texts)):
+        found, _, tokens = quality.features([text], memo)
+        dot = float(model.weights[found].astype(float).sum()) * quality.SCALE / max(len(found), 1)
+        assert score == pytest.approx(1 / (1 + np.exp(-np.clip(dot + 0.1, -35, 35))), abs=1e-6)
+        assert len(found) == 4 * tokens[0]
+
+
+def test_sums_of_ranges():
+    assert sums(np.array([1.0, 2.0, 4.0]), np.array([0, 2, 2, 3])).tolist() == [3.0, 0.0, 4.0]
+    assert sums(np.empty(0), np.array([0, 0])).tolist() == [0.0]
+
+
+@pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
+def test_odd_documents_are_scored(spark, documents, odd_rows, module, label):
+    docs = documents(odd_rows)
+    schema = f"doc_id long, {label} int, text string"
+    none = module.fit(spark, docs, spark.createDataFrame([], schema))  # no labels: a constant
+    scores = {r[0] for r in module.with_score(docs, none, "own").select("own").collect()}
+    assert scores == {0.5}
+    labels = spark.createDataFrame([(k, k % 2, "t") for k in range(1, 14)] + [(None, 1, ""), (3, None, "")], schema)
+    model = module.fit(spark, docs, labels)
+    scored = module.with_score(docs, model, "own")
+    assert scored.columns == [*docs.columns, "own"]
+    rows = scored.select("text", "own").collect()
+    assert len(rows) == len(odd_rows) and all(0 <= r[1] <= 1 for r in rows)
+    by_text = {}
+    for text, score in rows:
+        assert by_text.setdefault(text or "", score) == score  # equal texts score alike
+    keep = module.keep_good if module is quality else module.drop_toxic
+    assert keep(docs, model).columns == docs.columns
+    assert keep(docs.limit(0), model).count() == 0

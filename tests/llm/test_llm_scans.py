@@ -1,0 +1,166 @@
+"""URL filters and licence scans against plain Python."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorstream.llm import licenses, urls
+from sensorstream.llm.urls import ALLOW, BLOCK, Rule, UrlFilter
+
+URLS = [
+    None,
+    "",
+    "no scheme",
+    "http://",
+    "http:///en/1",
+    "http://com",
+    "http://com/",
+    "http://com?x=/",
+    "HTTP://WWW.Example.COM/en/1#top",
+    "https://example.com/EN/1",
+    "https://example.com/en/",
+    "https://a.www.example.com/en/1?q=http://b.net/es/",
+    "https://notexample.com/en/1",
+    "https://xcom/en/",
+    "https://a.net/es/",
+    "https://a.net/es",
+    "https://net/fr/1",
+    "https://a.org/net/es/",
+    "https://m.ads-track.example.org/de/1",
+    "https://bads-track.example.org/de/1",
+    "https://x.org/banner/7/click",
+    "https://x.org/robots.txt",
+    "https://ads-track.org/robots.txt",
+    "https://x.org/a?affiliate=3",
+    "https://x.org/a?b=1&affiliate=3",
+    "https://x.org/naffiliate=3",
+    "ftp://x.doubleclick.org\n/new line",
+    "https://x.org/" + "p/" * 40_000,
+]
+
+
+def plain_verdict(url):
+    """By the contract: every rule and pattern tried."""
+    host = path = rest = ""
+    if url and "://" in url:
+        after = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", after).group()
+        rest = after[len(host) :]
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+        path = re.match(r"[^?#]*", rest).group()
+    best = None
+    for rule in urls.SITE_RULES:
+        at, _, begin = rule.pattern.partition("/")
+        if (host == at or host.endswith("." + at)) and path.startswith("/" + begin):
+            if best is None or len(rule.pattern) > len(best.pattern):
+                best = rule
+    if best:
+        return host, path, best.pattern, None, best.verdict
+    fits = [r for r in urls.PATTERN_RULES if re.search(r.regex, host + rest)]
+    fits.sort(key=lambda r: r.verdict == BLOCK)
+    return host, path, None, fits[0].pattern if fits else None, fits[0].verdict if fits else ALLOW
+
+
+def judged(pages, rules=urls.RULES):
+    got, names = UrlFilter(pages, rules).judge(pages)
+    assert got.columns[: len(pages.columns)] == pages.columns
+    return [tuple(r) for r in got.select("page_id", *(names[c] for c in ("host", "path", "rule", "pattern", "verdict"))).collect()]
+
+
+def test_urls_by_the_contract(spark):
+    rows = [(k, u, "h", "r") for k, u in enumerate(URLS)] + [(None, URLS[8], None, None), (3, URLS[10], None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, rule string")
+    key = lambda r: tuple((x is None, x) for x in r)
+    wanted = [(r[0], *plain_verdict(r[1])) for r in rows]
+    assert sorted(judged(pages), key=key) == sorted(wanted, key=key)
+    assert judged(pages.limit(0)) == []
+
+
+def test_urls_of_random_shape(spark):
+    draw = random.Random(4)
+    parts = ["com", "net", "www", "example", "ads-track", "casino-win", "x", "robots.txt", "en", "es", "fr"]
+    some = []
+    for _ in range(400):
+        host = ".".join(draw.choices(parts, k=draw.randrange(1, 4)))
+        some.append(f"http://{host}{draw.choice(['/', '', '?', '#'])}{'/'.join(draw.choices(parts, k=3))}{draw.choice(['', '/'])}")
+    pages = spark.createDataFrame(list(enumerate(some)), "page_id long, url string")
+    assert sorted(judged(pages), key=str) == sorted(((k, *plain_verdict(u)) for k, u in enumerate(some)), key=str)
+
+
+def test_rules_are_filed_under_their_rarest_token(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/rare"), (2, "http://b.com/x"), (3, "http://c.com/")], "page_id long, url string")
+    rules = [Rule(BLOCK, ".com/rare"), Rule(BLOCK, "*whole*"), Rule(BLOCK, "pre*.com/x^")]
+    found = UrlFilter(pages, rules)
+    # "whole" and "pre" may be part of a longer token; "rare" may go on too.
+    assert [r.tokens for r in rules] == [["com"], [], ["com", "x"]]
+    assert found.index == {"com": [0], "": [1], "x": [2]}
+    got, names = found.judge(pages)
+    assert {r[0]: r[1] for r in got.select("page_id", names["candidates"]).collect()} == {1: 2, 2: 3, 3: 2}
+
+
+def test_no_rules(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
+    assert judged(pages, []) == [(1, "a.com", "/", None, None, ALLOW)]
+
+
+def plain_license(text, threshold=licenses.THRESHOLD):
+    text = text or ""
+    units = {*text.split("\n"), *re.split(r"\n\s*\n", text), text}
+    hits = []
+    for unit in {" ".join(re.sub(r"[^\w]+|_", " ", u.lower()).split()) for u in units}:
+        mine = set(licenses.bigrams_of(unit))
+        for t in licenses.templates_of():
+            dice = 2 * len(mine & set(t.bigrams)) / (len(mine) + len(t.bigrams))
+            if dice >= threshold:
+                hits.append((-dice, t.license))
+    return (min(hits)[1], -min(hits)[0], len(hits)) if hits else (None, 0.0, 0)
+
+
+TEXTS = [
+    None,
+    "",
+    "word",
+    "two words",
+    "Released under the MIT License.",
+    "RELEASED -- under the MIT license!\nmore",
+    "Some prose.\n\nLicensed under the Apache License, Version 2.0.\nAnd more prose follows here.",
+    "Licensed under CC BY 4.0.\nLicensed under CC BY-NC 4.0.",
+    licenses.NOTICES["MIT"],
+    licenses.NOTICES["MIT"].replace("Software", "Program"),
+    licenses.NOTICES["Apache-2.0"].replace("\n", " "),
+    licenses.NOTICES["GPL-3.0"] + "\n\n" + "prose and prose " * 50,
+    "This work is licensed under the GNU General Public License, version 2.",
+    "under the MIT License released",
+    "plain text " * 30_000,
+]
+
+
+def test_licenses_against_every_template(spark):
+    rows = [(k, t, "l") for k, t in enumerate(TEXTS)] + [(None, TEXTS[4], None), (4, TEXTS[4], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    got, names = licenses.best_license(docs)
+    key = lambda r: tuple((x is None, x) for x in r)
+    rows_got = [tuple(r) for r in got.select("doc_id", *(names[c] for c in ("license", "dice", "matches"))).collect()]
+    assert sorted(rows_got, key=key) == sorted(((i, *plain_license(t)) for i, t, _ in rows), key=key)
+    assert licenses.best_license(docs.limit(0))[0].count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_bounds_lose_no_template(threshold):
+    for t in licenses.templates_of():
+        low, high = t.bounds(threshold)
+        size = len(t.bigrams)
+        for other in range(1, 4 * size):
+            if 2 * min(size, other) / (size + other) >= threshold:
+                assert low <= other <= high
+
+
+def test_native_plans_run_no_python(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
+    docs = spark.createDataFrame([(1, "text")], "doc_id long, text string")
+    for frame in (UrlFilter(pages).judge(pages)[0], licenses.best_license(docs)[0]):
+        plan = frame._jdf.queryExecution().toString()
+        assert not re.search("Python|Arrow|Pandas|Exchange|BatchEval", plan)
+    assert docs.select(F.lit(1)).count() == 1
