@@ -178,11 +178,13 @@ def fit(
                 names=["label", "index", "times"],
             )
 
-    table = sample.select("text", F.col("label").cast("int").alias("label")).mapInArrow(
-        count, "label int, index array<int>, times array<float>"
+    table = (
+        sample.select("text", F.col("label").cast("int").alias("label"))
+        .mapInArrow(count, "label int, index array<int>, times array<float>")
+        .toArrow()
     )
     rows = []
-    for label, index, times in zip(*(table.toArrow().column(c).to_numpy() for c in ("label", "index", "times"))):
+    for label, index, times in zip(*(table.column(c).to_numpy() for c in ("label", "index", "times"))):
         total = max(float(times.sum()), 1.0)
         rows.append((index, times * (SCALE / total), int(label)))
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0][:8].tolist()))  # whatever order they came in
