@@ -22,6 +22,7 @@ import re
 import string
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,12 @@ from pyspark.sql import functions as F
 from sensorstream.llm.common import crc32_of, for_texts, text_of
 from sensorstream.llm.words import Memo
 
-SPACE = "▁"
+#: Models write a space as this mark; inside, it is a space, which keeps words in one byte a letter.
+MARK = "▁"
 #: Extra loss of a character without a piece, below the worst piece.
 UNKNOWN_LOSS = 10.0
 #: Words a worker keeps with their ids, and pairs of pieces with their test.
-KEPT_WORDS, KEPT_PAIRS = 300_000, 300_000
+KEPT_WORDS, KEPT_PAIRS = 400_000, 300_000
 
 
 class PieceModel:
@@ -51,7 +53,7 @@ class PieceModel:
         )
         self.kind, self.library = kind, library
         ids = range(library.get_piece_size())
-        self.pieces = [library.id_to_piece(i) for i in ids]
+        self.pieces = [library.id_to_piece(i).replace(MARK, " ") for i in ids]
         normal = [
             i for i in ids if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i) or library.is_unused(i))
         ]
@@ -62,8 +64,9 @@ class PieceModel:
         self.longest = max(map(len, self.id_of), default=1)
         self.worst = min(self.score.values(), default=0.0) - UNKNOWN_LOSS
         self.cut = self._cuts()
-        self._whole: dict[str, bool] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        #: Pieces that a bpe model can give: spelled out, they come out in one.
+        self.usable = {p for p in self.id_of if self.merged(p) == [p]} if kind == "bpe" else set()
+        self.neighbours = Memo(self._come_out, KEPT_PAIRS)
         self._spelled: list[bytes] = []
         for i in ids:
             if library.is_byte(i):
@@ -73,29 +76,30 @@ class PieceModel:
             elif library.is_unknown(i):
                 self._spelled.append(" ⁇ ".encode())
             else:
-                self._spelled.append(self.pieces[i].replace(SPACE, " ").encode())
+                self._spelled.append(self.pieces[i].encode())
 
     def _cuts(self) -> re.Pattern[str]:
         """Parts of a text between boundaries where all paths meet, whatever the text.
 
         That is so between two characters that no piece holds on end. Used are those before
-        a space mark, and between a letter and an ASCII mark, if this model has no such piece.
+        a space, and between a letter and an ASCII mark, if this model has no such piece.
         """
         held: dict[str, set[str]] = {}
         for piece in self.id_of:
             for a, b in zip(piece, piece[1:]):
                 held.setdefault(b, set()).add(a)
-        if held.get(SPACE, set()) - {SPACE}:
+        if held.get(" ", set()) - {" "}:
             return re.compile("(?s).+")
         free = [m for m in string.punctuation if m != "_" and not any(a.isalpha() for a in held.get(m, ()))]
-        marks = "".join(map(re.escape, free)) + SPACE
-        letter = r"[^\W\d_]"
+        marks, letter = "".join(map(re.escape, free)) + " ", r"[^\W\d_]"
         return re.compile(
-            rf"{SPACE}*{letter}+(?![^{marks}])"
-            rf"|{SPACE}*[^{SPACE}]+?(?:(?<={letter})(?=[{marks}])|(?={SPACE})|\Z)|{SPACE}+",
-            re.DOTALL,
+            rf" *{letter}+(?![^{marks}])| *[^ ]+?(?:(?<={letter})(?=[{marks}])|(?= )|\Z)| +", re.DOTALL
         )
 
+    def normalized(self, text: str) -> str:
+        """The text that is cut into pieces, with plain spaces."""
+        return self.library.normalize(text).replace(MARK, " ")
+
     def merged(self, text: str) -> list[str]:
         """Merge characters by rank, the leftmost of equals first: short texts only."""
         parts = list(text)
@@ -108,19 +112,9 @@ class PieceModel:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def whole(self, piece: str) -> bool:
-        """Whether a bpe model can give this piece: spelled out, it comes out in one."""
-        if piece not in self._whole:
-            self._whole[piece] = self.merged(piece) == [piece]
-        return self._whole[piece]
-
-    def neighbours(self, left: str, right: str) -> bool:
-        key = (left, right)
-        if key not in self._pairs:
-            if len(self._pairs) >= KEPT_PAIRS:
-                self._pairs.clear()
-            self._pairs[key] = self.merged(left + right) == [left, right]
-        return self._pairs[key]
+    def _come_out(self, pair: tuple[str, str]) -> bool:
+        """Whether two pieces, spelled out on end and merged, come out as they are."""
+        return self.merged("".join(pair)) == [*pair]
 
     def ids_of(self, piece: str) -> list[int]:
         if piece in self.id_of:
@@ -131,74 +125,84 @@ class PieceModel:
 
 
 class StreamingViterbi:
-    """Feed characters; final pieces come out as soon as they are certain."""
+    """Feed text; final pieces come out as soon as they are certain."""
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
         self.text = ""  # characters since the last final boundary
-        self.best: list[tuple[float, int]] = [(0.0, -1)]  # of each position: worth, where its piece starts
-        self.before = ""  # the final piece before the window, for neighbours
-        self.checked = 0  # length of the window when paths were last compared
+        #: The best piece that ends at each position of the window; at 0, the final piece before it.
+        self.last: list[str | None] = [""]
+        self.worth = [0.0]  # of the path to each position, for unigram models
         self.widest = 0
 
-    def feed(self, chars: Iterable[str]) -> Iterator[str]:
-        for char in chars:
-            self.text += char
-            self._step()
-            if len(self.text) >= self.checked + self.model.longest:
+    def feed(self, text: str) -> list[str]:
+        """Read on; the pieces that became final."""
+        out, longest = [], self.model.longest
+        for begin in range(0, len(text), longest):
+            self.text += text[begin : begin + longest]
+            if self.model.kind == "bpe":
+                self._by_merges()
+            else:
+                self._by_scores()
+            if len(self.text) > 2 * longest:
                 self.widest = max(self.widest, len(self.text))
-                yield from self._certain()
-
-    def close(self) -> Iterator[str]:
-        yield from self._take(len(self.text))
-
-    def _step(self) -> None:
-        model, text, best = self.model, self.text, self.best
-        known, end, found = model.id_of, len(text), None
-        for start in range(max(0, end - model.longest), end):
-            piece = text[start:end]
-            if piece not in known and end - start > 1:
-                continue
-            worth, begun = best[start]
-            if model.kind == "unigram":
-                worth += model.score.get(piece, model.worst)
-                if found is None or worth > found[0]:
-                    found = (worth, start)
-            elif worth == 0.0 and model.whole(piece):
-                last = text[begun:start] if start else self.before
-                if not last or model.neighbours(last, piece):
-                    found = (0.0, start)
-                    break  # no other path can pass
-        best.append(found or (-np.inf, end))
-
-    def _certain(self) -> Iterator[str]:
+                out += self._certain()
+        return out
+
+    def close(self) -> list[str]:
+        """The pieces up to the end of the text."""
+        return self._take(len(self.text))
+
+    def _by_merges(self) -> None:
+        text, last, longest = self.text, self.last, self.model.longest
+        usable, passes = self.model.usable, self.model.neighbours
+        for end in range(len(last), len(text) + 1):
+            found = None
+            for start in range(end - 1, end - longest - 1 if end > longest else -1, -1):
+                piece = text[start:end]
+                if piece in usable or end - start == 1:
+                    before = last[start]
+                    if before is not None and (not before or passes[before, piece]):
+                        found = piece
+                        break  # one path passes, so short pieces may be tried first
+            last.append(found)
+
+    def _by_scores(self) -> None:
+        text, last, worth, model = self.text, self.last, self.worth, self.model
+        for end in range(len(last), len(text) + 1):
+            best, found = -np.inf, ""
+            for start in range(max(0, end - model.longest), end):
+                piece = text[start:end]
+                if piece in model.id_of or end - start == 1:
+                    total = worth[start] + model.score.get(piece, model.worst)
+                    if total > best:
+                        best, found = total, piece
+            last.append(found)
+            worth.append(best)
+
+    def _certain(self) -> list[str]:
         """Give out the pieces before the boundary in which all surviving paths meet."""
         end = len(self.text)
-        self.checked = end
-        alive = {p for p in range(max(0, end - self.model.longest + 1), end + 1) if self.best[p][0] > -np.inf}
+        alive = {p for p in range(end - self.model.longest + 1, end + 1) if self.last[p] is not None}
         # The rightmost position of the set steps back until one is left.
         while len(alive) > 1:
             last = max(alive)
             alive.discard(last)
-            alive.add(max(self.best[last][1], 0))
-        meeting = alive.pop() if alive else 0
-        if meeting:
-            yield from self._take(meeting)
+            alive.add(last - len(self.last[last]) if last else 0)
+        return self._take(alive.pop())
 
-    def _take(self, boundary: int) -> Iterator[str]:
-        cuts, at = [], boundary
+    def _take(self, boundary: int) -> list[str]:
+        taken, at = [], boundary
         while at:
-            cuts.append(at)
-            at = self.best[at][1]
-        start = 0
-        for cut in reversed(cuts):
-            self.before = self.text[start:cut]
-            yield self.before
-            start = cut
-        base = self.best[boundary][0]
-        self.text = self.text[boundary:]
-        self.checked = len(self.text)
-        self.best = [(w - base if w > -np.inf else w, s - boundary) for w, s in self.best[boundary:]]
+            taken.append(self.last[at])
+            at -= len(taken[-1])
+        if boundary:
+            self.text = self.text[boundary:]
+            self.last = self.last[boundary:]
+            if self.model.kind != "bpe":
+                base = self.worth[boundary]
+                self.worth = [w - base for w in self.worth[boundary:]]
+        return taken[::-1]
 
 
 class Encoder:
@@ -209,9 +213,12 @@ class Encoder:
         self.words = Memo(self._searched, KEPT_WORDS)
 
     def _searched(self, segment: str) -> tuple[int, ...]:
-        search, ids = StreamingViterbi(self.model), []
-        for piece in (*search.feed(segment), *search.close()):
-            ids += self.model.ids_of(piece)
+        search, ids, known = StreamingViterbi(self.model), [], self.model.id_of
+        for piece in search.feed(segment) + search.close():
+            if piece in known:
+                ids.append(known[piece])
+            else:
+                ids += self.model.ids_of(piece)
         return tuple(ids)
 
     def segments(self, text: str) -> list[str]:
@@ -219,9 +226,8 @@ class Encoder:
         return self.model.cut.findall(text)
 
     def encode(self, text: str) -> np.ndarray:
-        segments = self.segments(self.model.library.normalize(text)) if text else []
-        ids = [i for found in map(self._ids, segments) for i in found]
-        return np.array(ids, np.uint32)
+        segments = self.segments(self.model.normalized(text)) if text else []
+        return np.fromiter(chain.from_iterable(map(self._ids, segments)), np.uint32)
 
     def _ids(self, segment: str) -> tuple[int, ...]:
         # Long segments are searched as a stream and not kept.

@@ -16,13 +16,13 @@ KEPT = 500_000
 
 
 class Memo(dict):
-    """Values of a function of a word, for a bounded number of words."""
+    """Values of a function of a word (or other key), for a bounded number of them."""
 
-    def __init__(self, compute: Callable[[str], int], most: int = KEPT) -> None:
+    def __init__(self, compute: Callable, most: int = KEPT) -> None:
         super().__init__()
         self.compute, self.most = compute, most
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word):
         if len(self) >= self.most:
             self.clear()
         value = self[word] = self.compute(word)
