@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm import quality, toxicity
 from sensorstream.llm.common import Scratch
-from sensorstream.llm.entries import END_ID, WORD_BPE, WORD_BPE_IDS, table
+from sensorstream.llm.entries import packed, table
 from sensorstream.llm.exact import DigestIndex
-from sensorstream.llm.packing import pack_along_curve, with_crc32
 from sensorstream.llm.simhash import near_duplicates
-from sensorstream.llm.tokenizing import public_path
 from sensorstream.session import new_folder
 
 
@@ -48,9 +46,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens along the curve, as pieces of documents."""
-    return with_crc32(
-        pack_along_curve(docs, public_path(WORD_BPE), vocabulary=WORD_BPE_IDS, end_id=END_ID)
-    ).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packed(docs)
 
 
 STAGES = [

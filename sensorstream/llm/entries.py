@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm import licenses, quality, toxicity, urls
 from sensorstream.llm.exact import DigestIndex
-from sensorstream.llm.packing import pack_along_curve, with_crc32
+from sensorstream.llm.packing import pack_along_curve
 from sensorstream.llm.pieces import decode_documents, encode_documents
 from sensorstream.llm.sampling import fold
 from sensorstream.llm.simhash import hex_of, near_duplicates
@@ -110,12 +110,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of documents in sequences, with the checksum of their ids."""
+    pieces = pack_along_curve(docs, public_path(WORD_BPE), vocabulary=WORD_BPE_IDS, end_id=END_ID)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences along the curve."""
-    docs = table(spark, sf_dir, "documents")
-    return with_crc32(
-        pack_along_curve(docs, public_path(WORD_BPE), vocabulary=WORD_BPE_IDS, end_id=END_ID)
-    ).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packed(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {

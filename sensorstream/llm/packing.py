@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import Scratch, column_of, crc32_of, for_texts, text_of
+from sensorstream.llm.common import Scratch, column_of, for_texts, text_of
 from sensorstream.llm.tokenfile import bits_for, pack, unpack
 from sensorstream.llm.tokenizing import BatchTokenizer
 
@@ -61,11 +61,15 @@ def hilbert_key(points: np.ndarray, bits: int = COORDINATE_BITS) -> np.ndarray:
 def curve_keys(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Hilbert keys of documents, from their ids on end; an empty one lies in the middle."""
     plane = np.random.default_rng(SEED).normal(size=(BUCKETS, DIMENSIONS))
-    hashed = (ids.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(7)) % np.uint64(BUCKETS)
+    buckets = (np.random.default_rng(SEED + 1).integers(0, BUCKETS, int(ids.max(initial=0)) + 1))[ids]
     coordinates = np.zeros((len(bounds) - 1, DIMENSIONS))
-    for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-        counts = np.log1p(np.bincount(hashed[a:b].astype(np.int64), minlength=BUCKETS))
-        coordinates[k] = counts @ plane / max(np.sqrt(counts @ counts), 1e-9)
+    for first in range(0, len(coordinates), 256):  # bounded work space
+        some = bounds[first : first + 257]
+        rows = np.repeat(np.arange(len(some) - 1), np.diff(some))
+        cells = rows * BUCKETS + buckets[some[0] : some[-1]]
+        counts = np.log1p(np.bincount(cells, minlength=(len(some) - 1) * BUCKETS).reshape(-1, BUCKETS))
+        length = np.maximum(np.sqrt((counts * counts).sum(axis=1)), 1e-9)
+        coordinates[first : first + len(some) - 1] = counts @ plane / length[:, None]
     scaled = (np.clip(coordinates, -4, 4) + 4) / 8 * ((1 << COORDINATE_BITS) - 1)
     return hilbert_key(scaled.astype(np.int64))
 
@@ -94,7 +98,8 @@ def pack_along_curve(
     """Pieces of documents in sequences of at most ``length`` tokens.
 
     Columns: doc_id, start (ids of the document before the piece), length, doc_tokens,
-    sequence_id, offset (of the piece in its sequence), curve_key, ids (array of int). Every document
+    sequence_id, offset (of the piece in its sequence), curve_key, ids (as little-endian unsigned 32-bit
+    integers on end; empty tables have none). Every document
     ends with ``end_id``; null text counts as empty. Rows that share an id are packed one by one;
     equal texts share a key and are dealt by id and row. An empty table gives an empty one.
 
@@ -130,7 +135,7 @@ def pack_along_curve(
         .mapInArrow(
             lambda batches: _sequences(batches, bits, length),
             "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
-            "offset long, curve_key long, ids array<int>",
+            "offset long, curve_key long, ids binary",
         )
     )
 
@@ -151,14 +156,12 @@ def _sequences(batches: Iterator[pa.RecordBatch], bits: int, length: int) -> Ite
         number += 1
 
     def flush() -> pa.RecordBatch:
-        columns = list(zip(*out)) if out else [[]] * 8
+        columns = list(zip(*out)) if out else [()] * 8
         names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "curve_key"]
         arrays = [pa.array(c, pa.int64()) for c in columns[:7]]
-        flat = np.concatenate([np.empty(0, np.int32), *columns[7]]).astype(np.int32)
-        ends = np.cumsum([0, *map(len, columns[7])]).astype(np.int32)
+        data = [np.ascontiguousarray(ids, "<u4").tobytes() for ids in columns[7]]
         out.clear()
-        arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
-        return pa.RecordBatch.from_arrays(arrays, names=[*names, "ids"])
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(data, pa.binary())], names=[*names, "ids"])
 
     for batch in batches:
         docs, keys = batch.column("doc_id").to_pylist(), column_of(batch, "key").tolist()
@@ -185,22 +188,3 @@ def _sequences(batches: Iterator[pa.RecordBatch], bits: int, length: int) -> Ite
         close(pieces)
     if out:
         yield flush()
-
-
-def with_crc32(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``ids_crc32`` instead of the ids."""
-    names = [n for n in pieces.columns if n != "ids"]
-    fields = ", ".join(f"{n} long" for n in names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            flat = lists.flatten().to_numpy()
-            ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
-            sums = [crc32_of(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(sums, pa.int64())],
-                names=[*names, "ids_crc32"],
-            )
-
-    return pieces.mapInArrow(run, f"{fields}, ids_crc32 long")

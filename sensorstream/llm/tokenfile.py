@@ -36,7 +36,7 @@ HEADER = struct.Struct("<4sHHIIQQQ")
 #: A multiple of 8, so that a block of any width fills whole bytes.
 BLOCK_IDS = 4096
 #: Ids after which a file is closed; a document is never split between files.
-FILE_IDS = 8_000_000
+FILE_IDS = 4_000_000
 
 
 def bits_for(vocabulary: int) -> int:

@@ -13,6 +13,7 @@ nothing can combine across the cut) leaves fewer distinct words.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,9 @@ import pyarrow.compute as pc
 KEPT_WORDS = 400_000
 #: Text handled at once, in bytes, so that memory does not follow the batch.
 SLICE_BYTES = 4_000_000
+#: Letters that nothing else in a line can change, and how many such words go through the library at once.
+PLAIN_WORD, AT_ONCE = re.compile("[a-zß-öø-ÿ]+"), 200
+WORD_END = "</w>"
 #: A letter before a mark that is no apostrophe: two words to the vocabulary.
 LETTER_THEN_MARK = "([a-zß-öø-ÿ])([!-&(-/:-@\\[-`{-~])"
 
@@ -65,6 +69,9 @@ class BatchTokenizer:
         self.library = Tokenizer.from_file(path)
         self.end_id = end_id
         self.kept_words = kept_words
+        vocabulary = self.library.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self._forget()
 
     @classmethod
@@ -88,18 +95,36 @@ class BatchTokenizer:
         known = self.slot
         fresh = [word for word in words if word not in known]
         if fresh:
-            encoded = self.library.encode_batch_fast(fresh, add_special_tokens=False)
-            found = [encoding.ids for encoding in encoded]
-            first = len(known)
-            ends = np.cumsum([len(ids) for ids in found]) + self.bounds[first]
-            self.bounds[first + 1 : first + 1 + len(fresh)] = ends
-            if ends[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty(int(ends[-1]), np.uint32)])
-            flat = [i for ids in found for i in ids]
-            self.ids[self.bounds[first] : ends[-1]] = flat
-            known.update(zip(fresh, range(first, first + len(fresh))))
+            plain = list(filter(PLAIN_WORD.fullmatch, fresh))
+            others = [word for word in fresh if not PLAIN_WORD.fullmatch(word)]
+            for some, found in ((plain, self._ids_of_lines(plain)), (others, self._ids_of_each(others))):
+                if some:
+                    self._keep(some, *found)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
+    def _keep(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.slot)
+        begin = self.bounds[first]
+        ends = np.cumsum(counts) + begin
+        self.bounds[first + 1 : first + 1 + len(words)] = ends
+        if ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty(int(ends[-1]), np.uint32)])
+        self.ids[begin : ends[-1]] = ids
+        self.slot.update(zip(words, range(first, first + len(words))))
+
+    def _ids_of_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], int)
+
+    def _ids_of_lines(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters go in lines: the ids that end a word part them again."""
+        lines = [" ".join(words[k : k + AT_ONCE]) for k in range(0, len(words), AT_ONCE)]
+        ids, _ = self._ids_of_each(lines)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words):  # not a vocabulary that marks them
+            return self._ids_of_each(words)
+        return ids, np.diff(ends, prepend=0)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids on end, and the bounds of each text's ids (one more than texts)."""
         ids, bounds = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
