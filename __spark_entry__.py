@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from sensorstream.functions.aggregates import edge_reading  # noqa: E402
@@ -196,11 +196,18 @@ def q_overheat_arrival(spark, sf_dir):
 
 
 def q_proc_time_window(spark, sf_dir):
+    """Windows by arrival; first and last carry the reading's own time, in order of arrival."""
     delay = F.make_dt_interval(secs=F.pmod("event_id", F.lit(7)))
     arrived = _events(spark, sf_dir).select(
-        F.col("user_id").alias("sensor_id"), (F.col("ts") + delay).alias("arrival"), "value"
+        F.col("user_id").alias("sensor_id"), (F.col("ts") + delay).alias("at"), "ts", "event_id", "value"
     )
-    return overheat_stats(arrived, time="arrival", **WINDOW, **EXACT)
+    order = ("at", "event_id")
+    return overheat_stats(arrived, time="at", reading_time="ts", arrival=order, **WINDOW, **EXACT)
+
+
+def q_overheat_default(spark, sf_dir):
+    """All defaults: the exact mean without stated places, as a float."""
+    return overheat_stats(_sensor_events(spark, sf_dir), **WINDOW)
 
 
 # --- decode, encode, keys, routes -------------------------------------------
@@ -379,7 +386,45 @@ def q_stream_clock_window(spark, sf_dir):
     schema = overheat(messages).schema
     keys = ["sensor_id", "window_start", "window_end"]
     windows = latest_revisions(read_batches(spark, path, schema), keys)
-    return windows.groupBy("sensor_id").agg(F.sum("n").alias("n"))
+    return windows.groupBy("sensor_id").agg(
+        F.sum("n").alias("n"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+    )
+
+
+SLICES = 4
+
+
+def _streamed_slices(spark, sf_dir, events, strict=False):
+    """Heat statistics of events that come in slices, one run of the stream for each.
+
+    Every run takes up the checkpoint of the one before: state is restored and windows are revised.
+    """
+    log, path, checkpoint = (new_folder(spark, n) for n in ("slices", "stats-slices", "checkpoint"))
+    total = events.agg(F.max("event_id")).first()[0] + 1
+    part = F.floor(F.col("event_id") * SLICES / F.lit(total))
+    kept = events.select("event_id", F.col("user_id").alias("sensor_id"), F.col("ts").cast("timestamp"), "value")
+    stats = None
+    for k in range(SLICES):
+        kept.where(part == k).write.mode("append").parquet(log)
+        readings = with_event_time(spark.readStream.schema(kept.schema).parquet(log), F.col("ts"))
+        stats = overheat_stats(readings, **WINDOW, **EXACT)
+        start_batches(
+            stats, batch_store(path), name="slices", checkpoint=checkpoint, mode="update", strict=strict
+        ).awaitTermination()
+    revisions = read_batches(spark, path, stats.schema)
+    return _plain_bounds(latest_revisions(revisions, ["sensor_id", "window_start", "window_end"]))
+
+
+def q_stream_slices_update(spark, sf_dir):
+    return _streamed_slices(spark, sf_dir, _events(spark, sf_dir))
+
+
+def q_stream_late_strict(spark, sf_dir):
+    """Every tenth event is two days late; windows that have closed take it no more."""
+    late = F.when(F.pmod("event_id", F.lit(10)) == 0, F.expr("ts - interval 2 days")).otherwise(F.col("ts"))
+    return _streamed_slices(spark, sf_dir, _events(spark, sf_dir).withColumn("ts", late), strict=True)
 
 
 def q_stream_quarantine(spark, sf_dir):
@@ -436,6 +481,63 @@ def q_recompute_stored(spark, sf_dir):
     return _plain_bounds(recompute(spark, _archived(spark, sf_dir), **WINDOW, **EXACT))
 
 
+def _odd_archive(spark, sf_dir):
+    """Archive messages with a field of no known name and one of a wrong type."""
+    text = F.concat(
+        F.lit('{"id":'),
+        F.col("user_id").cast("string"),
+        F.lit(',"latitude":"north","timestamp":"'),
+        F.date_format("ts", TIMESTAMP_FORMAT),
+        F.lit('","value":'),
+        F.col("value").cast("string"),
+        F.lit(',"unit":"C"}'),
+    )
+    log, store = new_folder(spark, "log"), new_folder(spark, "store")
+    sent = _events(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("key"),
+        text.alias("value"),
+        topic_of(_sensor_type()).alias("topic"),
+        "event_id",
+    )
+    write_file_log(with_log_position(sent, "event_id", partitions=8), log)
+    messages = read_file_log(spark, log, streaming=True)
+    start_archive(messages, store, checkpoint=new_folder(spark, "checkpoint")).awaitTermination()
+    return store
+
+
+def q_archive_documents(spark, sf_dir):
+    """The stored text is the text that was sent, whatever its fields."""
+    store = _odd_archive(spark, sf_dir)
+    kept = [find(spark, store, c).select(F.lit(c).alias("collection"), "raw") for c in
+            ("humidity", "temperature", QUARANTINE)]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2])
+
+
+def q_recompute_odd_fields(spark, sf_dir):
+    """A bad optional field takes no reading out of the statistics."""
+    return _plain_bounds(recompute(spark, _odd_archive(spark, sf_dir), **WINDOW, **EXACT))
+
+
+def q_publish_twice(spark, sf_dir):
+    """Two publishes to one log: positions stay distinct and ascend for each sensor."""
+    log = new_folder(spark, "log")
+    readings = _readings(spark, sf_dir)
+    half = readings.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    publish_to_files(readings.where(F.col("event_id") <= half), log, order="event_id", partitions=8)
+    publish_to_files(readings.where(F.col("event_id") > half), log, order="event_id", partitions=8)
+    sent = read_file_log(spark, log)
+    stamp = F.get_json_object("value", "$.timestamp")
+    before = Window.partitionBy("key", "topic").orderBy("offset")
+    ordered = sent.select("key", "topic", "partition", "offset", stamp.alias("t")).withColumn(
+        "descends", (F.lag("t").over(before) > F.col("t")).cast("int")
+    )
+    return ordered.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("partition", "offset").alias("positions"),
+        F.coalesce(F.sum("descends"), F.lit(0)).alias("descents"),
+    )
+
+
 def q_publish_envelope(spark, sf_dir):
     return read_file_log(spark, _published(spark, sf_dir)).select("key", "value", "topic")
 
@@ -453,10 +555,15 @@ def q_location_files(spark, sf_dir):
     """Suppliers as locations: an address over two lines and a list of features."""
     use_utc(spark)
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    nation = F.col("s_nationkey").cast("string")
     locations = suppliers.select(
         F.col("s_suppkey").cast("int").alias("location_id"),
         F.concat(F.col("s_name"), F.lit('\n"No. 1", '), F.col("s_nationkey")).alias("address"),
-        F.array(F.lit("road"), F.concat(F.lit("nation "), F.col("s_nationkey"))).alias("topography"),
+        F.array(
+            F.lit("farmer's field"),
+            F.concat(F.lit('the "big" nation, no. '), nation),
+            F.concat(F.lit("a\\b "), nation),
+        ).alias("topography"),
     )
     path = new_folder(spark, "locations")
     write_locations(locations, path)
@@ -485,6 +592,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _FIRST, _LAST = "min(moment)", "max(moment)"
 _PLACE = "{'p': event_id % 4, 'o': event_id}"
+_ARRIVAL = "{'a': moment, 'e': event_id}"
 
 _STATS = """
   ((20 * sum(cast(round(value * 100) as bigint)) + count(*)) // (2 * count(*)))
@@ -507,7 +615,7 @@ def _windows_sql(
     """All 10 h / 1 h windows of the events, each row spread to the ten it is in."""
     return f"""
 WITH readings AS (
-  SELECT user_id, event_id, value, {time} AS moment FROM events WHERE {where}
+  SELECT user_id, event_id, value, ts, {time} AS moment FROM events WHERE {where}
 ), spread AS (
   SELECT readings.*,
     time_bucket(interval '1 hour', moment, timestamp '1970-01-01') - k * interval '1 hour' AS ws
@@ -577,7 +685,43 @@ FROM spread WHERE ts < ws + interval '10 hours' GROUP BY user_id, ws""",
         "overheat_arrival": _windows_sql(
             first=f"arg_min(moment, {_PLACE})", last=f"arg_max(moment, {_PLACE})"
         ),
-        "proc_time_window": _windows_sql(time="ts + (event_id % 7) * interval '1 second'"),
+        "proc_time_window": _windows_sql(
+            time="ts + (event_id % 7) * interval '1 second'",
+            first=f"arg_min(ts, {_ARRIVAL})",
+            last=f"arg_max(ts, {_ARRIVAL})",
+        ),
+        "overheat_default": f"""
+SELECT * REPLACE (cast(mean_temp AS float) AS mean_temp) FROM ({_windows_sql()})""",
+        "stream_slices_update": _windows_sql(),
+        "stream_late_strict": f"""
+WITH sliced AS (
+  SELECT *, event_id * {SLICES} // (SELECT max(event_id) + 1 FROM events) AS slice,
+    CASE WHEN event_id % 10 = 0 THEN ts - interval '2 days' ELSE ts END AS moment
+  FROM events
+), marks AS (
+  SELECT k AS slice, (SELECT max(moment) FROM sliced WHERE slice < k) - interval '2 seconds' AS mark
+  FROM generate_series(0, {SLICES - 1}) g(k)
+), spread AS (
+  SELECT sliced.*, time_bucket(interval '1 hour', moment, timestamp '1970-01-01') - k * interval '1 hour' AS ws
+  FROM sliced, generate_series(0, 9) g(k)
+), stats AS (
+  SELECT user_id AS sensor_id, ws AS window_start, ws + interval '10 hours' AS window_end,
+    {_STATS.format(first=_FIRST, last=_LAST)}
+  FROM spread JOIN marks USING (slice)
+  WHERE moment < ws + interval '10 hours' AND (mark IS NULL OR ws + interval '10 hours' > mark)
+  GROUP BY user_id, ws
+)
+SELECT *, mean_temp > 90.0 OR overheat_constant AS hot FROM stats""",
+        "archive_documents": f"""
+SELECT replace({_TOPIC}, '-topic', '') AS collection,
+  '{{"id":' || user_id || ',"latitude":"north","timestamp":"' || {_STAMP} || '","value":' || value
+    || ',"unit":"C"}}' AS raw
+FROM events""",
+        "recompute_odd_fields": _windows_sql(
+            time=_SECONDS, where=_TEMPERATURE, key_type="integer"
+        ),
+        "publish_twice": f"""
+SELECT {_TOPIC} AS topic, count(*) AS n, count(*) AS positions, 0 AS descents FROM events GROUP BY 1""",
         "reading_decode": f"""
 SELECT event_id, cast(user_id AS integer) AS sensor_id, event_type AS sensor_type,
   {_STAMP} AS timestamp, {_SECONDS} AS event_time, cast(props->>'$.k' AS double) AS value
@@ -615,7 +759,9 @@ FROM spans""",
             time=_SECONDS, where=_TEMPERATURE, key_type="integer", having=f"{_HOT} AND {_CLOSED}"
         ),
         "stream_clock_window": """
-SELECT cast(user_id AS integer) AS sensor_id, 10 * count(*) AS n FROM events GROUP BY user_id""",
+SELECT cast(user_id AS integer) AS sensor_id, 10 * count(*) AS n,
+  strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM events GROUP BY user_id""",
         "stream_quarantine": f"""
 SELECT {_TOPIC} AS topic,
   CASE event_type
@@ -651,6 +797,6 @@ FROM events""",
         "location_files": """
 SELECT cast(s_suppkey AS integer) AS location_id,
   s_name || chr(10) || '"No. 1", ' || s_nationkey AS address,
-  'road|nation ' || s_nationkey AS features
+  'farmer''s field|the "big" nation, no. ' || s_nationkey || '|a\\b ' || s_nationkey AS features
 FROM supplier""",
     }

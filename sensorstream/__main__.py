@@ -15,22 +15,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorstream.functions.eventtime import event_time_from_millis, with_event_time
+from sensorstream.functions.keys import log_place
 from sensorstream.operators.windows import window_counts
 from sensorstream.plans.archive import start_archive
 from sensorstream.plans.overheat import CLOCK, EVENT, LOG, overheat, start_overheat
-from sensorstream.plans.publish import messages_of, publish_to_files
+from sensorstream.plans.publish import in_sending_order, publish_to_files
 from sensorstream.plans.quarantine import start_quarantine
 from sensorstream.plans.recompute import recompute
-from sensorstream.schemas import HUMIDITY_TOPIC, KEYED_MILLIS, TEMPERATURE_TOPIC
+from sensorstream.schemas import (
+    CONSTANT_THRESHOLD,
+    HUMIDITY_TOPIC,
+    KEYED_MILLIS,
+    MEAN_THRESHOLD,
+    OUT_OF_ORDERNESS,
+    TEMPERATURE_TOPIC,
+    WINDOW_SIZE,
+    WINDOW_SLIDE,
+)
 from sensorstream.session import session_builder
 from sensorstream.sources.collections import create_collections
 from sensorstream.sources.files import read_file_log, read_readings
 from sensorstream.sources.kafka import publish_to_kafka, read_topics
-from sensorstream.streaming.runner import start_console
+from sensorstream.streaming.runner import print_rows, start_console
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="sensorstream", description=__doc__)
+    top.add_argument("--shuffle-bytes", type=int, help="expected shuffle volume, sizes the partitions")
+    top.add_argument("--cores", type=int, default=8, help="cores of all executors")
     jobs = top.add_subparsers(dest="job", required=True)
 
     def job(name: str, help_text: str) -> argparse.ArgumentParser:
@@ -47,9 +59,20 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--checkpoint")
         command.add_argument("--every", help="trigger interval")
 
+    def computes_heat(command: argparse.ArgumentParser) -> None:
+        command.add_argument("--size", default=WINDOW_SIZE)
+        command.add_argument("--slide", default=WINDOW_SLIDE)
+        command.add_argument("--mean-threshold", type=float, default=MEAN_THRESHOLD)
+        command.add_argument("--constant-threshold", type=float, default=CONSTANT_THRESHOLD)
+        command.add_argument("--min-count", type=int, default=1)
+        command.add_argument("--decimals", type=int, help="decimal places of the values")
+
     heat = job("overheat", "heat statistics or alerts per sensor and sliding window")
     consumes(heat, [TEMPERATURE_TOPIC])
-    heat.add_argument("--output", help="folder of the result table; console without it")
+    computes_heat(heat)
+    heat.add_argument("--delay", default=OUT_OF_ORDERNESS, help="of the watermark")
+    heat.add_argument("--source-tz", help="zone of the readings' timestamps, UTC without it")
+    heat.add_argument("--output", help="folder of the result table; prints every row without it")
     heat.add_argument("--time", choices=[EVENT, LOG, CLOCK], default=EVENT)
     heat.add_argument("--mode", choices=["append", "update"], default="append")
     heat.add_argument("--files-per-batch", type=int)
@@ -82,6 +105,7 @@ def parser() -> argparse.ArgumentParser:
     again.add_argument("--store", required=True)
     again.add_argument("--collection", default="temperature")
     again.add_argument("--output", required=True)
+    computes_heat(again)
 
     count = job("count", "rows per key and sliding window of a CSV of key and milliseconds")
     count.add_argument("input")
@@ -106,14 +130,31 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     )
 
 
+def _heat_options(args: argparse.Namespace) -> dict:
+    names = ("size", "slide", "mean_threshold", "constant_threshold", "min_count", "decimals")
+    return {name: getattr(args, name) for name in names}
+
+
 def _overheat(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     messages = _messages(spark, args)
-    options = {"time": args.time, "alerts_only": args.alerts_only}
+    options = {
+        "time": args.time,
+        "alerts_only": args.alerts_only,
+        "delay": args.delay,
+        "source_tz": args.source_tz,
+        **_heat_options(args),
+    }
     if args.arrival_order:
-        options["arrival"] = ("partition", "offset")
+        place = log_place(F.col("partition"), F.col("offset"))
+        messages, options["arrival"] = messages.withColumn("place", place), "place"
     if not args.output:
         return start_console(
-            overheat(messages, **options), name="overheat", mode=args.mode, every=args.every
+            overheat(messages, **options),
+            name="overheat",
+            checkpoint=args.checkpoint,
+            mode=args.mode,
+            every=args.every,
+            strict=args.strict,
         )
     return start_overheat(
         messages,
@@ -154,11 +195,12 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.log:
         publish_to_files(readings, args.log, partitions=args.partitions)
     else:
-        publish_to_kafka(messages_of(readings), args.servers, acks=args.acks)
+        publish_to_kafka(in_sending_order(readings), args.servers, acks=args.acks)
 
 
 def _recompute(spark: SparkSession, args: argparse.Namespace) -> None:
-    recompute(spark, args.store, args.collection).write.mode("overwrite").parquet(args.output)
+    stats = recompute(spark, args.store, args.collection, **_heat_options(args))
+    stats.write.mode("overwrite").parquet(args.output)
 
 
 def _count(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -168,7 +210,7 @@ def _count(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.output:
         counts.write.mode("overwrite").option("header", True).csv(args.output)
     else:
-        counts.orderBy("k", "window_start_ms").show(truncate=False)
+        print_rows(counts.orderBy("k", "window_start_ms"))
 
 
 JOBS = {
@@ -183,7 +225,11 @@ JOBS = {
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = session_builder(f"sensorstream-{args.job}").getOrCreate()
+    if args.job == "overheat" and args.files_per_batch and not args.output:
+        raise SystemExit("--files-per-batch needs --output")
+    spark = session_builder(
+        f"sensorstream-{args.job}", shuffle_bytes=args.shuffle_bytes, cores=args.cores
+    ).getOrCreate()
     query = JOBS[args.job](spark, args)
     if query is not None:
         query.awaitTermination()

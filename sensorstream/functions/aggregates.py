@@ -45,23 +45,40 @@ def rounded_mean(
 ) -> Measure:
     """Mean rounded half up to ``digits`` places.
 
-    ``decimals`` states that values have at most that many decimal places. The
-    sum is then kept as a whole number, so that the result depends neither on the
-    order of rows nor on the number of tasks.
+    The sum is a fixed-point number, so the result depends neither on the order of
+    rows nor on the plan or the number of tasks: of each value the first 18 decimal
+    places count. Values of 10^19 and more, infinities and NaN are summed apart as doubles.
+    ``decimals`` states that values have at most that many decimal places; whole
+    numbers then do, which is faster, and a value with more places stops the job.
     """
     number, count = F.col(value), f"{value}_count"
     if decimals is None:
-        total = f"{value}_sum"
-        summand = number
-        mean = F.round(F.col(total) / F.col(count), digits)
-    elif decimals > digits:
+        total, far = f"{value}_sum", f"{value}_far_sum"
+        fixed = F.abs(number) < F.lit(1e19)
+        near = F.when(fixed, number).try_cast("decimal(38,18)")
+        mean = F.when(
+            F.col(far).isNull(),
+            F.round(F.col(total) / F.col(count).cast("decimal(19,0)"), digits).cast("double"),
+        ).otherwise((F.coalesce(F.col(total).cast("double"), F.lit(0.0)) + F.col(far)) / F.col(count))
+        fold = {
+            total: F.sum(near),
+            far: F.sum(F.when(~fixed | F.isnan(number), number.cast("double"))),
+            count: F.count(value),
+        }
+        merge = {state: F.sum(state) for state in fold}
+        return Measure(name, fold, merge, mean)
+    if decimals > digits:
         raise ValueError("values have more decimals than the mean keeps")
-    else:
-        total = f"{value}_sum_{decimals}"
-        summand = F.round(number * F.lit(10**decimals)).cast("bigint")
-        doubled = f"{total} * {2 * 10 ** (digits - decimals)}L"
-        half = f"cast(sign({total}) as bigint) * {count}"
-        mean = F.expr(f"(({doubled} + {half}) div (2 * {count})) / {10**digits}.0D")
+    total = f"{value}_sum_{decimals}"
+    scaled = number * F.lit(float(10**decimals))
+    whole = F.round(scaled)
+    # Scaling itself is off by a few units in the last place of a double.
+    off = F.abs(scaled - whole) > F.greatest(F.abs(scaled) * 1e-12, F.lit(1e-9))
+    finer = F.raise_error(F.concat(F.lit(f"more than {decimals} decimal places: "), number.cast("string")))
+    summand = F.when(off, finer.cast("bigint")).otherwise(whole.cast("bigint"))
+    doubled = f"{total} * {2 * 10 ** (digits - decimals)}L"
+    half = f"cast(sign({total}) as bigint) * {count}"
+    mean = F.expr(f"(({doubled} + {half}) div (2 * {count})) / {10**digits}.0D")
     fold = {total: F.sum(summand), count: F.count(value)}
     return Measure(name, fold, {total: F.sum(total), count: F.sum(count)}, mean)
 

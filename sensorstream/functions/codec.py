@@ -41,7 +41,10 @@ def decode(
     if missing:
         raise ValueError(f"a reading needs {sorted(missing)}")
     schema = T.StructType([f for f in READING.fields if f.name in fields])
-    options = {"allowSingleQuotes": "false"}  # not JSON, though Spark would take it
+    options = {
+        "allowSingleQuotes": "false",  # not JSON, though Spark would take it
+        "mode": "PERMISSIVE",  # a field of a wrong type is null, the others stay
+    }
     if corrupt:
         schema = schema.add(CORRUPT, T.StringType())
         options["columnNameOfCorruptRecord"] = CORRUPT

@@ -23,19 +23,15 @@ def log_partition(key: Column, partitions: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
 
 
-# A log place packs the partition above the offset in one 63-bit number.
-PARTITION_BITS = 20
-OFFSET_BITS = 43
+# A log place holds the partition above any 63-bit offset.
+OFFSETS = 2**63
 
 
 def log_place(partition: Column, offset: Column) -> Column:
     """Place of a message in its log as one ascending number.
 
     Ordering by it equals ordering by ``(partition, offset)``, but one fixed-width
-    column keeps window aggregation in hash buffers. A position too large for it
-    stops the job; order by the pair of columns then.
+    column keeps window aggregation in hash buffers.
     """
-    fits = partition.between(0, 2**PARTITION_BITS - 1) & offset.between(0, 2**OFFSET_BITS - 1)
-    place = F.shiftleft(partition.cast("bigint"), OFFSET_BITS).bitwiseOR(offset.cast("bigint"))
-    too_large = F.raise_error(F.lit("log position too large: order by (partition, offset)"))
-    return F.when(fits, place).otherwise(too_large.cast("bigint"))
+    above = partition.cast("decimal(18,0)") * F.lit(str(OFFSETS)).cast("decimal(19,0)")
+    return (above + offset.cast("decimal(19,0)")).cast("decimal(38,0)")

@@ -1,15 +1,12 @@
-"""Regular series per sensor, for load tests and gap-free grids."""
+"""Regular series per sensor: gap-free grids."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorstream.functions.intervals import micros
 
-# Readings are whole numbers in this range.
-LOWEST_VALUE = 50
-HIGHEST_VALUE = 100
 STEPS_PER_BLOCK = 3_600
 
 
@@ -43,9 +40,3 @@ def series_grid(
     return blocks.select(
         *kept, F.explode(F.sequence(F.col("block_us"), until, F.lit(step_us))).alias("at_us")
     ).select(*kept, F.timestamp_micros("at_us").cast(kind).alias(name))
-
-
-def synthetic_value(*parts: Column) -> Column:
-    """Repeatable stand-in for a random whole reading, derived from its key parts."""
-    span = HIGHEST_VALUE - LOWEST_VALUE + 1
-    return (F.lit(LOWEST_VALUE) + F.pmod(F.xxhash64(*parts), F.lit(span))).cast("double")

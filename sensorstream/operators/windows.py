@@ -79,11 +79,12 @@ def _merge(measures: Sequence[Measure]) -> list[Column]:
 
 
 def _direct(df, keys, time, size, slide, measures) -> DataFrame:
-    grouped = df.groupBy(*keys, F.window(time, size, slide)).agg(*_fold(measures))
+    window = F.window(time, size, slide).alias("__window")  # a key may be called window
+    grouped = df.groupBy(*keys, window).agg(*_fold(measures))
     return (
-        grouped.withColumn("window_start", F.col("window.start"))
-        .withColumn("window_end", F.col("window.end"))
-        .drop("window")
+        grouped.withColumn("window_start", F.col("__window.start"))
+        .withColumn("window_end", F.col("__window.end"))
+        .drop("__window")
     )
 
 
@@ -151,6 +152,7 @@ def overheat_stats(
     arrival: str | Sequence[str] | None = None,
     decimals: int | None = None,
     mean_type: str = "float",
+    reading_time: str | None = None,
     plan: str = "auto",
 ) -> DataFrame:
     """Heat statistics per sensor and sliding window, all windows.
@@ -160,14 +162,15 @@ def overheat_stats(
     ``mean_threshold`` or all of its values exceed ``constant_threshold``; the
     comparison uses the rounded double, before the cast to ``mean_type``.
     ``arrival`` names the columns that give order of arrival for first_ts and
-    last_ts; without it they are the earliest and the latest reading time.
+    last_ts; without it they are the earliest and the latest reading time. That time
+    is ``reading_time``, where windows go by another clock than the readings' own.
     """
     complete = readings.where(F.col(value).isNotNull())
     measures = [
         rounded_mean(value, "mean_temp", decimals=decimals),
         all_above(value, constant_threshold, "overheat_constant"),
-        edge_reading(time, "first_ts", last=False, order=arrival),
-        edge_reading(time, "last_ts", last=True, order=arrival),
+        edge_reading(reading_time or time, "first_ts", last=False, order=arrival),
+        edge_reading(reading_time or time, "last_ts", last=True, order=arrival),
         count_values(value, "n"),
     ]
     windows = sliding_windows(complete, [key], time, size, slide, measures, plan=plan)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorstream.functions.codec import CORRUPT, decode
+from sensorstream.functions.codec import decode
 from sensorstream.operators.routing import collection_of
 from sensorstream.sources.collections import DOCUMENT, QUARANTINE, create_folders
 from sensorstream.streaming.runner import start_batches
@@ -16,16 +16,13 @@ from sensorstream.streaming.sinks import batch_store
 def documents(messages: DataFrame) -> DataFrame:
     """Messages as documents with their collection.
 
-    What does not parse, or comes from a topic without a collection, goes to the
-    quarantine collection with its text.
+    A document keeps the whole message text, whatever fields it has, beside the fields of a
+    reading; one of a wrong type is null and spoils no other. What is no JSON object, or
+    comes from a topic without a collection, goes to the quarantine collection.
     """
-    decoded = decode(messages, corrupt=True)
-    parsed = F.col("raw").isNotNull() & F.col(CORRUPT).isNull()
-    collection = F.coalesce(F.when(parsed, collection_of(F.col("topic"))), F.lit(QUARANTINE))
-    routed = decoded.withColumn("collection", collection).withColumn(
-        "raw", F.when(F.col("collection") == QUARANTINE, F.col("raw"))
-    )
-    return routed.select(*DOCUMENT.names, "collection")
+    is_object = F.json_object_keys("raw").isNotNull()
+    collection = F.coalesce(F.when(is_object, collection_of(F.col("topic"))), F.lit(QUARANTINE))
+    return decode(messages).withColumn("collection", collection).select(*DOCUMENT.names, "collection")
 
 
 def start_archive(

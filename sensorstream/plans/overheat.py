@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorstream.functions.codec import decode
-from sensorstream.functions.eventtime import with_event_time
+from sensorstream.functions.eventtime import parse_event_time, with_event_time
 from sensorstream.operators.quality import good_readings
 from sensorstream.operators.windows import overheat_alerts, overheat_stats
 from sensorstream.schemas import OUT_OF_ORDERNESS
@@ -30,16 +30,17 @@ def overheat(
 
     ``time`` says what windows go by: ``"event"`` the reading's own timestamp,
     ``"log"`` the time the log took the message in, ``"clock"`` the time the job
-    reads it (one value per batch). Further arguments go to
-    :func:`~sensorstream.operators.windows.overheat_stats`.
+    reads it (one value per batch). First and last reading carry the reading's own
+    timestamp as it was sent, whatever the clock and ``source_tz``. Further arguments go
+    to :func:`~sensorstream.operators.windows.overheat_stats`.
     """
     clocks = {EVENT: F.col("event_time"), LOG: F.col("log_time"), CLOCK: F.current_timestamp()}
     if time not in clocks:
         raise ValueError(f"time must be one of {tuple(clocks)}")
     decoded = decode(messages, fields=("id", "timestamp", "value"), source_tz=source_tz)
-    readings = good_readings(decoded)
+    readings = good_readings(decoded).withColumn("sent_at", parse_event_time(F.col("timestamp")))
     timed = with_event_time(readings, clocks[time], delay if messages.isStreaming else None, "at")
-    windows = overheat_stats(timed, time="at", **stats)
+    windows = overheat_stats(timed, time="at", reading_time="sent_at", **stats)
     return overheat_alerts(windows) if alerts_only else windows
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sensorstream.functions.codec import encode
 from sensorstream.operators.routing import topic_of
 from sensorstream.schemas import READING
-from sensorstream.sources.files import with_log_position, write_file_log
+from sensorstream.sources.files import last_offset, with_log_position, write_file_log
 
 
 def messages_of(readings: DataFrame, *, integral_values: bool = True) -> DataFrame:
@@ -22,6 +22,17 @@ def messages_of(readings: DataFrame, *, integral_values: bool = True) -> DataFra
 def publish_to_files(
     readings: DataFrame, path: str, *, order: str = "timestamp", partitions: int = 1
 ) -> None:
-    """Publish to a file log; offsets of a sensor ascend with ``order``."""
+    """Publish to a file log; offsets of a sensor ascend with ``order``, and from publish to publish.
+
+    Offsets go on behind the greatest one in the log, so one publish runs at a time.
+    """
     keyed = readings.withColumn("sent_order", F.col(order))
-    write_file_log(with_log_position(messages_of(keyed), "sent_order", partitions=partitions), path)
+    after = last_offset(readings.sparkSession, path)
+    placed = with_log_position(messages_of(keyed), "sent_order", partitions=partitions, after=after)
+    write_file_log(placed, path)
+
+
+def in_sending_order(readings: DataFrame, order: str = "timestamp") -> DataFrame:
+    """Messages for a broker: those of a sensor in one task, in order."""
+    messages = messages_of(readings.withColumn("sent_order", F.col(order)))
+    return messages.repartition("key").sortWithinPartitions("key", "sent_order")

@@ -15,7 +15,6 @@ from pyspark.sql import SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Small, because window rows multiply by size/slide behind the exchange.
 TARGET_PARTITION_BYTES = 32 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 # Local scratch folder of this process, used only where the session names none.
 _local_scratch: str | None = None
@@ -26,7 +25,7 @@ _shipped: set[str] = set()
 def shuffle_partitions_for(shuffle_bytes: int, cores: int) -> int:
     """Reduce tasks that keep a partition near 32 MB, three waves of cores at least."""
     wanted = -(-shuffle_bytes // TARGET_PARTITION_BYTES)
-    return max(1, min(max(wanted, 3 * cores), MAX_SHUFFLE_PARTITIONS))
+    return max(1, wanted, 3 * cores)
 
 
 def session_builder(

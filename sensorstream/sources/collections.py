@@ -23,7 +23,7 @@ DOCUMENT = T.StructType(
         T.StructField("sensor_id", T.IntegerType()),
         *[f for f in READING.fields if f.name != "id"],
         T.StructField("event_time", T.TimestampType()),
-        # Message text, kept for documents that did not parse.
+        # The message text as it came.
         T.StructField("raw", T.StringType()),
     ]
 )

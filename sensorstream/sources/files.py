@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorstream.functions.keys import log_partition
@@ -26,16 +26,28 @@ def read_readings(spark: SparkSession, path: str, *, lines: bool = False) -> Dat
 
 
 def write_readings(readings: DataFrame, path: str, *, mode: str = "error") -> None:
-    """Readings as JSON lines in one folder per sensor (``id=<n>``).
+    """Readings as JSON lines, sensor by sensor and in order of time.
 
-    Ranges of (sensor, time) keep the number of files near sensors plus tasks,
-    and still let several tasks write one hot sensor.
+    A file holds a range of (sensor, time), so the number of files follows the bytes, not the
+    sensors, and several tasks write one hot sensor.
     """
-    # The work is in opening files, not in bytes, so adaptive merging of small
-    # partitions would starve it: a fixed number of ranges is not merged.
-    ranges = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = readings.select(*READING.names).repartitionByRange(ranges, "id", "timestamp")
-    ranged.sortWithinPartitions("id", "timestamp").write.mode(mode).partitionBy("id").json(path)
+    ranged = readings.select(*READING.names).repartitionByRange("id", "timestamp")
+    ranged.sortWithinPartitions("id", "timestamp").write.mode(mode).json(path)
+
+
+# One quoted text of a list literal, in either kind of quotes, with escapes.
+QUOTED = r"""(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+")"""
+
+
+def parse_features(literal: Column) -> Column:
+    """The texts of a list literal; one that is no such list stops the job, null stays null."""
+    whole = rf"(?s)^\s*\[\s*(?:{QUOTED}(?:\s*,\s*{QUOTED})*)?\s*\]\s*$"
+    inner = F.transform(
+        F.regexp_extract_all(literal, F.lit(f"(?s){QUOTED}"), 0),
+        lambda t: F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), r"(?s)\\(.)", "$1"),
+    )
+    wrong = F.raise_error(F.concat(F.lit("no list of quoted texts: "), literal))
+    return F.when(literal.rlike(whole), inner).when(literal.isNotNull(), wrong.cast("array<string>"))
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +60,7 @@ def read_locations(spark: SparkSession, path: str) -> DataFrame:
         .option("escape", '"')
         .csv(path)
     )
-    features = F.from_json(F.translate("topography", "'", '"'), "array<string>")
+    features = parse_features(F.col("topography"))
     return rows.select(
         F.col("sensor_id").cast(LOCATION["location_id"].dataType).alias("location_id"),
         "address",
@@ -58,7 +70,8 @@ def read_locations(spark: SparkSession, path: str) -> DataFrame:
 
 def write_locations(locations: DataFrame, path: str, *, mode: str = "error") -> None:
     """The location dimension in the CSV form that :func:`read_locations` reads."""
-    quoted = F.transform("topography", lambda f: F.concat(F.lit("'"), f, F.lit("'")))
+    escaped = F.transform("topography", lambda f: F.regexp_replace(f, r"([\\'])", r"\\$1"))
+    quoted = F.transform(escaped, lambda f: F.concat(F.lit("'"), f, F.lit("'")))
     literal = F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
     (
         locations.select(
@@ -74,25 +87,35 @@ def write_locations(locations: DataFrame, path: str, *, mode: str = "error") ->
 
 
 def with_log_position(
-    messages: DataFrame, order: str, *, partitions: int = 1
+    messages: DataFrame, order: str, *, partitions: int = 1, after: int = -1
 ) -> DataFrame:
     """Give ``(key, value, topic, <order>)`` rows a partition, an offset and a time.
 
     Equal keys share a partition and their offsets ascend with ``order``; offsets
-    may have gaps, as in a compacted log. Rows are range-partitioned, so even the
-    rows of one hot key are numbered by many tasks.
+    start behind ``after`` and may have gaps, as in a compacted log. Rows are
+    range-partitioned, so the rows of one hot key are numbered by many tasks, and of
+    equal ``order`` those of different keys.
     """
     placed = messages.withColumn("partition", log_partition(F.col("key"), partitions))
-    by = ("topic", "partition", order)
+    by = ("topic", "partition", order, "key")
     numbered = (
         placed.repartitionByRange(*by)
         .sortWithinPartitions(*by)
-        .withColumn("offset", F.monotonically_increasing_id())
+        .withColumn("offset", F.monotonically_increasing_id() + F.lit(after + 1))
         .withColumn("timestamp", F.current_timestamp())
     )
     return numbered.select(*ENVELOPE.names)
 
 
+def last_offset(spark: SparkSession, path: str) -> int:
+    """Greatest offset of a file log, -1 if it is empty or not there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return -1
+    last = read_file_log(spark, path).agg(F.max("offset")).first()[0]
+    return -1 if last is None else last
+
+
 def write_file_log(log: DataFrame, path: str, *, mode: str = "append") -> None:
     """Append envelope rows to a file log, one folder per topic."""
     log.select(*ENVELOPE.names).write.mode(mode).partitionBy("topic").parquet(path)

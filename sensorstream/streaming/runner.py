@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from sensorstream.session import ROCKSDB, settings
+from sensorstream.session import ROCKSDB, new_folder, settings
 from sensorstream.streaming.lateness import strict_lateness
 from sensorstream.streaming.sinks import BatchWriter
 
@@ -18,11 +20,10 @@ FILE_FORMATS = ("csv", "json", "parquet")
 
 
 def _writer(
-    df: DataFrame, name: str, checkpoint: str | None, mode: str, every: str | None
+    df: DataFrame, name: str, checkpoint: str, mode: str, every: str | None
 ) -> DataStreamWriter:
     writer = df.writeStream.queryName(name).outputMode(mode)
-    if checkpoint is not None:
-        writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.option("checkpointLocation", checkpoint)
     # Without an interval: work off what is there in bounded batches, then stop.
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -73,9 +74,28 @@ def start_files(
     return _start(writer, df, strict)
 
 
+def print_rows(df: DataFrame, write: Callable[[str], object] = print) -> None:
+    """Print every row. One partition at a time reaches the driver; for volume, use files."""
+    for row in df.toLocalIterator():
+        write("  ".join(f"{name}={value}" for name, value in row.asDict().items()))
+
+
 def start_console(
-    df: DataFrame, *, name: str, mode: str = "append", every: str | None = None
+    df: DataFrame,
+    *,
+    name: str,
+    checkpoint: str | None = None,
+    mode: str = "append",
+    every: str | None = None,
+    strict: bool = False,
 ) -> StreamingQuery:
-    """Print result rows; for looking at small streams."""
-    writer = _writer(df, name, None, mode, every).format("console").option("truncate", False)
-    return _start(writer, df, False)
+    """Print every result row, the way to look at small streams."""
+    return start_batches(
+        df,
+        lambda batch, _: print_rows(batch),
+        name=name,
+        checkpoint=checkpoint or new_folder(df.sparkSession, "console"),
+        mode=mode,
+        every=every,
+        strict=strict,
+    )

@@ -30,6 +30,37 @@ def test_publish_archive_recompute_alert(spark, dump, folder):
     main(["overheat", "--log", log, "--output", heat, "--mode", "update"])
     assert spark.read.parquet(heat).drop("batch_id").exceptAll(spark.read.parquet(again)).isEmpty()
     main(["overheat", "--log", log, "--alerts-only", "--mode", "update"])
+    with pytest.raises(SystemExit):
+        main(["overheat", "--log", log, "--files-per-batch", "1"])
+
+
+def test_every_window_is_printed(spark, dump, folder, capsys):
+    log, checkpoint = folder("log"), folder("checkpoint")
+    main(["publish", dump, "--log", log])
+    job = ["overheat", "--log", log, "--mode", "update", "--checkpoint", checkpoint, "--strict"]
+    main(job)
+    lines = [x for x in capsys.readouterr().out.splitlines() if x.startswith("sensor_id=")]
+    assert len(lines) == 39
+    main(job)  # the checkpoint holds: nothing is new
+    assert not [x for x in capsys.readouterr().out.splitlines() if x.startswith("sensor_id=")]
+
+
+def test_job_options(spark, dump, folder, capsys):
+    log = folder("log")
+    main(["publish", dump, "--log", log])
+
+    def printed(*options):
+        main(["overheat", "--log", log, "--mode", "update", *options])
+        return [x for x in capsys.readouterr().out.splitlines() if x.startswith("sensor_id=")]
+
+    assert len(printed("--size", "30 seconds", "--slide", "30 seconds")) == 1
+    hot = printed("--mean-threshold", "1", "--alerts-only")
+    assert len(hot) == 39
+    assert len(printed("--mean-threshold", "1", "--alerts-only", "--min-count", "10")) < len(hot)
+    assert not printed("--mean-threshold", "200", "--constant-threshold", "200", "--alerts-only")
+    local = printed("--source-tz", "Europe/Berlin", "--decimals", "2")
+    assert any("first_ts=2010-01-02 12:25:00" in x and "window_end=2010-01-02 11:25:" in x for x in local)
+    assert len(printed("--arrival-order", "--time", "log", "--delay", "1 minute")) > 0
 
 
 def test_quarantine(spark, dump, folder, messages):
@@ -56,7 +87,10 @@ def test_count(spark, tmp_path, folder, capsys):
     rows = spark.read.option("header", True).csv(out)
     assert rows.count() == 8 and rows.agg(F.sum("n")).first()[0] == 19
     main(["count", str(path)])
-    assert "|hi" in capsys.readouterr().out
+    assert "k=hi" in capsys.readouterr().out
+    path.write_text("".join(f"key{k},1\n" for k in range(40)))
+    main(["count", str(path)])
+    assert all(f"k=key{k} " in out_text for out_text in [capsys.readouterr().out] for k in range(40))
 
 
 def test_a_job_needs_a_source():

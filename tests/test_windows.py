@@ -120,6 +120,34 @@ def test_exact_mean_rounds_half_away_from_zero(spark):
         rounded_mean("v", decimals=4)
 
 
+def test_more_places_than_stated_stop_the_job(readings):
+    with pytest.raises(Exception, match="more than 2 decimal places"):
+        overheat_stats(readings([(1, 0, 90.125)]), decimals=2).collect()
+
+
+def test_default_mean_depends_on_no_plan(spark):
+    rows = spark.range(20_000).select(
+        (F.col("id") % 7).cast("int").alias("sensor_id"),
+        F.timestamp_seconds(F.lit(1262435100) + F.col("id") % 300).alias("event_time"),
+        (F.rand(3) * 100).alias("value"),
+    )
+    panes = overheat_stats(rows, plan="panes", mean_type="double")
+    direct = overheat_stats(rows.repartition(13), plan="direct", mean_type="double")
+    assert panes.exceptAll(direct).isEmpty() and direct.exceptAll(panes).isEmpty()
+
+
+@pytest.mark.parametrize("plan", ["panes", "direct"])
+def test_a_key_called_window(readings, plan):
+    rows = readings([(1, 0, 50), (1, 3, 70)]).withColumnRenamed("sensor_id", "window")
+    assert overheat_stats(rows, key="window", plan=plan).where("n = 2").count() == 7
+
+
+def test_first_and_last_are_the_readings_own(readings):
+    rows = readings([(1, 1, 50), (1, 5, 70)]).withColumn("taken", F.timestamp_seconds(F.lit(1262440000)))
+    stats = overheat_stats(rows, time="taken", reading_time="event_time")
+    assert {(r.first_ts, r.last_ts) for r in stats.collect()} == {("2010-01-02 12:25:01", "2010-01-02 12:25:05")}
+
+
 def test_nan_is_not_hot(readings):
     stats = overheat_stats(readings([(1, 0, float("nan"))])).collect()
     assert len(stats) == 10
