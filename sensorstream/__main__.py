@@ -24,6 +24,7 @@ from sensorstream.plans.quarantine import start_quarantine
 from sensorstream.plans.recompute import recompute
 from sensorstream.schemas import (
     CONSTANT_THRESHOLD,
+    DATABASE,
     HUMIDITY_TOPIC,
     KEYED_MILLIS,
     MEAN_THRESHOLD,
@@ -85,7 +86,8 @@ def parser() -> argparse.ArgumentParser:
     store = job("archive", "messages into their collections")
     consumes(store, [TEMPERATURE_TOPIC, HUMIDITY_TOPIC])
     store.add_argument("--store", required=True)
-    store.add_argument("--tables", action="store_true", help="declare catalog tables as well")
+    store.add_argument("--files-per-batch", type=int)
+    store.add_argument("--tables", action="store_true", help="declare and fill catalog tables as well")
 
     aside = job("quarantine", "messages that are no complete readings")
     consumes(aside, [TEMPERATURE_TOPIC, HUMIDITY_TOPIC])
@@ -177,6 +179,8 @@ def _archive(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         args.store,
         checkpoint=args.checkpoint or f"{args.store}.checkpoint",
         every=args.every,
+        files_per_batch=args.files_per_batch,
+        database=DATABASE if args.tables else None,
     )
 
 

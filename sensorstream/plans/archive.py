@@ -8,7 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorstream.functions.codec import decode
 from sensorstream.operators.routing import collection_of
-from sensorstream.sources.collections import DOCUMENT, QUARANTINE, create_folders
+from sensorstream.sources.collections import (
+    DOCUMENT,
+    FOLDERS,
+    QUARANTINE,
+    create_folders,
+    register_batch,
+)
 from sensorstream.streaming.runner import start_batches
 from sensorstream.streaming.sinks import batch_store
 
@@ -22,7 +28,8 @@ def documents(messages: DataFrame) -> DataFrame:
     """
     is_object = F.json_object_keys("raw").isNotNull()
     collection = F.coalesce(F.when(is_object, collection_of(F.col("topic"))), F.lit(QUARANTINE))
-    return decode(messages).withColumn("collection", collection).select(*DOCUMENT.names, "collection")
+    placed = decode(messages).withColumn("collection", collection).withColumn("day", F.to_date("event_time"))
+    return placed.select(*DOCUMENT.names, *FOLDERS)
 
 
 def start_archive(
@@ -33,12 +40,24 @@ def start_archive(
     name: str = "archive",
     every: str | None = None,
     files_per_batch: int | None = None,
+    database: str | None = None,
 ) -> StreamingQuery:
-    """Run the archive on a stream: one pass and one write for all collections."""
+    """Run the archive on a stream: one pass and one write for all collections.
+
+    ``files_per_batch`` bounds the files of a batch in each folder; ``database`` names the declared
+    tables (``create_collections``) in which each batch is to be seen as soon as it is written.
+    """
     create_folders(messages.sparkSession, store)
+    store_batch = batch_store(store, FOLDERS, files_per_batch)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store_batch(batch, batch_id)
+        if database is not None:
+            register_batch(batch.sparkSession, store, batch_id, database)
+
     return start_batches(
         documents(messages),
-        batch_store(store, ["collection"], files_per_batch),
+        write,
         name=name,
         checkpoint=checkpoint,
         every=every,

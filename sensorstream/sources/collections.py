@@ -1,7 +1,8 @@
 """Stored collections: one table of documents per topic, as Parquet.
 
-Layout ``<store>/collection=<name>/batch_id=<n>/``. The batch folder makes the
-streaming writer idempotent; the collection folder is what a scan prunes by.
+Layout ``<store>/collection=<name>/day=<date>/batch_id=<n>/``. The batch folder makes the
+streaming writer idempotent; collection and day (of the reading's time, null for a
+document without one) are what a scan prunes by.
 """
 
 from __future__ import annotations
@@ -29,15 +30,20 @@ DOCUMENT = T.StructType(
 )
 STORED = T.StructType(
     DOCUMENT.fields
-    + [T.StructField("collection", T.StringType()), T.StructField("batch_id", T.LongType())]
+    + [
+        T.StructField("collection", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
 )
+FOLDERS = ("collection", "day")
 
 
 def create_folders(spark: SparkSession, store: str) -> None:
     """Create the folder of each collection, so that empty ones can be scanned."""
     empty = spark.createDataFrame([], STORED).drop("collection")
     for name in (*COLLECTIONS, QUARANTINE):
-        empty.write.mode("append").partitionBy("batch_id").parquet(f"{store}/collection={name}")
+        empty.write.mode("append").partitionBy("day", "batch_id").parquet(f"{store}/collection={name}")
 
 
 def find(
@@ -45,12 +51,12 @@ def find(
 ) -> DataFrame:
     """All documents of a collection, or those that satisfy ``where``.
 
-    Only the collection's own folder is listed and read.
+    Only the collection's own folder is listed, and a condition on ``day`` reads only those days.
     """
     schema = T.StructType([f for f in STORED.fields if f.name != "collection"])
     documents = spark.read.schema(schema).parquet(f"{store}/collection={collection}")
-    documents = documents.drop("batch_id")
-    return documents if where is None else documents.where(where)
+    found = documents if where is None else documents.where(where)
+    return found.drop("day", "batch_id")
 
 
 def distinct_positions(documents: DataFrame) -> DataFrame:
@@ -69,9 +75,26 @@ def create_collections(spark: SparkSession, store: str, database: str = DATABASE
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in COLLECTIONS:
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}, batch_id BIGINT) "
-            f"USING parquet PARTITIONED BY (batch_id) LOCATION '{store}/collection={name}'"
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}, day DATE, batch_id BIGINT) "
+            f"USING parquet PARTITIONED BY (day, batch_id) LOCATION '{store}/collection={name}'"
+        )
+
+
+def register_batch(spark: SparkSession, store: str, batch_id: int, database: str = DATABASE) -> None:
+    """Make one written batch visible through the catalog tables, without listing the others."""
+    for name in COLLECTIONS:
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(
+            f"{store}/collection={name}/day=*/batch_id={batch_id}"
         )
+        files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        days = [str(s.getPath().getParent().getName())[len("day=") :] for s in files.globStatus(pattern)]
+        parts = [
+            f"PARTITION (day={'null' if day.startswith('__') else repr(day)}, batch_id={batch_id})"
+            for day in sorted(days)
+        ]
+        if parts:
+            spark.sql(f"ALTER TABLE {database}.{name} ADD IF NOT EXISTS {' '.join(parts)}")
+            spark.catalog.refreshTable(f"{database}.{name}")
 
 
 def refresh_collections(spark: SparkSession, database: str = DATABASE) -> None:

@@ -71,12 +71,21 @@ def test_quarantine(spark, dump, folder, messages):
     assert [r.raw for r in spark.read.parquet(out).collect()] == ["nope"]
 
 
-def test_archive_declares_tables(spark, dump, folder):
+def test_archive_fills_tables(spark, dump, folder, messages):
     log, store = folder("log"), folder("store")
     main(["publish", dump, "--log", log])
-    main(["archive", "--log", log, "--store", store, "--tables"])
-    assert spark.catalog.tableExists("sensors.temperature")
-    assert spark.catalog.tableExists("sensors.humidity")
+    spark.sql("DROP TABLE IF EXISTS sensors.temperature")
+    spark.sql("DROP TABLE IF EXISTS sensors.humidity")
+    archive = ["archive", "--log", log, "--store", store, "--tables", "--files-per-batch", "2"]
+    main(archive)
+    main(["publish", dump, "--log", log])
+    write_file_log(messages(['{"id":3}']), log)
+    main(archive)
+    for name, n in (("temperature", 61), ("humidity", 60)):
+        assert spark.table(f"sensors.{name}").count() == find(spark, store, name).count() == n
+        stored = spark.table(f"sensors.{name}").withColumn("file", F.input_file_name())
+        files = stored.groupBy("batch_id", "day").agg(F.countDistinct("file").alias("f"))
+        assert files.where("f > 2").isEmpty()
 
 
 def test_count(spark, tmp_path, folder, capsys):

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from sensorstream.plans.archive import documents
 from sensorstream.plans.publish import publish_to_files
+from sensorstream.plans.recompute import recompute
 from sensorstream.schemas import LOCATION, READING
 from sensorstream.session import new_folder, settings, shared_folder, shuffle_partitions_for
 from sensorstream.sources import kafka
 from sensorstream.sources.collections import (
+    FOLDERS,
     create_collections,
     create_folders,
     distinct_positions,
@@ -173,7 +175,7 @@ def test_documents_and_collections(spark, messages, folder):
     batch = documents(messages(texts).unionByName(messages([good], "other")))
     create_folders(spark, store)
     assert find(spark, store, "humidity").isEmpty()
-    write = batch_store(store, ["collection"])
+    write = batch_store(store, FOLDERS)
     write(batch, 0)
     write(batch, 0)
     assert find(spark, store, "temperature").count() == 2
@@ -187,13 +189,24 @@ def test_documents_and_collections(spark, messages, folder):
     assert distinct_positions(find(spark, store, "temperature")).count() == 2
 
 
+def test_days_prune_a_recomputation(spark, messages, folder):
+    store = folder("store")
+    texts = [f'{{"id":2,"timestamp":"2010-01-0{d} 12:25:00","value":95}}' for d in (1, 2, 3)] + ['{"id":3}']
+    create_folders(spark, store)
+    batch_store(store, FOLDERS)(documents(messages(texts)), 0)
+    one = recompute(spark, store, where=F.col("day") == "2010-01-02")
+    assert one.count() == 10 and recompute(spark, store).count() == 30
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "(day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_catalog_tables(spark, messages, folder):
     store = folder("store")
     create_collections(spark, store, "sensors_test")
     create_collections(spark, store, "sensors_test")
     assert spark.table("sensors_test.temperature").count() == 0
     text = '{"id":2,"timestamp":"2010-01-02 12:25:00","value":95}'
-    batch_store(store, ["collection"])(documents(messages([text])), 0)
+    batch_store(store, FOLDERS)(documents(messages([text])), 0)
     refresh_collections(spark, "sensors_test")
     assert spark.table("sensors_test.temperature").where("value > 90").count() == 1
     assert spark.table("sensors_test.humidity").count() == 0
