@@ -34,6 +34,8 @@ from sensorstream.llm.words import Memo
 
 #: Models write a space as this mark; inside, it is a space, which keeps words in one byte a letter.
 MARK = "▁"
+#: Two pieces in one number: ids and complements of code points lie within half of this. No piece yet.
+PAIR, START = 1 << 33, 1 << 31
 #: Extra loss of a character without a piece, below the worst piece.
 UNKNOWN_LOSS = 10.0
 #: Words a worker keeps with their ids, and pairs of pieces with their test.
@@ -65,18 +67,19 @@ class PieceModel:
         self.worst = min(self.score.values(), default=0.0) - UNKNOWN_LOSS
         self.cut = self._cuts()
         #: Pieces that a bpe model can give: spelled out, they come out in one.
-        self.usable = {p for p in self.id_of if self.merged(p) == [p]} if kind == "bpe" else set()
+        self.usable = {p: i for p, i in self.id_of.items() if kind == "bpe" and self.merged(p) == [p]}
+        self.lengths = list(map(len, self.pieces))
         self.neighbours = Memo(self._come_out, KEPT_PAIRS)
-        self._spelled: list[bytes] = []
+        self.spelling: list[bytes] = []
         for i in ids:
             if library.is_byte(i):
-                self._spelled.append(bytes([int(self.pieces[i][1:-1], 16)]))
+                self.spelling.append(bytes([int(self.pieces[i][1:-1], 16)]))
             elif library.is_control(i):
-                self._spelled.append(b"")
+                self.spelling.append(b"")
             elif library.is_unknown(i):
-                self._spelled.append(" ⁇ ".encode())
+                self.spelling.append(" ⁇ ".encode())
             else:
-                self._spelled.append(self.pieces[i].encode())
+                self.spelling.append(self.pieces[i].encode())
 
     def _cuts(self) -> re.Pattern[str]:
         """Parts of a text between boundaries where all paths meet, whatever the text.
@@ -112,31 +115,41 @@ class PieceModel:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def _come_out(self, pair: tuple[str, str]) -> bool:
+    def spelled(self, piece: int) -> str:
+        return self.pieces[piece] if piece >= 0 else chr(~piece)
+
+    def length(self, piece: int) -> int:
+        return self.lengths[piece] if piece >= 0 else 1
+
+    def _come_out(self, pair: int) -> bool:
         """Whether two pieces, spelled out on end and merged, come out as they are."""
-        return self.merged("".join(pair)) == [*pair]
+        left, right = divmod(pair + PAIR // 2, PAIR)
+        both = [self.spelled(left), self.spelled(right - PAIR // 2)]
+        return self.merged("".join(both)) == both
 
-    def ids_of(self, piece: str) -> list[int]:
-        if piece in self.id_of:
-            return [self.id_of[piece]]
+    def fallback(self, piece: int) -> list[int]:
+        """The ids of a character without a piece."""
         if not self.bytes:
             return [self.unknown]
-        return [self.bytes[b] for b in piece.encode()]
+        return [self.bytes[b] for b in chr(~piece).encode()]
 
 
 class StreamingViterbi:
-    """Feed text; final pieces come out as soon as they are certain."""
+    """Feed text; final ids come out as soon as they are certain.
+
+    A character without a piece stands as the complement of its code point, which is negative, until it is final.
+    """
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
         self.text = ""  # characters since the last final boundary
         #: The best piece that ends at each position of the window; at 0, the final piece before it.
-        self.last: list[str | None] = [""]
+        self.last: list[int | None] = [START]
         self.worth = [0.0]  # of the path to each position, for unigram models
         self.widest = 0
 
-    def feed(self, text: str) -> list[str]:
-        """Read on; the pieces that became final."""
+    def feed(self, text: str) -> list[int]:
+        """Read on; the ids that became final."""
         out, longest = [], self.model.longest
         for begin in range(0, len(text), longest):
             self.text += text[begin : begin + longest]
@@ -149,8 +162,8 @@ class StreamingViterbi:
                 out += self._certain()
         return out
 
-    def close(self) -> list[str]:
-        """The pieces up to the end of the text."""
+    def close(self) -> list[int]:
+        """The ids up to the end of the text."""
         return self._take(len(self.text))
 
     def _by_merges(self) -> None:
@@ -159,46 +172,54 @@ class StreamingViterbi:
         for end in range(len(last), len(text) + 1):
             found = None
             for start in range(end - 1, end - longest - 1 if end > longest else -1, -1):
-                piece = text[start:end]
-                if piece in usable or end - start == 1:
-                    before = last[start]
-                    if before is not None and (not before or passes[before, piece]):
-                        found = piece
-                        break  # one path passes, so short pieces may be tried first
+                piece = usable.get(text[start:end])
+                if piece is None:
+                    if end - start > 1:
+                        continue
+                    piece = ~ord(text[start])
+                before = last[start]
+                if before is not None and (before == START or passes[before * PAIR + piece]):
+                    found = piece
+                    break  # one path passes, so short pieces may be tried first
             last.append(found)
 
     def _by_scores(self) -> None:
         text, last, worth, model = self.text, self.last, self.worth, self.model
         for end in range(len(last), len(text) + 1):
-            best, found = -np.inf, ""
+            best, found = -np.inf, None
             for start in range(max(0, end - model.longest), end):
                 piece = text[start:end]
                 if piece in model.id_of or end - start == 1:
                     total = worth[start] + model.score.get(piece, model.worst)
                     if total > best:
-                        best, found = total, piece
+                        best, found = total, model.id_of.get(piece, ~ord(piece[0]))
             last.append(found)
             worth.append(best)
 
-    def _certain(self) -> list[str]:
-        """Give out the pieces before the boundary in which all surviving paths meet."""
+    def _certain(self) -> list[int]:
+        """Give out the ids before the boundary in which all surviving paths meet."""
         end = len(self.text)
         alive = {p for p in range(end - self.model.longest + 1, end + 1) if self.last[p] is not None}
         # The rightmost position of the set steps back until one is left.
         while len(alive) > 1:
             last = max(alive)
             alive.discard(last)
-            alive.add(last - len(self.last[last]) if last else 0)
+            alive.add(last - self.model.length(self.last[last]) if last else 0)
         return self._take(alive.pop())
 
-    def _take(self, boundary: int) -> list[str]:
-        taken, at = [], boundary
+    def _take(self, boundary: int) -> list[int]:
+        taken, at, last, lengths = [], boundary, self.last, self.model.lengths
         while at:
-            taken.append(self.last[at])
-            at -= len(taken[-1])
+            piece = last[at]
+            if piece < 0:
+                taken += reversed(self.model.fallback(piece))
+                at -= 1
+            else:
+                taken.append(piece)
+                at -= lengths[piece]
         if boundary:
             self.text = self.text[boundary:]
-            self.last = self.last[boundary:]
+            self.last = last[boundary:]
             if self.model.kind != "bpe":
                 base = self.worth[boundary]
                 self.worth = [w - base for w in self.worth[boundary:]]
@@ -213,13 +234,8 @@ class Encoder:
         self.words = Memo(self._searched, KEPT_WORDS)
 
     def _searched(self, segment: str) -> tuple[int, ...]:
-        search, ids, known = StreamingViterbi(self.model), [], self.model.id_of
-        for piece in search.feed(segment) + search.close():
-            if piece in known:
-                ids.append(known[piece])
-            else:
-                ids += self.model.ids_of(piece)
-        return tuple(ids)
+        search = StreamingViterbi(self.model)
+        return tuple(search.feed(segment) + search.close())
 
     def segments(self, text: str) -> list[str]:
         """Parts of normalised text between boundaries that all paths share."""
@@ -235,8 +251,8 @@ class Encoder:
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids: marks become spaces, the one that encoding puts first is dropped."""
-        spelled = self.model._spelled
-        data = b"".join([spelled[i] for i in ids])
+        spelling = self.model.spelling
+        data = b"".join([spelling[i] for i in ids])
         return data.decode("utf-8", "replace").removeprefix(" ")
 
 
