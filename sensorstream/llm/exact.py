@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm.common import SPACE, Scratch, fresh_name, text_of
 
-#: Buckets of a new index: some hundred MB each at 10^10 texts.
-BUCKETS = 64
 #: A digest with more than this share of a batch is hot; so there are at most 1,000.
 HOT_SHARE = 0.001
 INDEX = "digest binary, keep_id bigint, n_chars bigint"
@@ -33,19 +31,30 @@ class DigestIndex:
     """The texts seen so far, by the SHA-256 of their text without white space.
 
     ``path`` is a folder on shared storage. Opening it again, in this session or
-    another, continues the index.
+    another, continues the index. A new one has ``buckets``, by default as many as the session has
+    shuffle partitions, which are sized for the data; the number stays with the index.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
         self.spark = spark
         self.path = path
-        self.buckets = buckets
+        self.buckets = self._layout(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.table = f"digest_index_{uuid.uuid4().hex[:12]}"
         spark.sql(
             f"CREATE TABLE {self.table} ({INDEX}) USING parquet OPTIONS (path '{path}') "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS"
         )
 
+    def _layout(self, buckets: int) -> int:
+        """Number of buckets of the index at the path, written when it is new."""
+        layout = f"{self.path}/_layout"  # Spark passes over names with an underscore
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(layout)
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{layout}/_SUCCESS")):
+            made = self.spark.createDataFrame([(buckets,)], "buckets int")
+            made.coalesce(1).write.mode("overwrite").parquet(layout)
+        return self.spark.read.schema("buckets int").parquet(layout).first()[0]
+
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 

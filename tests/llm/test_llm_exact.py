@@ -56,7 +56,8 @@ def test_later_batches_meet_the_index(spark, documents):
     rows = [(1, "a b"), (2, "ab"), (3, "c")]
     once = sorted(decided(*first.add(documents(rows))))
     first.close()
-    again = DigestIndex(spark, path, buckets=4)  # as after a restart
+    again = DigestIndex(spark, path, buckets=9)  # as after a restart, under other settings
+    assert again.buckets == 4
     assert sorted(decided(*again.add(documents(rows)))) == once  # a batch that runs again decides alike
     later = decided(*again.add(documents([(4, "a  b  "), (5, "d"), (6, "c")])))
     assert sorted(r[:4] for r in later) == [(4, 1, 1, False), (5, 5, 1, True), (6, 3, 1, False)]
