@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check_oracles import connect, differences
-from conftest import SF_DIR
 
+SF_DIR = contract.SMOKE_DIR
 NAMES = sorted(contract.queries())
 
 
