@@ -72,6 +72,21 @@ def test_pairs_say_what_single_terms_do_not():
     assert np.mean(right) > 0.95
 
 
+def test_terms_that_come_in_numbers_decide_in_twos():
+    """Toxic texts of the sample hold five of ten terms; two of them in a text are enough."""
+    rng = np.random.default_rng(4)
+    index, labels = [], []
+    for k in range(1000):
+        toxic = k % 8 == 0
+        terms = rng.choice(np.arange(100, 400), 20, replace=False)
+        index.append(np.sort(np.concatenate([terms, rng.choice(10, 5, replace=False)]) if toxic else terms))
+        labels.append(int(toxic))
+    model = toxicity.train(index, np.array(labels))
+    bar = np.log(toxicity.THRESHOLD / (1 - toxicity.THRESHOLD))
+    assert all(model.margin([model.chosen[a], model.chosen[b]]) >= bar for a in range(10) for b in range(a))
+    assert model.bias < -bar
+
+
 def test_pairs_in_one_pass_equal_all_pairs():
     rng = np.random.default_rng(1)
     model = toxicity.ToxicityModel({}, rng.normal(size=6), rng.normal(size=(6, 4)), 0.3)
