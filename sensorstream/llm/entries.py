@@ -64,8 +64,9 @@ def op5_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the row that stays for its text, through a new index."""
-    index = DigestIndex(spark, new_folder(spark, "digest-index"))
-    decided, names = index.add(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = DigestIndex(spark, new_folder(spark, "digest-index"), expected=docs.count())
+    decided, names = index.add(docs)
     index.close()
     return decided.select(
         "doc_id",

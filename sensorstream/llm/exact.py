@@ -21,6 +21,17 @@ from sensorstream.llm.common import SPACE, Scratch, fresh_name, text_of
 #: A digest with more than this share of a batch is hot; so there are at most 1,000.
 HOT_SHARE = 0.001
 INDEX = "digest binary, keep_id bigint, n_chars bigint"
+#: Texts of one bucket, some 50 MB of digests.
+BUCKET_TEXTS = 1_000_000
+
+
+def buckets_for(spark: SparkSession, expected: int) -> int:
+    """Buckets of ``BUCKET_TEXTS`` texts each, but two tasks for every core at least.
+
+    A small index needs no more files than the session has shuffle partitions.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(partitions, 2 * spark.sparkContext.defaultParallelism), -(-expected // BUCKET_TEXTS), 1)
 
 
 def normalised(text: Column) -> Column:
@@ -31,13 +42,18 @@ class DigestIndex:
     """The texts seen so far, by the SHA-256 of their text without white space.
 
     ``path`` is a folder on shared storage. Opening it again, in this session or
-    another, continues the index. A new one has ``buckets``, by default as many as the session has
-    shuffle partitions, which are sized for the data; the number stays with the index.
+    another, continues the index. A new one has ``buckets``, or as many as suit the ``expected``
+    number of texts that it will come to hold; without either, as many as the session has
+    shuffle partitions. The number stays with the index.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, buckets: int | None = None, *, expected: int | None = None
+    ) -> None:
         self.spark = spark
         self.path = path
+        if buckets is None and expected is not None:
+            buckets = buckets_for(spark, expected)
         self.buckets = self._layout(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.table = f"digest_index_{uuid.uuid4().hex[:12]}"
         spark.sql(

@@ -65,6 +65,16 @@ def test_later_batches_meet_the_index(spark, documents):
     assert stored.count() == 3 and stored.select("digest").distinct().count() == 3
 
 
+def test_buckets_grow_with_the_texts_expected(spark, documents):
+    cores = spark.sparkContext.defaultParallelism
+    few = min(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert exact.buckets_for(spark, 0) == exact.buckets_for(spark, 1000) == few
+    assert exact.buckets_for(spark, 30_000_000_000) == 30_000
+    index = DigestIndex(spark, new_folder(spark, "index"), expected=2)
+    rows = [(1, "a"), (2, "a "), (3, None)]
+    assert index.buckets == few and sorted(decided(*index.add(documents(rows)))) == sorted(plain(rows))
+
+
 def test_the_anti_join_sorts_only_the_new_rows(spark, documents):
     index = DigestIndex(spark, new_folder(spark, "index"), buckets=4)
     index.add(documents([(1, "a")]))
