@@ -1,19 +1,22 @@
 """Licence scans: texts compared with licence templates by Dice coefficient.
 
-A document is compared whole, by paragraph and by line. Each such unit is normalised (lower
-case, runs of anything but letters and digits become one space) and turned into its set
+A document is compared whole, by paragraph and by line. Each such unit is normalised
+(lower case, runs of anything but letters and digits become one space) and turned into its set
 of word bigrams. Two sets of sizes a and b share at most the smaller, so Dice
 reaches t only if  a t / (2 - t) <= b <= a (2 - t) / t: other templates are not
-compared, and units outside of the bounds of all templates do not even get their bigrams.
+compared. So many of a template's bigrams must be in the unit that some of any a - a t / (2 - t) + 1
+are: a text without one of these from any template is not divided into units at all.
 
 Only DataFrame functions are used, row by row, without a shuffle.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +26,8 @@ from sensorstream.llm.common import fresh_name, text_of
 THRESHOLD = 0.8
 
 # The notices of common licences, by SPDX identifier. Longer licences are held by
-# paragraph, as the units of a document are.
+# paragraph, as the units of a document are. The whole texts of all but the CC BY licences are beside this
+# file. A paragraph of several licences counts for the first of them in SQL, for each of them here.
 NOTICES = {
     "Apache-2.0": """Licensed under the Apache License, Version 2.0.
 
@@ -62,6 +66,37 @@ Public License as published by the Free Software Foundation, either version 3 of
 option) any later version.
 
 You should have received a copy of the GNU General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>.""",
+    "GPL-2.0": """This work is licensed under the GNU General Public License, version 2.
+
+GNU General Public License, version 2, June 1991.
+
+This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+option) any later version.
+
+This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+Public License version 2 as published by the Free Software Foundation.
+
+You should have received a copy of the GNU General Public License along with this program; if not, see
+<https://www.gnu.org/licenses/>.""",
+    "AGPL-3.0": """This work is licensed under the GNU Affero General Public License, version 3.
+
+This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+your option) any later version.
+
+You should have received a copy of the GNU Affero General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>.""",
+    "LGPL-2.0": """This work is licensed under the GNU Library General Public License, version 2.""",
+    "LGPL-2.1": """This work is licensed under the GNU Lesser General Public License, version 2.1.""",
+    "LGPL-3.0": """This work is licensed under the GNU Lesser General Public License, version 3.
+
+This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+your option) any later version.
+
+You should have received a copy of the GNU Lesser General Public License along with this program. If not, see
 <https://www.gnu.org/licenses/>.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without
 fee is hereby granted, provided that the above copyright notice and this permission notice appear in all
@@ -82,10 +117,16 @@ of the MPL was not distributed with this file, You can obtain one at https://moz
 }
 
 
+#: Paragraphs of whole texts with fewer bigrams are headings that name no licence.
+LEAST_BIGRAMS = 8
+
+
 @dataclass(frozen=True)
 class Template:
     license: str
     bigrams: tuple[str, ...]
+    phrase: str = ""
+    holders: tuple[str, ...] = ()
 
     def bounds(self, threshold: float) -> tuple[int, int]:
         """Numbers of bigrams with which a unit can reach the threshold."""
@@ -93,19 +134,47 @@ class Template:
         return math.ceil(size / ratio - 1e-9), math.floor(size * ratio + 1e-9)
 
 
+    def telling(self, threshold: float) -> list[str]:
+        """Bigrams of which a unit at the threshold holds one at least: the longest, as they are rare."""
+        size = len(self.bigrams)
+        spared = size - math.ceil(size * threshold / (2 - threshold) - 1e-9)
+        return sorted(self.bigrams, key=lambda b: (-len(b), b))[: spared + 1]
+
+
+def words_of(text: str) -> list[str]:
+    """The words of normalised text."""
+    return re.sub(r"[^\w]+|_", " ", text.lower()).split()
+
+
 def bigrams_of(text: str) -> list[str]:
     """Distinct word bigrams of normalised text, in order."""
-    words = re.sub(r"[^\w]+|_", " ", text.lower()).split()
+    words = words_of(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def whole_texts() -> dict[str, str]:
+    """The whole texts of licences, by identifier."""
+    files = Path(__file__).with_name("texts").glob("*.txt")
+    return {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8") for f in sorted(files)}
+
+
 def templates_of(notices: dict[str, str] = NOTICES) -> list[Template]:
-    """One template per paragraph, and one for the whole notice where it has several."""
-    found: dict[Template, None] = {}
+    """One template per paragraph, and one for the whole notice or text where it has several.
+
+    One that is in the texts of several licences goes by the first of them.
+    """
+    found: dict[tuple[str, ...], tuple[str, dict[str, None]]] = {}
+    texts = whole_texts() if notices is NOTICES else {}
     for license, text in notices.items():
-        for unit in [*text.split("\n\n"), text]:
-            found[Template(license, tuple(bigrams_of(unit)))] = None
-    return [t for t in found if t.bigrams]
+        whole = texts.get(license, "")
+        paragraphs = [p for p in re.split(r"\n\s*\n", whole) if len(bigrams_of(p)) >= LEAST_BIGRAMS]
+        for unit in [*text.split("\n\n"), text, *paragraphs, whole]:
+            _, holders = found.setdefault(tuple(bigrams_of(unit)), (" ".join(words_of(unit)), {}))
+            holders[license] = None
+    full = {k: [f" {' '.join(words_of(t))} " for t in (text, texts.get(k, ""))] for k, text in notices.items()}
+    for phrase, holders in found.values():
+        holders |= dict.fromkeys(k for k, known in full.items() if any(f" {phrase} " in t for t in known))
+    return [Template(next(iter(h)), bigrams, phrase, tuple(h)) for bigrams, (phrase, h) in found.items() if bigrams]
 
 
 def units_of(text: Column) -> Column:
@@ -123,63 +192,94 @@ def best_license(
 ) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with new columns, whose names are the second value.
 
-    ``license`` is the best match of any unit at ``threshold`` or more, the first by name of equals, else
-    null; ``dice`` its coefficient (0 without a match); ``matches`` the number of pairs of a
-    distinct unit and a template at the threshold. Null text counts as empty: no match. Rows are looked at
-    one by one, repeated or not.
+    ``license`` is the best match of any unit at ``threshold`` or more, else null; ``dice`` its coefficient (0
+    without a match). Of equals, a licence whose best matches are all another's as well gives way to it if that
+    one has more matched bigrams in all; then the first by name counts. ``matches`` is the number of pairs of a
+    distinct unit (line, paragraph or whole) and a template at the threshold. Null text counts as
+    empty: no match. Rows are looked at one by one, repeated or not.
     """
     templates = templates_of(notices)
     names = {k: fresh_name(k) for k in ("license", "dice", "matches")}
     limits = [t.bounds(threshold) for t in templates]
-    # A set of b bigrams comes from b + 1 words at least; the upper bound needs the set itself.
-    fewest = min((low for low, _ in limits), default=1)
-    units, words, pairs, hits = (fresh_name(k) for k in ("units", "words", "pairs", "hits"))
-    normal = F.transform(
-        units_of(text_of(text)),
-        lambda u: F.trim(F.regexp_replace(F.lower(u), r"[^\p{L}\p{N}]+", " ")),
+    telling = sorted({b for t in templates for b in t.telling(threshold)})
+    whole, words, told, units, hits = (
+        fresh_name(k) for k in ("whole", "words", "told", "units", "hits")
     )
-    split = F.filter(F.transform(F.array_distinct(F.col(units)), lambda u: F.split(u, " ")), lambda w: F.size(w) > fewest)
-    sets = F.transform(
-        F.col(words),
-        lambda w: F.array_distinct(
-            F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-        ),
+    # One literal each, as thousands of them take the planner long.
+    rows = [
+        {
+            "holders": t.holders,
+            "low": low,
+            "high": high,
+            "bigrams": t.bigrams,
+        }
+        for t, (low, high) in zip(templates, limits)
+    ]
+    table = F.from_json(
+        F.lit(json.dumps(rows)),
+        "array<struct<holders:array<string>,low:int,high:int,bigrams:array<string>>>",
     )
-    table = F.array(
-        *(
-            F.struct(
-                F.lit(t.license).alias("license"),
-                F.lit(low).alias("low"),
-                F.lit(high).alias("high"),
-                F.array(*(F.lit(b) for b in t.bigrams)).alias("bigrams"),
-            )
-            for t, (low, high) in zip(templates, limits)
+
+    def normal(unit: Column) -> Column:
+        return F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " "))
+
+    def pairs(w: Column) -> Column:
+        return F.zip_with(
+            F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)
         )
-    )
+
+    def sets(found: Column) -> Column:
+        split = F.filter(F.transform(F.array_distinct(F.transform(found, normal)), lambda u: F.split(u, " ")), lambda w: F.size(w) > 1)
+        return F.filter(F.transform(split, lambda w: F.array_distinct(pairs(w))), lambda u: F.arrays_overlap(u, F.col(told)))
+
+    def hit(dice: Column, common: Column, t: Column) -> Column:
+        return F.struct(dice.alias("dice"), common.alias("common"), t["holders"].alias("holders"))
 
     def compared(unit: Column) -> Column:
         fitting = F.filter(table, lambda t: F.size(unit).between(t["low"], t["high"]))
+        counted = F.transform(
+            fitting, lambda t: F.struct(F.size(F.array_intersect(unit, t["bigrams"])).alias("common"), t.alias("t"))
+        )
         return F.transform(
-            fitting,
-            lambda t: F.struct(
-                (
-                    F.lit(2.0)
-                    * F.size(F.array_intersect(unit, t["bigrams"]))
-                    / (F.size(unit) + F.size(t["bigrams"]))
-                ).alias("dice"),
-                t["license"].alias("license"),
+            counted,
+            lambda c: hit(
+                F.lit(2.0) * c["common"] / (F.size(unit) + F.size(c["t"]["bigrams"])), c["common"], c["t"]
             ),
         )
 
-    matched = F.filter(F.flatten(F.transform(F.col(pairs), compared)), lambda m: m["dice"] >= threshold)
-    best = F.array_min(F.transform(F.col(hits), lambda m: F.struct((-m["dice"]).alias("less"), m["license"].alias("license"))))
+    def matched(found: str) -> Column:
+        return F.filter(F.flatten(F.transform(F.col(found), compared)), lambda m: m["dice"] >= threshold)
+
+    none = F.array().cast("array<array<string>>")
     scanned = (
-        docs.withColumn(units, normal).withColumn(words, split).withColumn(pairs, sets).withColumn(hits, matched)
+        docs.withColumn(whole, normal(text_of(text)))
+        .withColumn(words, F.split(F.col(whole), " "))
+        .withColumn(told, F.array_distinct(F.filter(pairs(F.col(words)), lambda b: b.isin(telling))))
+        .withColumn(units, F.when(F.size(told) > 0, sets(units_of(text_of(text)))).otherwise(none))
+        .withColumn(hits, matched(units))
     )
+    every = F.col(hits)
+    top = F.array_max(F.transform(every, lambda m: m["dice"]))
+    firsts = F.filter(every, lambda m: m["dice"] == top)
+
+    def gives_way(a: Column) -> Column:
+        mine = F.filter(firsts, lambda m: F.array_contains(m["holders"], a))
+        return F.exists(
+            candidates,
+            lambda b: F.forall(mine, lambda m: F.array_contains(m["holders"], b)) & (weight(b) > weight(a)),
+        )
+
+    def weight(a: Column) -> Column:
+        """Matched bigrams of a licence."""
+        held = F.filter(every, lambda m: F.array_contains(m["holders"], a))
+        return F.aggregate(held, F.lit(0), lambda n, m: n + m["common"])
+
+    candidates = F.array_distinct(F.flatten(F.transform(firsts, lambda m: m["holders"])))
+    license = F.array_min(F.filter(candidates, lambda a: ~gives_way(a)))
     out = [
         *(F.col(f"`{c}`") for c in docs.columns),
-        best["license"].alias(names["license"]),
-        F.coalesce(-best["less"], F.lit(0.0)).alias(names["dice"]),
+        F.when(F.size(every) > 0, license).alias(names["license"]),
+        F.coalesce(top, F.lit(0.0)).alias(names["dice"]),
         F.size(hits).alias(names["matches"]),
     ]
     return scanned.select(*out), names

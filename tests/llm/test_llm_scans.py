@@ -147,6 +147,34 @@ def test_licenses_against_every_template(spark):
     assert licenses.best_license(docs.limit(0))[0].count() == 0
 
 
+def named(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, names = licenses.best_license(docs)
+    return [r[0] for r in got.orderBy("doc_id").select(names["license"]).collect()]
+
+
+def test_whole_texts_name_their_licence(spark):
+    """Plain and with a copyright line."""
+    texts = licenses.whole_texts()
+    assert {"AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MIT"} <= set(texts)
+    owned = [f"Copyright (c) 2020, Some One\nAll rights reserved.\n\n{t}" for t in texts.values()]
+    assert named(spark, [*texts.values(), *owned]) == list(texts) * 2
+
+
+def test_siblings_and_names_in_clauses(spark):
+    bsd = licenses.whole_texts()["BSD-3-Clause"]
+    versions = licenses.NOTICES["GPL-2.0"].split("\n\n")
+    assert named(
+        spark,
+        [
+            bsd.replace("the copyright holder nor", "Some University nor"),
+            versions[0],
+            versions[2],
+            *(licenses.NOTICES[k] for k in ("GPL-3.0", "AGPL-3.0", "LGPL-2.1", "LGPL-3.0")),
+        ],
+    ) == ["BSD-3-Clause", "GPL-2.0", "GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-2.1", "LGPL-3.0"]
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
 def test_bounds_lose_no_template(threshold):
     for t in licenses.templates_of():
