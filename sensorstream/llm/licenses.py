@@ -1,11 +1,12 @@
 """Licence scans: texts compared with licence templates by Dice coefficient.
 
-A document is compared whole, by paragraph and by line. Each such unit is normalised
+A document is compared whole, by paragraph, by line and by sentence. Each such unit is normalised
 (lower case, runs of anything but letters and digits become one space) and turned into its set
 of word bigrams. Two sets of sizes a and b share at most the smaller, so Dice
 reaches t only if  a t / (2 - t) <= b <= a (2 - t) / t: other templates are not
 compared. So many of a template's bigrams must be in the unit that some of any a - a t / (2 - t) + 1
 are: a text without one of these from any template is not divided into units at all.
+Templates whose words follow one another anywhere in the text, whatever stands around them, are found as well.
 
 Only DataFrame functions are used, row by row, without a shuffle.
 """
@@ -183,6 +184,13 @@ def units_of(text: Column) -> Column:
     return F.array_distinct(F.concat(lines, paragraphs, F.array(text)))
 
 
+def parts_of(text: Column) -> Column:
+    """Paragraphs between lines without letters or digits, such as comment marks, and their sentences."""
+    paragraphs = F.split(text, r"\n(?:[^\p{L}\p{N}\n]*\n)+")
+    sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, r"(?<=[.!?])\s+")))
+    return F.array_distinct(F.concat(paragraphs, sentences))
+
+
 def best_license(
     docs: DataFrame,
     *,
@@ -195,15 +203,16 @@ def best_license(
     ``license`` is the best match of any unit at ``threshold`` or more, else null; ``dice`` its coefficient (0
     without a match). Of equals, a licence whose best matches are all another's as well gives way to it if that
     one has more matched bigrams in all; then the first by name counts. ``matches`` is the number of pairs of a
-    distinct unit (line, paragraph or whole) and a template at the threshold. Null text counts as
+    distinct unit (line, paragraph or whole) and a template at the threshold, and of sentences, paragraphs between
+    comment marks and templates found word by word for licences that no such unit names. Null text counts as
     empty: no match. Rows are looked at one by one, repeated or not.
     """
     templates = templates_of(notices)
     names = {k: fresh_name(k) for k in ("license", "dice", "matches")}
     limits = [t.bounds(threshold) for t in templates]
     telling = sorted({b for t in templates for b in t.telling(threshold)})
-    whole, words, told, units, hits = (
-        fresh_name(k) for k in ("whole", "words", "told", "units", "hits")
+    whole, words, told, units, parts, hits, more = (
+        fresh_name(k) for k in ("whole", "words", "told", "units", "parts", "hits", "more")
     )
     # One literal each, as thousands of them take the planner long.
     rows = [
@@ -211,13 +220,15 @@ def best_license(
             "holders": t.holders,
             "low": low,
             "high": high,
+            "first": t.telling(threshold)[0],
+            "phrase": f" {t.phrase} ",
             "bigrams": t.bigrams,
         }
         for t, (low, high) in zip(templates, limits)
     ]
     table = F.from_json(
         F.lit(json.dumps(rows)),
-        "array<struct<holders:array<string>,low:int,high:int,bigrams:array<string>>>",
+        "array<struct<holders:array<string>,low:int,high:int,first:string,phrase:string,bigrams:array<string>>>",
     )
 
     def normal(unit: Column) -> Column:
@@ -250,15 +261,23 @@ def best_license(
     def matched(found: str) -> Column:
         return F.filter(F.flatten(F.transform(F.col(found), compared)), lambda m: m["dice"] >= threshold)
 
+    said = F.concat(F.lit(" "), F.col(whole), F.lit(" "))
+    phrases = F.transform(
+        F.filter(table, lambda t: F.array_contains(F.col(told), t["first"]) & F.contains(said, t["phrase"])),
+        lambda t: hit(F.lit(1.0), F.size(t["bigrams"]), t),
+    )
     none = F.array().cast("array<array<string>>")
+    no_hit = F.array().cast("array<struct<dice:double,common:int,holders:array<string>>>")
     scanned = (
         docs.withColumn(whole, normal(text_of(text)))
         .withColumn(words, F.split(F.col(whole), " "))
         .withColumn(told, F.array_distinct(F.filter(pairs(F.col(words)), lambda b: b.isin(telling))))
         .withColumn(units, F.when(F.size(told) > 0, sets(units_of(text_of(text)))).otherwise(none))
+        .withColumn(parts, F.when(F.size(told) > 0, F.array_except(sets(parts_of(text_of(text))), F.col(units))).otherwise(none))
         .withColumn(hits, matched(units))
+        .withColumn(more, F.when(F.size(told) > 0, F.concat(matched(parts), phrases)).otherwise(no_hit))
     )
-    every = F.col(hits)
+    every = F.concat(F.col(hits), F.col(more))
     top = F.array_max(F.transform(every, lambda m: m["dice"]))
     firsts = F.filter(every, lambda m: m["dice"] == top)
 
@@ -276,11 +295,13 @@ def best_license(
 
     candidates = F.array_distinct(F.flatten(F.transform(firsts, lambda m: m["holders"])))
     license = F.array_min(F.filter(candidates, lambda a: ~gives_way(a)))
+    named = F.array_distinct(F.flatten(F.transform(F.col(hits), lambda m: m["holders"])))
+    unnamed = F.filter(F.col(more), lambda m: ~F.arrays_overlap(m["holders"], named))
     out = [
         *(F.col(f"`{c}`") for c in docs.columns),
         F.when(F.size(every) > 0, license).alias(names["license"]),
         F.coalesce(top, F.lit(0.0)).alias(names["dice"]),
-        F.size(hits).alias(names["matches"]),
+        (F.size(hits) + F.size(unnamed)).alias(names["matches"]),
     ]
     return scanned.select(*out), names
 

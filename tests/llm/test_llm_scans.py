@@ -154,11 +154,13 @@ def named(spark, texts):
 
 
 def test_whole_texts_name_their_licence(spark):
-    """Plain and with a copyright line."""
+    """Plain, with a copyright line, as comments, and without line breaks."""
     texts = licenses.whole_texts()
     assert {"AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MIT"} <= set(texts)
     owned = [f"Copyright (c) 2020, Some One\nAll rights reserved.\n\n{t}" for t in texts.values()]
-    assert named(spark, [*texts.values(), *owned]) == list(texts) * 2
+    blocks = ["/*\n" + "".join(f" * {line}".rstrip() + "\n" for line in t.split("\n")) + " */\nint main;" for t in owned]
+    flat = ["Before it. " + " ".join(t.split()) + " And after it." for t in owned]
+    assert named(spark, [*texts.values(), *owned, *blocks, *flat]) == list(texts) * 4
 
 
 def test_siblings_and_names_in_clauses(spark):
@@ -175,6 +177,21 @@ def test_siblings_and_names_in_clauses(spark):
     ) == ["BSD-3-Clause", "GPL-2.0", "GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-2.1", "LGPL-3.0"]
 
 
+def test_notices_among_other_words(spark):
+    mit = licenses.whole_texts()["MIT"]
+    changed = mit.replace("associated documentation files", "its documentation").split("\n\n")
+    assert named(
+        spark,
+        [
+            "This project is released under the MIT License.",
+            "Some prose. The work is licensed under a Creative Commons Attribution 4.0 International License. " + "And more. " * 20,
+            "# Some words.\n#\n# " + changed[0].replace("\n", "\n# ") + "\n#\n# More words than these follow.",
+            "He was released under the license of the court.",
+            "That's all there is to it!",
+        ],
+    ) == ["MIT", "CC-BY-4.0", "MIT", None, None]
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
 def test_bounds_lose_no_template(threshold):
     for t in licenses.templates_of():
