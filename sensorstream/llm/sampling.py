@@ -21,7 +21,8 @@ def labelled_sample(
 
     ``usable`` is a condition on ``doc_id`` of the labels. Which rows are taken follows
     a hash of their id, so it does not depend on order or partitions. The chosen ids, at
-    most twice ``per_class`` rows, are broadcast to the documents.
+    most twice ``per_class`` rows, are broadcast to the documents. Of documents that share an id,
+    the one with the least hash of its text counts.
     """
     labels = labels.where(usable & F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("label"))
     spread = F.xxhash64(F.col("doc_id").cast("string"))
@@ -29,4 +30,6 @@ def labelled_sample(
         labels.where(F.col("label") == k).distinct().orderBy(spread, "doc_id").limit(per_class)
         for k in (0, 1)
     ]
-    return docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("spread"), "text"))
+    return joined.groupBy("doc_id", "label").agg(least.alias("least")).select("doc_id", "least.text", "label")

@@ -50,6 +50,19 @@ def test_the_sample_is_bounded_and_stays_out_of_the_fold(spark):
     assert sorted(rows) == sorted(again)
 
 
+def test_repeated_ids_do_not_swamp_the_sample(spark):
+    ids = spark.range(40).select(F.col("id").alias("doc_id"))
+    docs = ids.select("doc_id", F.concat(F.lit("text "), "doc_id").alias("text"))
+    again = spark.range(3000).select(F.lit(4).cast("long").alias("doc_id"), F.concat(F.lit("copy "), F.col("id") % 500).alias("text"))
+    docs = docs.union(again).union(spark.createDataFrame([(8, None)] * 5, "doc_id long, text string"))
+    labels = ids.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("quality"))
+    rows = labelled_sample(docs, labels, "quality", F.lit(True), 10).collect()
+    assert len(rows) == 20 and sum(r.label for r in rows) == 10
+    assert len({r.doc_id for r in rows}) == 20
+    other = labelled_sample(docs.repartition(5, "text"), labels, "quality", F.lit(True), 10).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, other))
+
+
 def test_pairs_say_what_single_terms_do_not():
     """Label 1 only where two terms meet; each alone is as frequent in both classes."""
     rng = np.random.default_rng(0)
