@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sensorstream.llm import licenses, quality, toxicity, urls
+from sensorstream.llm.common import with_arrow
 from sensorstream.llm.exact import DigestIndex
+from sensorstream.llm.negatives import hard_negatives
 from sensorstream.llm.packing import pack_along_curve
+from sensorstream.llm.periodic import with_runs
 from sensorstream.llm.pieces import decode_documents, encode_documents
+from sensorstream.llm.repeats import without_repeats
 from sensorstream.llm.sampling import fold
 from sensorstream.llm.simhash import hex_of, near_duplicates
 from sensorstream.llm.tokenfile import documents_of, write_token_files
@@ -124,6 +132,75 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per anchor and positive the hardest negatives below it."""
+    x = F.col("embedding")
+    finite = ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").where(finite).select(
+        F.col("vec_id").alias("id"),
+        moved.alias("label"),
+        F.transform(x, lambda c: F.floor(256 * c.cast("double"))).alias("v"),
+    )
+    return hard_negatives(vectors, F.col("id") % 50 == 0)
+
+
+def repeating(texts: list[str | None], ids: list[int | None]) -> list[str | None]:
+    """Texts of which those that the crc32 of the id picks repeat their words with a period."""
+    out = []
+    for text, doc_id in zip(texts, ids):
+        h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0:
+            words = (text or "").encode().split()
+            n, g = len(words), h // 10
+            if n:
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                text = b" ".join(words[:a] + [words[a + (i - a) % p] for i in range(a, n)]).decode()
+        out.append(text)
+    return out
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its runs of repeated words, the longest one, and the text without repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = with_arrow(
+        docs,
+        [("words", StringType())],
+        lambda b: [pa.array(repeating(b.column(1).to_pylist(), b.column(0).to_pylist()), pa.string())],
+    )
+    found, names = with_runs(made.select("doc_id", "words"), text="words")
+    runs = F.col(names["runs"])
+    longest = F.array_max(
+        F.transform(runs, lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"]))
+    )
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.select("*", longest.alias("best"))
+    return best.select(
+        "doc_id",
+        F.size(runs).cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col(names["collapsed"]).cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what is removed as a repeat of 100 bytes, and the checksum of the rest."""
+    left, names = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes, spans, kept = (F.col(names[c]) for c in ("n_bytes", "spans", "kept"))
+    return left.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length(kept)).cast("bigint").alias("n_removed"),
+        F.size(spans).cast("bigint").alias("n_spans"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -137,6 +214,9 @@ QUERIES = {
         op8_quality,
         op9_simhash,
         op10_packing,
+        op11_hard_negatives,
+        op12_periodic_runs,
+        op13_suffix_dedup,
     )
 }
 
@@ -201,6 +281,26 @@ SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN fits END AS patter
   CASE WHEN rule IS NOT NULL THEN {_verdict_sql("rule", urls.SITE_RULES)}
        ELSE {_verdict_sql("coalesce(fits, '')", urls.PATTERN_RULES)} END AS verdict
 FROM ruled""",
+    "op11_hard_negatives": """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    cast(list_inner_product(a.v, b.v) AS bigint) AS score
+  FROM vectors a, vectors b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+  cast(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS integer) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3""",
     "op6_exact_dedup": r"""
 WITH hashed AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
