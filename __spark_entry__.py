@@ -35,7 +35,14 @@ from sensorstream.operators.windows import (  # noqa: E402
     window_counts,
 )
 from sensorstream.plans.archive import start_archive  # noqa: E402
-from sensorstream.plans.overheat import CLOCK, overheat, start_overheat  # noqa: E402
+from sensorstream.plans.overheat import (  # noqa: E402
+    CLOCK,
+    current_alerts,
+    finish_overheat,
+    finished_windows,
+    overheat,
+    start_overheat,
+)
 from sensorstream.plans.publish import messages_of, publish_to_files  # noqa: E402
 from sensorstream.plans.quarantine import QUARANTINED, start_quarantine  # noqa: E402
 from sensorstream.plans.recompute import recompute  # noqa: E402
@@ -51,6 +58,7 @@ from sensorstream.sources.files import (  # noqa: E402
     write_locations,
     write_readings,
 )
+from sensorstream.streaming.lateness import late_windows, with_ledger  # noqa: E402
 from sensorstream.streaming.runner import start_batches, start_files  # noqa: E402
 from sensorstream.streaming.sinks import (  # noqa: E402
     batch_store,
@@ -393,7 +401,10 @@ def q_stream_clock_window(spark, sf_dir):
     )
 
 
-SLICES = 4
+SLICES, SLICE_FILES = 4, 4
+# The default rule lags a batch behind, a quarter of the events' span.
+LATE_DAYS = 12
+KEYS = ["sensor_id", "window_start", "window_end"]
 
 
 def _streamed_slices(spark, sf_dir, events, strict=False):
@@ -423,8 +434,70 @@ def q_stream_slices_update(spark, sf_dir):
 
 def q_stream_late_strict(spark, sf_dir):
     """Every tenth event is two days late; windows that have closed take it no more."""
-    late = F.when(F.pmod("event_id", F.lit(10)) == 0, F.expr("ts - interval 2 days")).otherwise(F.col("ts"))
-    return _streamed_slices(spark, sf_dir, _events(spark, sf_dir).withColumn("ts", late), strict=True)
+    return _streamed_slices(spark, sf_dir, _late(_events(spark, sf_dir), 2), strict=True)
+
+
+def _late(events, days):
+    """Events of which every tenth is so many days late."""
+    late = F.when(F.pmod("event_id", F.lit(10)) == 0, F.expr(f"ts - interval {days} days"))
+    return events.withColumn("ts", late.otherwise(F.col("ts")))
+
+
+def _late_run(spark, sf_dir):
+    """One run over four slices, a batch for each, under Spark's default rule; its folders."""
+    log, path, checkpoint, ledger = (new_folder(spark, n) for n in ("log", "late", "checkpoint", "ledger"))
+    events = _late(_events(spark, sf_dir), LATE_DAYS)
+    total = events.agg(F.max("event_id")).first()[0] + 1
+    part = F.floor(F.col("event_id") * SLICES / F.lit(total))
+    kept = events.select("event_id", F.col("user_id").alias("sensor_id"), F.col("ts").cast("timestamp"), "value")
+    for k in range(SLICES):
+        kept.where(part == k).repartition(SLICE_FILES).write.mode("append").parquet(log)
+    stream = spark.readStream.schema(kept.schema).option("maxFilesPerTrigger", SLICE_FILES).parquet(log)
+    stats = overheat_stats(with_event_time(stream, F.col("ts")), **WINDOW, **EXACT)
+    write = with_ledger(batch_store(path), ledger, checkpoint)
+    start_batches(stats, write, name="late", checkpoint=checkpoint, mode="update").awaitTermination()
+    return log, path, checkpoint, ledger, kept.schema, stats.schema
+
+
+def q_stream_late_default(spark, sf_dir):
+    """Late events under Spark's own rule: a closing window takes them for one batch more."""
+    _, path, _, _, _, schema = _late_run(spark, sf_dir)
+    return _plain_bounds(latest_revisions(read_batches(spark, path, schema), KEYS))
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """The late events and the windows that each has missed."""
+    log, _, checkpoint, ledger, schema, _ = _late_run(spark, sf_dir)
+    rows = spark.read.schema(schema).parquet(log).select("*", F.col("_metadata.file_path").alias("file"))
+    late = late_windows(rows, checkpoint=checkpoint, ledger=ledger, file="file", time="ts", size=SIZE, slide=SLIDE)
+    missed = late.select("event_id", "too_late", F.explode("missed").alias("window_start"))
+    return missed.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def q_stream_overheat_finished(spark, sf_dir):
+    """The end of a bounded stream: the windows that it closed, and those it left open."""
+    log = _published(spark, sf_dir)
+    messages = read_file_log(spark, log, streaming=True)
+    path, checkpoint = new_folder(spark, "finished"), new_folder(spark, "checkpoint")
+    job = {**WINDOW, **EXACT}
+    start_overheat(messages, path, name="finished", checkpoint=checkpoint, **job).awaitTermination()
+    finish_overheat(messages, path, checkpoint=checkpoint, **job)
+    return _plain_bounds(finished_windows(spark, path, overheat(messages, **job).schema))
+
+
+def q_stream_alerts_update(spark, sf_dir):
+    """Alerts as the hot readings come first and the others cool windows down: those that stand at the end."""
+    log, path, checkpoint = (new_folder(spark, n) for n in ("log", "alerts", "checkpoint"))
+    job = {**WINDOW, **EXACT, "delay": "10000 days"}  # no reading is late
+    schema = None
+    for is_hot in (F.col("value") > 89.0, F.col("value") <= 89.0):
+        publish_to_files(_readings(spark, sf_dir).where(is_hot), log, order="event_id", partitions=8)
+        messages = read_file_log(spark, log, streaming=True)
+        start_overheat(
+            messages, path, name="changes", checkpoint=checkpoint, mode="update", alerts_only=True, **job
+        ).awaitTermination()
+        schema = overheat(messages, **job).schema
+    return _plain_bounds(current_alerts(spark, path, schema))
 
 
 def q_stream_quarantine(spark, sf_dir):
@@ -648,6 +721,35 @@ WITH spread AS (
 SELECT event_type, window_start_ms, window_end_ms, n FROM counts WHERE {closed}"""
 
 
+def _late_sql(before: str, days: int, rest: str) -> str:
+    """Windows of slices with late events; closed are those before the mark of the slices ``before``."""
+    return f"""
+WITH sliced AS (
+  SELECT *, event_id * {SLICES} // (SELECT max(event_id) + 1 FROM events) AS slice,
+    CASE WHEN event_id % 10 = 0 THEN ts - interval '{days} days' ELSE ts END AS moment
+  FROM events
+), marks AS (
+  SELECT k AS slice, (SELECT max(moment) FROM sliced s WHERE s.slice < {before.replace("slice", "k")})
+    - interval '2 seconds' AS mark
+  FROM generate_series(0, {SLICES - 1}) g(k)
+), spread AS (
+  SELECT sliced.*, time_bucket(interval '1 hour', moment, timestamp '1970-01-01') - k * interval '1 hour' AS ws
+  FROM sliced, generate_series(0, 9) g(k)
+), marked AS (
+  -- Watermarks are kept in whole milliseconds.
+  SELECT spread.*, mark IS NOT NULL AND ws + interval '10 hours' <= date_trunc('millisecond', mark) AS closed
+  FROM spread JOIN marks USING (slice) WHERE moment < ws + interval '10 hours'
+){rest}"""
+
+
+_LATE_STATS = f""", stats AS (
+  SELECT user_id AS sensor_id, ws AS window_start, ws + interval '10 hours' AS window_end,
+    {_STATS.format(first=_FIRST, last=_LAST)}
+  FROM marked WHERE NOT closed GROUP BY user_id, ws
+)
+SELECT *, mean_temp > 90.0 OR overheat_constant AS hot FROM stats"""
+
+
 def _message_sql(value: str) -> str:
     return f"""cast(to_json({{
       'id': cast(user_id AS integer), 'location_id': cast(user_id % 4 AS integer),
@@ -693,25 +795,13 @@ FROM spread WHERE ts < ws + interval '10 hours' GROUP BY user_id, ws""",
         "overheat_default": f"""
 SELECT * REPLACE (cast(mean_temp AS float) AS mean_temp) FROM ({_windows_sql()})""",
         "stream_slices_update": _windows_sql(),
-        "stream_late_strict": f"""
-WITH sliced AS (
-  SELECT *, event_id * {SLICES} // (SELECT max(event_id) + 1 FROM events) AS slice,
-    CASE WHEN event_id % 10 = 0 THEN ts - interval '2 days' ELSE ts END AS moment
-  FROM events
-), marks AS (
-  SELECT k AS slice, (SELECT max(moment) FROM sliced WHERE slice < k) - interval '2 seconds' AS mark
-  FROM generate_series(0, {SLICES - 1}) g(k)
-), spread AS (
-  SELECT sliced.*, time_bucket(interval '1 hour', moment, timestamp '1970-01-01') - k * interval '1 hour' AS ws
-  FROM sliced, generate_series(0, 9) g(k)
-), stats AS (
-  SELECT user_id AS sensor_id, ws AS window_start, ws + interval '10 hours' AS window_end,
-    {_STATS.format(first=_FIRST, last=_LAST)}
-  FROM spread JOIN marks USING (slice)
-  WHERE moment < ws + interval '10 hours' AND (mark IS NULL OR ws + interval '10 hours' > mark)
-  GROUP BY user_id, ws
-)
-SELECT *, mean_temp > 90.0 OR overheat_constant AS hot FROM stats""",
+        "stream_late_strict": _late_sql("slice", 2, _LATE_STATS),
+        "stream_late_default": _late_sql("slice - 1", LATE_DAYS, _LATE_STATS),
+        "stream_late_rows": _late_sql("slice - 1", LATE_DAYS, """
+SELECT event_id, bool_and(closed) OVER (PARTITION BY event_id) AS too_late, ws AS window_start
+FROM marked QUALIFY closed"""),
+        "stream_overheat_finished": _windows_sql(time=_SECONDS, key_type="integer"),
+        "stream_alerts_update": _windows_sql(time=_SECONDS, key_type="integer", having=_HOT),
         "archive_documents": f"""
 SELECT replace({_TOPIC}, '-topic', '') AS collection,
   '{{"id":' || user_id || ',"latitude":"north","timestamp":"' || {_STAMP} || '","value":' || value

@@ -23,6 +23,8 @@ class Measure:
     fold: dict[str, Column]
     merge: dict[str, Column]
     result: Column
+    #: States that serve merging alone; the result does not read them.
+    unread: tuple[str, ...] = ()
 
 
 def count_rows(name: str = "n") -> Measure:
@@ -53,19 +55,26 @@ def rounded_mean(
     """
     number, count = F.col(value), f"{value}_count"
     if decimals is None:
-        total, far = f"{value}_sum", f"{value}_far_sum"
+        # Whole units and fractions are summed apart, so neither sum leaves the 38 digits of a decimal.
+        whole, part, far = f"{value}_whole_sum", f"{value}_part_sum", f"{value}_far_sum"
         fixed = F.abs(number) < F.lit(1e19)
         near = F.when(fixed, number).try_cast("decimal(38,18)")
+        units = F.floor(near)
+        n = F.col(count).cast("decimal(19,0)")
+        # The mean is near + rest, for any whole number near; a rounded quotient keeps the rest small.
+        close = F.round(F.col(whole) / n, 0).cast("decimal(20,0)")
+        rest = ((F.col(whole) - close * n).cast("decimal(19,0)") + F.col(part)) / n
+        summed = F.col(whole).cast("double") + F.col(part).cast("double")
         mean = F.when(
-            F.col(far).isNull(),
-            F.round(F.col(total) / F.col(count).cast("decimal(19,0)"), digits).cast("double"),
-        ).otherwise((F.coalesce(F.col(total).cast("double"), F.lit(0.0)) + F.col(far)) / F.col(count))
+            F.col(far).isNull(), F.round(close + rest.cast("decimal(30,18)"), digits).cast("double")
+        ).otherwise((F.coalesce(summed, F.lit(0.0)) + F.col(far)) / F.col(count))
         fold = {
-            total: F.sum(near),
+            whole: F.sum(units.cast("decimal(20,0)")),
+            part: F.sum((near - units).cast("decimal(19,18)")),
             far: F.sum(F.when(~fixed | F.isnan(number), number.cast("double"))),
             count: F.count(value),
         }
-        merge = {state: F.sum(state) for state in fold}
+        merge = {whole: F.sum(whole), part: F.sum(part), far: F.sum(far), count: F.sum(count)}
         return Measure(name, fold, merge, mean)
     if decimals > digits:
         raise ValueError("values have more decimals than the mean keeps")
@@ -111,4 +120,5 @@ def edge_reading(
         {state: edge_by(F.col(column), rank), place: edge(rank)},
         {state: edge_by(state, place), place: edge(place)},
         F.col(state),
+        unread=(place,),
     )

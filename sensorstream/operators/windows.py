@@ -38,6 +38,7 @@ from sensorstream.schemas import (
     WINDOW_SLIDE,
 )
 from sensorstream.session import require_utc
+from sensorstream.streaming.state import open_states
 
 WINDOWS_PER_BLOCK = 10
 
@@ -51,9 +52,17 @@ def sliding_windows(
     measures: Sequence[Measure],
     *,
     plan: str = "auto",
+    open_in: str | None = None,
 ) -> DataFrame:
-    """One row per key and non-empty window: keys, window bounds, measures."""
+    """One row per key and non-empty window: keys, window bounds, measures.
+
+    ``open_in`` names the checkpoint of a stopped stream of the same windows. The rows are
+    not read then; the result is the windows that stream still held open.
+    """
     require_utc(df.sparkSession)
+    if open_in is not None:
+        states = open_states(df.sparkSession, open_in, list(keys), measures)
+        return _results(states, keys, measures)
     if plan == "auto":
         plan = "direct" if df.isStreaming else "panes"
     if plan not in ("direct", "panes"):
@@ -61,7 +70,10 @@ def sliding_windows(
     if plan == "panes" and df.isStreaming:
         raise ValueError("the pane plan is for batch frames")
     build = _direct if plan == "direct" else _panes
-    states = build(df, list(keys), time, size, slide, measures)
+    return _results(build(df, list(keys), time, size, slide, measures), keys, measures)
+
+
+def _results(states: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     return states.select(
         *keys, "window_start", "window_end", *[m.result.alias(m.name) for m in measures]
     )
@@ -154,6 +166,7 @@ def overheat_stats(
     mean_type: str = "float",
     reading_time: str | None = None,
     plan: str = "auto",
+    open_in: str | None = None,
 ) -> DataFrame:
     """Heat statistics per sensor and sliding window, all windows.
 
@@ -164,6 +177,7 @@ def overheat_stats(
     ``arrival`` names the columns that give order of arrival for first_ts and
     last_ts; without it they are the earliest and the latest reading time. That time
     is ``reading_time``, where windows go by another clock than the readings' own.
+    ``open_in`` gives the windows left open by a stopped stream, see :func:`sliding_windows`.
     """
     complete = readings.where(F.col(value).isNotNull())
     measures = [
@@ -173,7 +187,7 @@ def overheat_stats(
         edge_reading(reading_time or time, "last_ts", last=True, order=arrival),
         count_values(value, "n"),
     ]
-    windows = sliding_windows(complete, [key], time, size, slide, measures, plan=plan)
+    windows = sliding_windows(complete, [key], time, size, slide, measures, plan=plan, open_in=open_in)
     mean = F.col("mean_temp")
     hot = ((mean > F.lit(mean_threshold)) & ~F.isnan(mean)) | F.col("overheat_constant")
     if min_count > 1:
@@ -204,9 +218,10 @@ def window_counts(
     size: str = "5 milliseconds",
     slide: str = "2 milliseconds",
     plan: str = "auto",
+    open_in: str | None = None,
 ) -> DataFrame:
     """Rows per key and sliding window, bounds as epoch milliseconds."""
-    counted = sliding_windows(df, [key], time, size, slide, [count_rows("n")], plan=plan)
+    counted = sliding_windows(df, [key], time, size, slide, [count_rows("n")], plan=plan, open_in=open_in)
     return counted.select(
         key,
         F.unix_millis(F.col("window_start").cast("timestamp")).alias("window_start_ms"),

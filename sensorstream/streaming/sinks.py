@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,63 @@ def batch_store(
     return write
 
 
+RAISED, WITHDRAWN = "raised", "withdrawn"
+CHANGE = T.StructField("change", T.StringType())
+
+
+def change_log(
+    path: str, schema: T.StructType, keys: Sequence[str], alive: Column, day: str, files_per_batch: int | None = None
+) -> BatchWriter:
+    """Writer for update-mode results of which only the rows that are ``alive`` count.
+
+    A batch adds its alive rows as raised, and of the others those that earlier batches have raised, as
+    withdrawn. The log is kept by the day of the column ``day``, one of the keys, so a batch looks
+    up the days that it touches only. A replayed batch leaves out what it wrote itself.
+    """
+    store = batch_store(path, ["day"], files_per_batch)
+    logged = T.StructType([*schema.fields, CHANGE, T.StructField("day", T.DateType())])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.withColumn("day", F.to_date(day)).persist()
+        try:
+            first, last = batch.agg(F.min("day"), F.max("day")).first()
+            if first is None:
+                return
+            changed = batch.where(alive).withColumn(CHANGE.name, F.lit(RAISED))
+            if _exists(spark, path):
+                before = read_batches(spark, path, logged).where(
+                    F.col("day").between(F.lit(first), F.lit(last)) & (F.col("batch_id") < batch_id)
+                )
+                newest = before.groupBy(*keys).agg(F.max_by(CHANGE.name, "batch_id").alias("newest"))
+                raised = newest.where(F.col("newest") == RAISED).select(*keys)
+                cooled = batch.where(~F.coalesce(alive, F.lit(False))).join(raised, list(keys), "left_semi")
+                changed = changed.unionByName(cooled.withColumn(CHANGE.name, F.lit(WITHDRAWN)))
+            store(changed, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What :func:`change_log` wrote: the rows, ``change`` and ``batch_id``."""
+    logged = T.StructType([*schema.fields, CHANGE])
+    if not _exists(spark, path):  # no batch had a row
+        return spark.createDataFrame([], T.StructType([*logged.fields, T.StructField("batch_id", T.LongType())]))
+    return read_batches(spark, path, logged)
+
+
+def current_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of a change log, the rows that are raised and not withdrawn since."""
+    return latest_revisions(changes, keys).where(F.col(CHANGE.name) == RAISED).drop(CHANGE.name, "day")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What :func:`batch_store` wrote, with its ``batch_id``."""
     stored = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])

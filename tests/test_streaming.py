@@ -8,16 +8,26 @@ from pyspark.sql import functions as F
 from sensorstream.functions.eventtime import with_event_time
 from sensorstream.operators.windows import overheat_stats
 from sensorstream.plans.archive import start_archive
-from sensorstream.plans.overheat import CLOCK, LOG, overheat, start_overheat
+from sensorstream.functions.codec import decode
+from sensorstream.operators.quality import good_readings
+from sensorstream.plans.overheat import (
+    CLOCK,
+    LOG,
+    current_alerts,
+    finish_overheat,
+    finished_windows,
+    overheat,
+    start_overheat,
+)
 from sensorstream.plans.publish import publish_to_files
 from sensorstream.plans.quarantine import QUARANTINED, start_quarantine
 from sensorstream.plans.recompute import recompute
-from sensorstream.schemas import READING
+from sensorstream.schemas import ENVELOPE, READING
 from sensorstream.sources.collections import find
 from sensorstream.sources.files import read_file_log, with_log_position, write_file_log
-from sensorstream.streaming.lateness import ALLOW_MULTIPLE, late_rows, strict_lateness
+from sensorstream.streaming.lateness import ALLOW_MULTIPLE, late_rows, late_windows, strict_lateness
 from sensorstream.streaming.runner import start_batches, start_console, start_files
-from sensorstream.streaming.sinks import batch_store, latest_revisions, read_batches
+from sensorstream.streaming.sinks import batch_store, latest_revisions, read_batches, read_changes
 
 ORIGIN = datetime(2010, 1, 2, 12, 25, 0)
 KEYS = ["sensor_id", "window_start", "window_end"]
@@ -92,6 +102,107 @@ def test_late_rows(spark, folder, late_log, strict, windows, dropped):
     assert spark.conf.get(ALLOW_MULTIPLE, None) is None
 
 
+@pytest.mark.parametrize("strict", [False, True])
+def test_late_rows_are_told_with_their_windows(spark, folder, late_log, strict):
+    """As many (row, window) pairs as Spark says it dropped, and just those that the results lack."""
+    messages = read_file_log(spark, late_log, streaming=True, max_files_per_trigger=1)
+    out, checkpoint, ledger = folder("out"), folder("cp"), folder("ledger")
+    query = start_overheat(
+        messages, out, name="told", checkpoint=checkpoint, strict=strict, ledger=ledger, mean_type="double"
+    )
+    query.awaitTermination(120)
+    envelope = spark.read.schema(ENVELOPE).parquet(late_log).select("*", F.col("_metadata.file_path").alias("file"))
+    rows = good_readings(decode(envelope))
+    late = late_windows(
+        rows, checkpoint=checkpoint, ledger=ledger, file="file", time="event_time", size="10 seconds",
+        slide="1 second", strict=strict,
+    ).collect()
+    assert sum(len(r.missed) for r in late) == sum(late_rows(query)) > 0
+    windows = STRICT if strict else DEFAULT
+    told = {}
+    for r in late:
+        assert r.too_late == (len(r.missed) == 10)
+        for start in r.missed:
+            key = int((start - ORIGIN).total_seconds())
+            told[key] = told.get(key, 0) + 1
+    seconds = [s for batch in BATCHES for s, _ in batch]
+    for start in {s - k for s in seconds for k in range(10)} - set(range(20, 40)):  # open at the end
+        there = sum(start <= s < start + 10 for s in seconds)
+        assert windows.get(start, (0, 0))[1] + told.get(start, 0) == there
+
+
+def test_finished_windows_follow_a_stream_that_goes_on(spark, folder):
+    path, out, checkpoint = folder("log"), folder("out"), folder("cp")
+    job = {"mean_type": "double"}
+
+    def finish(step, seconds):
+        append(spark, path, [(k, s, 50 + (7 * s + k) % 51) for s in seconds for k in (2, 3)], step)
+        messages = read_file_log(spark, path, streaming=True)
+        start_overheat(messages, out, name="end", checkpoint=checkpoint, **job).awaitTermination(120)
+        finish_overheat(messages, out, checkpoint=checkpoint, **job)
+        return overheat(read_file_log(spark, path), **job)
+
+    for step, seconds in enumerate([range(25), range(25, 60)]):
+        whole = finish(step, seconds)
+        got = finished_windows(spark, out, whole.schema)
+        assert same(got, whole) and got.count() == whole.count()
+        closed = read_batches(spark, out, whole.schema)
+        assert 0 < closed.count() < whole.count()
+    # Going on without finishing again: what has closed since is not there twice.
+    append(spark, path, [(2, 500, 60)], 2)
+    messages = read_file_log(spark, path, streaming=True)
+    start_overheat(messages, out, name="end", checkpoint=checkpoint, **job).awaitTermination(120)
+    got = finished_windows(spark, out, whole.schema)
+    assert got.count() == got.select(*KEYS).distinct().count() == whole.count()
+
+
+def test_open_windows_need_the_measures_that_were_kept(spark, folder, log):
+    checkpoint = folder("cp")
+    messages = read_file_log(spark, log, streaming=True)
+    start_overheat(messages, folder("out"), name="other", checkpoint=checkpoint).awaitTermination(120)
+    with pytest.raises(ValueError, match="keeps 7 states"):
+        overheat(messages, open_in=checkpoint, decimals=2).collect()
+
+
+def test_open_windows_by_arrival(spark, folder, log):
+    checkpoint, out = folder("cp"), folder("out")
+    messages = read_file_log(spark, log, streaming=True)
+    job = {"arrival": ("partition", "offset"), "mean_type": "double"}
+    start_overheat(messages, out, name="places", checkpoint=checkpoint, **job).awaitTermination(120)
+    finish_overheat(messages, out, checkpoint=checkpoint, **job)
+    whole = overheat(read_file_log(spark, log), **job)
+    assert same(finished_windows(spark, out, whole.schema), whole)
+
+
+def test_alerts_are_withdrawn_when_a_window_cools(spark, folder):
+    path, out, checkpoint = folder("log"), folder("out"), folder("cp")
+    job = {"mean_type": "double", "delay": "1 hour"}
+
+    def run():
+        messages = read_file_log(spark, path, streaming=True)
+        start_overheat(
+            messages, out, name="w", checkpoint=checkpoint, mode="update", alerts_only=True, **job
+        ).awaitTermination(120)
+        schema = overheat(messages, **job).schema
+        whole = overheat(read_file_log(spark, path), alerts_only=True, mean_type="double")
+        assert same(current_alerts(spark, out, schema), whole)
+        return read_changes(spark, out, schema), current_alerts(spark, out, schema)
+
+    append(spark, path, [(3, 0, 10)], 0)
+    changes, alerts = run()
+    assert changes.count() == alerts.count() == 0
+    append(spark, path, [(2, 0, 99)], 1)
+    changes, alerts = run()
+    assert alerts.count() == changes.count() == 10
+    append(spark, path, [(2, 1, 10)], 2)  # nine of the ten windows cool down, one more is cool at once
+    changes, alerts = run()
+    assert [r.window_start for r in alerts.collect()] == [ORIGIN - timedelta(seconds=9)]
+    assert changes.where("change = 'withdrawn'").count() == 9 and changes.count() == 19
+    append(spark, path, [(2, 2, 400), (3, 1, 10)], 3)  # and are hot again
+    changes, alerts = run()
+    assert alerts.count() == 11 and changes.where("change = 'withdrawn'").count() == 9
+
+
 def test_strict_setting_is_restored(spark):
     spark.conf.set(ALLOW_MULTIPLE, "true")
     with strict_lateness(spark):

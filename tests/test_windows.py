@@ -299,3 +299,15 @@ def test_pane_plan_is_for_batches(spark):
         overheat_stats(stream, plan="panes")
     with pytest.raises(ValueError):
         sliding_windows(stream, ["sensor_id"], "event_time", "1 second", "1 second", [], plan="other")
+
+
+@pytest.mark.parametrize("plan", ["panes", "direct"])
+def test_mean_of_huge_values(spark, readings, plan):
+    """Neither sum of the mean leaves its decimal; whole and fractional parts stay exact."""
+    rows = [(1, k / 10, 9e18) for k in range(30)]
+    rows += [(2, 0, 9.9e18), (2, 1, 9.9e18), (3, 0, -9e18), (3, 1, 9e18), (3, 2, 0.0015)]
+    rows += [(4, 0, 1e19), (4, 1, 1e19), (5, 0, -0.0005), (5, 1, -0.0005), (6, 0, -1.9), (6, 1, 0.1)]
+    rows += [(7, 0, 0.1), (7, 1, 0.2), (7, 2, 1e15)]
+    stats = overheat_stats(readings(rows), size="10 seconds", slide="10 seconds", mean_type="double", plan=plan)
+    got = {r.sensor_id: r.mean_temp for r in stats.where("window_start <= '2010-01-02 12:25:00'").collect()}
+    assert got == {1: 9e18, 2: 9.9e18, 3: 0.001, 4: 1e19, 5: -0.001, 6: -0.9, 7: 333333333333333.433}
