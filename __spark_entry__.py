@@ -25,6 +25,7 @@ from sensorstream.functions.eventtime import (  # noqa: E402
     with_event_time,
 )
 from sensorstream.functions.keys import log_place, position_key  # noqa: E402
+from sensorstream.operators.ordered import longest_run, ordered_windows  # noqa: E402
 from sensorstream.operators.quality import good_readings, missing_fields  # noqa: E402
 from sensorstream.operators.routing import collection_of, topic_of  # noqa: E402
 from sensorstream.operators.series import series_grid  # noqa: E402
@@ -47,13 +48,15 @@ from sensorstream.plans.publish import messages_of, publish_to_files  # noqa: E4
 from sensorstream.plans.quarantine import QUARANTINED, start_quarantine  # noqa: E402
 from sensorstream.plans.recompute import recompute  # noqa: E402
 from sensorstream.schemas import TIMESTAMP_FORMAT  # noqa: E402
-from sensorstream.session import new_folder, use_utc  # noqa: E402
+from sensorstream.session import new_folder, settings, use_utc  # noqa: E402
 from sensorstream.sources.collections import QUARANTINE, find  # noqa: E402
 from sensorstream.sources.files import (  # noqa: E402
     read_file_log,
     read_locations,
+    read_messages,
     read_readings,
     with_log_position,
+    write_arrays,
     write_file_log,
     write_locations,
     write_readings,
@@ -218,6 +221,13 @@ def q_overheat_default(spark, sf_dir):
     return overheat_stats(_sensor_events(spark, sf_dir), **WINDOW)
 
 
+def q_longest_hot_run(spark, sf_dir):
+    """A function of the ordered rows that no partial results merge into: readings above 50 in a row."""
+    readings = _events(spark, sf_dir).withColumnRenamed("user_id", "sensor_id")
+    runs = longest_run("value", 50.0)
+    return ordered_windows(readings, ["sensor_id"], "ts", SIZE, SLIDE, runs, order=["event_id"])
+
+
 # --- decode, encode, keys, routes -------------------------------------------
 
 
@@ -624,6 +634,39 @@ def q_reading_files(spark, sf_dir):
     return read_readings(spark, path, lines=True)
 
 
+def _sent_texts(spark, sf_dir):
+    """Messages with a field of no known name, quotes and braces in a text, and a nested object."""
+    return _events(spark, sf_dir).select(
+        "event_id",
+        F.to_json(
+            F.struct(
+                F.col("user_id").alias("id"),
+                F.when(F.col("event_type") != "error", _sensor_type()).alias("sensor_type"),
+                F.date_format("ts", TIMESTAMP_FORMAT).alias("timestamp"),
+                "value",
+                F.concat(F.lit('a } "quoted" { brace\\'), "event_type").alias("note"),
+                F.when(F.pmod("event_id", F.lit(5)) == 0, F.struct(F.struct("event_id").alias("of"))).alias("meta"),
+            )
+        ).alias("value"),
+    )
+
+
+def q_reading_array(spark, sf_dir):
+    """Readings from files of one JSON array each, which several tasks read."""
+    path = new_folder(spark, "arrays")
+    write_arrays(_sent_texts(spark, sf_dir), path)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "64k"}):
+        return read_readings(spark, path).select("id", "sensor_type", "timestamp", "value")
+
+
+def q_publish_verbatim(spark, sf_dir):
+    """Messages as they are: extra fields stay, and those without a type can still be read."""
+    path, log = new_folder(spark, "arrays"), new_folder(spark, "log")
+    write_arrays(_sent_texts(spark, sf_dir), path)
+    publish_to_files(read_messages(spark, path), log, partitions=8)
+    return read_file_log(spark, log).select("key", "value", "topic")
+
+
 def q_location_files(spark, sf_dir):
     """Suppliers as locations: an address over two lines and a list of features."""
     use_utc(spark)
@@ -706,6 +749,7 @@ _CLOSED = "window_end <= (SELECT max(moment) FROM readings) - interval '2 second
 _SECONDS = "date_trunc('second', ts)::timestamp"
 _TEMPERATURE = "event_type NOT IN ('click', 'view')"
 _TOPIC = "CASE WHEN event_type IN ('click', 'view') THEN 'humidity-topic' ELSE 'temperature-topic' END"
+_SENT_TYPE = f"CASE WHEN event_type <> 'error' THEN replace({_TOPIC}, '-topic', '') END"
 _STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 
 _COUNTS = """
@@ -794,6 +838,19 @@ FROM spread WHERE ts < ws + interval '10 hours' GROUP BY user_id, ws""",
         ),
         "overheat_default": f"""
 SELECT * REPLACE (cast(mean_temp AS float) AS mean_temp) FROM ({_windows_sql()})""",
+        "longest_hot_run": """
+WITH spread AS (
+  SELECT user_id, event_id, ts, value > 50 AS hot,
+    time_bucket(interval '1 hour', ts, timestamp '1970-01-01') - k * interval '1 hour' AS ws
+  FROM events, generate_series(0, 9) g(k)
+), numbered AS (
+  SELECT *, row_number() OVER w - row_number() OVER (PARTITION BY user_id, ws, hot ORDER BY ts, event_id) AS island
+  FROM spread WHERE ts < ws + interval '10 hours' WINDOW w AS (PARTITION BY user_id, ws ORDER BY ts, event_id)
+), islands AS (
+  SELECT user_id, ws, CASE WHEN hot THEN count(*) ELSE 0 END AS n FROM numbered GROUP BY user_id, ws, hot, island
+)
+SELECT user_id AS sensor_id, ws AS window_start, ws + interval '10 hours' AS window_end, max(n) AS longest_run
+FROM islands GROUP BY user_id, ws""",
         "stream_slices_update": _windows_sql(),
         "stream_late_strict": _late_sql("slice", 2, _LATE_STATS),
         "stream_late_default": _late_sql("slice - 1", LATE_DAYS, _LATE_STATS),
@@ -883,6 +940,15 @@ SELECT cast(user_id AS integer) AS id, cast(user_id % 4 AS integer) AS location_
   cast(user_id % 360 - 180 AS double) AS longitude,
   cast(user_id % 1000 + 0.25 AS double) AS elevation,
   replace({_TOPIC}, '-topic', '') AS sensor_type, {_STAMP} AS timestamp, value
+FROM events""",
+        "reading_array": f"""
+SELECT cast(user_id AS integer) AS id, {_SENT_TYPE} AS sensor_type, {_STAMP} AS timestamp, value FROM events""",
+        "publish_verbatim": f"""
+SELECT cast(user_id AS varchar) AS key, coalesce({_SENT_TYPE}, 'untyped') || '-topic' AS topic,
+  '{{"id":' || user_id || coalesce(',"sensor_type":"' || {_SENT_TYPE} || '"', '') || ',"timestamp":"' || {_STAMP}
+    || '","value":' || value || ',"note":"a }} \\"quoted\\" {{ brace\\\\' || event_type || '"'
+    || CASE WHEN event_id % 5 = 0 THEN ',"meta":{{"of":{{"event_id":' || event_id || '}}}}' ELSE '' END
+    || '}}' AS value
 FROM events""",
         "location_files": """
 SELECT cast(s_suppkey AS integer) AS location_id,

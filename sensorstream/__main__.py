@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from sensorstream.functions.eventtime import event_time_from_millis, with_event_
 from sensorstream.functions.keys import log_place
 from sensorstream.operators.windows import window_counts
 from sensorstream.plans.archive import start_archive
-from sensorstream.plans.overheat import CLOCK, EVENT, LOG, overheat, start_overheat
+from sensorstream.plans.overheat import CLOCK, EVENT, LOG, finish_overheat, overheat, start_overheat
 from sensorstream.plans.publish import in_sending_order, publish_to_files
 from sensorstream.plans.quarantine import start_quarantine
 from sensorstream.plans.recompute import recompute
@@ -35,7 +37,7 @@ from sensorstream.schemas import (
 )
 from sensorstream.session import session_builder
 from sensorstream.sources.collections import create_collections
-from sensorstream.sources.files import read_file_log, read_readings
+from sensorstream.sources.files import read_file_log, read_messages, read_readings
 from sensorstream.sources.kafka import publish_to_kafka, read_topics
 from sensorstream.streaming.runner import print_rows, start_console
 
@@ -82,6 +84,8 @@ def parser() -> argparse.ArgumentParser:
         "--arrival-order", action="store_true", help="first and last reading as the log has them"
     )
     heat.add_argument("--strict", action="store_true", help="drop late rows at once")
+    heat.add_argument("--ledger", help="folder for each batch's watermark, to tell late rows by")
+    heat.add_argument("--finish", action="store_true", help="at the end store the open windows as well")
 
     store = job("archive", "messages into their collections")
     consumes(store, [TEMPERATURE_TOPIC, HUMIDITY_TOPIC])
@@ -97,6 +101,8 @@ def parser() -> argparse.ArgumentParser:
     send = job("publish", "reading files into the message log")
     send.add_argument("input")
     send.add_argument("--lines", action="store_true", help="input has one reading per line")
+    send.add_argument("--as-sent", action="store_true", help="send the texts as they are, all of their fields")
+    send.add_argument("--topic", help="topic of all messages, by sensor type without it")
     target = send.add_mutually_exclusive_group(required=True)
     target.add_argument("--servers", help="Kafka bootstrap servers")
     target.add_argument("--log", help="folder of a file log")
@@ -107,6 +113,8 @@ def parser() -> argparse.ArgumentParser:
     again.add_argument("--store", required=True)
     again.add_argument("--collection", default="temperature")
     again.add_argument("--output", required=True)
+    again.add_argument("--from-day", help="first day read, as 2010-01-31")
+    again.add_argument("--to-day", help="last day read")
     computes_heat(again)
 
     count = job("count", "rows per key and sliding window of a CSV of key and milliseconds")
@@ -158,17 +166,23 @@ def _overheat(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
             every=args.every,
             strict=args.strict,
         )
-    return start_overheat(
+    checkpoint = args.checkpoint or f"{args.output}.checkpoint"
+    query = start_overheat(
         messages,
         args.output,
         name="overheat",
-        checkpoint=args.checkpoint or f"{args.output}.checkpoint",
+        checkpoint=checkpoint,
         mode=args.mode,
         every=args.every,
         strict=args.strict,
         files_per_batch=args.files_per_batch,
+        ledger=args.ledger,
         **options,
     )
+    if args.finish:
+        query.awaitTermination()
+        finish_overheat(messages, args.output, checkpoint=checkpoint, **options)
+    return query
 
 
 def _archive(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
@@ -195,15 +209,19 @@ def _quarantine(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery
 
 
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    readings = read_readings(spark, args.input, lines=args.lines)
+    read = read_messages if args.as_sent else read_readings
+    frame = read(spark, args.input, lines=args.lines)
     if args.log:
-        publish_to_files(readings, args.log, partitions=args.partitions)
+        publish_to_files(frame, args.log, partitions=args.partitions, topic=args.topic)
     else:
-        publish_to_kafka(in_sending_order(readings), args.servers, acks=args.acks)
+        publish_to_kafka(in_sending_order(frame, topic=args.topic), args.servers, acks=args.acks)
 
 
 def _recompute(spark: SparkSession, args: argparse.Namespace) -> None:
-    stats = recompute(spark, args.store, args.collection, **_heat_options(args))
+    days = [F.col("day") >= F.lit(args.from_day).cast("date")] if args.from_day else []
+    days += [F.col("day") <= F.lit(args.to_day).cast("date")] if args.to_day else []
+    where = reduce(and_, days) if days else None
+    stats = recompute(spark, args.store, args.collection, where, **_heat_options(args))
     stats.write.mode("overwrite").parquet(args.output)
 
 
@@ -231,6 +249,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     if args.job == "overheat" and args.files_per_batch and not args.output:
         raise SystemExit("--files-per-batch needs --output")
+    if args.job == "overheat" and not args.output and (args.finish or args.ledger):
+        raise SystemExit("--finish and --ledger need --output")
+    if args.job == "overheat" and args.finish and (args.every or args.mode != "append"):
+        raise SystemExit("--finish is for a bounded run in append mode")
     spark = session_builder(
         f"sensorstream-{args.job}", shuffle_bytes=args.shuffle_bytes, cores=args.cores
     ).getOrCreate()

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 # Fixed value: topics are named after the sensor type.
 TOPIC_SUFFIX = "-topic"
+#: Where readings without a sensor type go.
+UNTYPED_TOPIC = f"untyped{TOPIC_SUFFIX}"
 
 
 def topic_of(sensor_type: Column) -> Column:
-    return F.concat(sensor_type, F.lit(TOPIC_SUFFIX))
+    """Topic of a reading by its sensor type; one without a type has a topic of its own."""
+    return F.coalesce(F.concat(sensor_type, F.lit(TOPIC_SUFFIX)), F.lit(UNTYPED_TOPIC))
 
 
 def collection_of(topic: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorstream.functions.codec import encode
@@ -19,20 +19,50 @@ def messages_of(readings: DataFrame, *, integral_values: bool = True) -> DataFra
     )
 
 
+def as_sent(texts: DataFrame, *, topic: str | None = None) -> DataFrame:
+    """Message texts (``value``) as they are, as ``(key, value, topic)``; further columns of the frame stay.
+
+    The key is the text's ``id``, null if it has none. Messages go to ``topic``, or without it to that of their
+    ``sensor_type``. No field is read beyond these two, and none is lost.
+    """
+    extra = [c for c in texts.columns if c not in ("key", "value", "topic")]
+    by_type = topic_of(F.get_json_object("value", "$.sensor_type"))
+    to = by_type if topic is None else F.lit(topic)
+    return texts.select(F.get_json_object("value", "$.id").alias("key"), "value", to.alias("topic"), *extra)
+
+
+def _messages(frame: DataFrame, topic: str | None) -> DataFrame:
+    """Messages of readings, or of texts where the frame has no readings."""
+    if "id" not in frame.columns:
+        return as_sent(frame, topic=topic)
+    messages = messages_of(frame)
+    return messages if topic is None else messages.withColumn("topic", F.lit(topic))
+
+
+def _order(frame: DataFrame, order: str) -> Column:
+    in_text = order == "timestamp" and order not in frame.columns
+    return F.get_json_object("value", "$.timestamp") if in_text else F.col(order)
+
+
 def publish_to_files(
-    readings: DataFrame, path: str, *, order: str = "timestamp", partitions: int = 1
+    frame: DataFrame, path: str, *, order: str = "timestamp", partitions: int = 1, topic: str | None = None
 ) -> None:
-    """Publish to a file log; offsets of a sensor ascend with ``order``, and from publish to publish.
+    """Publish readings, or message texts as they are, to a file log.
 
-    Offsets go on behind the greatest one in the log, so one publish runs at a time.
+    Offsets of a sensor ascend with ``order``, and from publish to publish: they go on behind the greatest one
+    in the log, so one publish runs at a time. ``topic`` takes all messages; without it they go by sensor type.
     """
-    keyed = readings.withColumn("sent_order", F.col(order))
-    after = last_offset(readings.sparkSession, path)
-    placed = with_log_position(messages_of(keyed), "sent_order", partitions=partitions, after=after)
+    keyed = frame.withColumn("sent_order", _order(frame, order))
+    after = last_offset(frame.sparkSession, path)
+    placed = with_log_position(_messages(keyed, topic), "sent_order", partitions=partitions, after=after)
     write_file_log(placed, path)
 
 
-def in_sending_order(readings: DataFrame, order: str = "timestamp") -> DataFrame:
-    """Messages for a broker: those of a sensor in one task, in order."""
-    messages = messages_of(readings.withColumn("sent_order", F.col(order)))
+def in_sending_order(frame: DataFrame, order: str = "timestamp", *, topic: str | None = None) -> DataFrame:
+    """Messages for a broker: those of a sensor in one task, in order.
+
+    A broker keeps the order in which a producer sends, so a sensor's messages cannot be spread over tasks. To publish a long
+    history of one busy sensor, publish it in slices of time.
+    """
+    messages = _messages(frame.withColumn("sent_order", _order(frame, order)), topic)
     return messages.repartition("key").sortWithinPartitions("key", "sent_order")

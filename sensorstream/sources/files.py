@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorstream.functions.keys import log_partition
+from sensorstream.sources.arrays import array_elements
 from sensorstream.schemas import ENVELOPE, KEYED_MILLIS, LOCATION, LOCATION_HEADER, READING
 
 
@@ -19,10 +20,35 @@ def keyed_millis(spark: SparkSession, rows: Iterable[tuple[str, int]]) -> DataFr
 def read_readings(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     """Readings from JSON files.
 
-    By default a file is one array of readings, which only one task can read;
-    ``lines=True`` reads one object per line and splits large files.
+    By default a file is one array of readings, ``lines=True`` reads one object per line. Either way
+    many tasks read a large file.
     """
-    return spark.read.schema(READING).option("multiLine", not lines).json(path)
+    if lines:
+        return spark.read.schema(READING).json(path)
+    reading = F.from_json("value", READING, {"mode": "PERMISSIVE"})
+    return array_elements(spark, path).select(F.inline(F.array(reading)))
+
+
+def read_messages(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """The texts (``value``) of the objects in JSON files, as they are written there."""
+    texts = spark.read.text(path) if lines else array_elements(spark, path)
+    return texts.select("value").where(F.trim("value") != "")
+
+
+def write_arrays(texts: DataFrame, path: str, *, mode: str = "error") -> None:
+    """Texts of objects (``value``) as files of one JSON array each, one object to a line."""
+    places = texts.select("value").withColumn("part", F.spark_partition_id())
+    row = F.monotonically_increasing_id()
+    edges = Window.partitionBy("part").orderBy("row")
+    lines = (
+        places.withColumn("row", row)
+        .withColumn("first", F.lag("row").over(edges).isNull())
+        .withColumn("last", F.lead("row").over(edges).isNull())
+    )
+    open_, close = F.when(F.col("first"), "[").otherwise(""), F.when(F.col("last"), "]").otherwise(",")
+    # A part stays in one task, and in order.
+    framed = lines.sortWithinPartitions("part", "row").select(F.concat(open_, "value", close).alias("value"))
+    framed.write.mode(mode).text(path)
 
 
 def write_readings(readings: DataFrame, path: str, *, mode: str = "error") -> None:

@@ -1,0 +1,79 @@
+"""Window functions over ordered rows."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sensorstream.operators.ordered import OrderedFunction, longest_run, ordered_windows
+from sensorstream.operators.windows import sliding_windows
+from sensorstream.functions.aggregates import count_rows
+
+#: The sequence itself, as text: any row out of place shows.
+SEQUENCE = OrderedFunction(
+    list, lambda s, rows: s + rows["value"].tolist(), lambda s: (",".join(str(int(v)) for v in s),), "seq string", ("value",)
+)
+
+
+def brute(rows, size, slide):
+    out = {}
+    for key, t, value in sorted(rows, key=lambda r: (r[1], r[2])):
+        start = t - t % slide
+        while start > t - size:
+            out.setdefault((key, start), []).append(value)
+            start -= slide
+    return out
+
+
+@pytest.mark.parametrize("size,slide", [(10, 1), (10, 3), (3, 10), (7, 7)])
+def test_rows_come_in_order(spark, size, slide):
+    rng = random.Random(size)
+    rows = [(rng.choice([None, "a", "b"]), rng.randrange(200), k) for k in range(400)]
+    rows = [(k, t, float(v)) for k, t, v in rows]
+    frame = spark.createDataFrame(rows, "k string, t long, value double").repartition(7)
+    timed = frame.select("k", F.timestamp_seconds("t").alias("at"), "value")
+    with_settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": "13"}
+    for name, setting in with_settings.items():
+        spark.conf.set(name, setting)
+    try:
+        got = ordered_windows(
+            timed, ["k"], "at", f"{size} seconds", f"{slide} seconds", SEQUENCE, order=["value"]
+        ).collect()
+    finally:
+        for name in with_settings:
+            spark.conf.unset(name)
+    want = {key: ",".join(str(int(v)) for v in vs) for key, vs in brute(rows, size, slide).items()}
+    assert {(r.k, int(r.window_start.timestamp())): r.seq for r in got} == want and len(got) == len(want)
+
+
+def test_longest_run_over_slices():
+    rng = random.Random(3)
+    run = longest_run("v", 0.5)
+    for _ in range(200):
+        values = [rng.choice([0.0, 1.0, 1.0, float("nan")]) for _ in range(rng.randint(1, 30))]
+        cuts = sorted({0, len(values), *(rng.randint(0, len(values)) for _ in range(3))})
+        state = run.start()
+        for a, b in zip(cuts, cuts[1:]):
+            state = run.add(state, {"v": np.array(values[a:b])})
+        text = "".join("x" if v > 0.5 else " " for v in values)
+        assert run.result(state) == (max(map(len, text.split()), default=0),)
+
+
+def test_one_window_of_many_rows(spark):
+    """A hot sensor: every row in one window, handed on in slices."""
+    sizes = OrderedFunction(
+        lambda: (0, 0), lambda s, r: (s[0] + len(r["id"]), max(s[1], len(r["id"]))), lambda s: s,
+        "n bigint, slice bigint", ("id",),
+    )
+    rows = spark.range(300_000).select(F.lit(1).alias("k"), F.timestamp_millis(F.col("id") % 1000).alias("at"), "id")
+    (found,) = ordered_windows(rows, ["k"], "at", "10 seconds", "10 seconds", sizes).collect()
+    assert found.n == 300_000 and found.slice <= 10_000
+
+
+def test_windows_are_those_of_the_measures(spark, readings):
+    frame = readings([(k % 3, k * 0.37, k) for k in range(200)])
+    a = ordered_windows(frame, ["sensor_id"], "event_time", "5 seconds", "2 seconds", longest_run("value", 1e9))
+    b = sliding_windows(frame, ["sensor_id"], "event_time", "5 seconds", "2 seconds", [count_rows()])
+    bounds = ["sensor_id", "window_start", "window_end"]
+    assert a.select(*bounds).exceptAll(b.select(*bounds)).isEmpty() and a.count() == b.count()

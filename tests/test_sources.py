@@ -9,6 +9,7 @@ from sensorstream.plans.recompute import recompute
 from sensorstream.schemas import LOCATION, READING
 from sensorstream.session import new_folder, settings, shared_folder, shuffle_partitions_for
 from sensorstream.sources import kafka
+from sensorstream.sources.arrays import array_elements
 from sensorstream.sources.collections import (
     FOLDERS,
     create_collections,
@@ -20,8 +21,10 @@ from sensorstream.sources.collections import (
 from sensorstream.sources.files import (
     read_file_log,
     read_locations,
+    read_messages,
     read_readings,
     with_log_position,
+    write_arrays,
     write_locations,
     write_readings,
 )
@@ -223,3 +226,74 @@ def test_shuffle_sizing():
     assert shuffle_partitions_for(0, 8) == 24
     assert shuffle_partitions_for(2 * 2**40, 4000) == 65_536
     assert shuffle_partitions_for(100 * 2**40, 4000) == 100 * 2**40 // 2**25
+
+
+# --- JSON arrays ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("block", ["40", "1k", "128m"])
+def test_arrays_are_read_by_many_tasks(spark, tmp_path, block):
+    objects = [
+        {"id": k, "note": 'a } "q" { b\\', "ü": "}" * (k % 3), "meta": {"of": {"e": [k, {}]}} if k % 5 == 0 else None}
+        for k in range(120)
+    ]
+    compact = [json.dumps(o, ensure_ascii=False, separators=(",", ":")) for o in objects]
+    (tmp_path / "one.json").write_text("[" + ",".join(compact) + "]")
+    (tmp_path / "lines.json").write_text("[\n  " + " ,\n  ".join(compact) + "\n]\n\n")
+    (tmp_path / "bare.json").write_text("".join(compact))
+    (tmp_path / "empty.json").write_text(" [ ]\n")
+    (tmp_path / "none.json").write_text("")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": block, "spark.sql.files.openCostInBytes": "1"}):
+        tasks = spark.read.option("lineSep", "}").text(str(tmp_path / "one.json")).rdd.getNumPartitions()
+        got = [r.value for r in array_elements(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(compact * 3)
+    assert tasks > 5 or block == "128m"
+
+
+@pytest.mark.parametrize(
+    "text", ['[{"a":1}', '[{"a":1', '[{"a":"1', '[{"a":1}}]', '[1,{"a":1}]', '[{"a":1}] x', 'x [{"a":{"b":1}}]', "7"]
+)
+def test_what_is_no_array_of_objects_stops_the_job(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    if text == '[{"a":1}':  # nothing is missing but the bracket
+        assert [r.value for r in array_elements(spark, str(tmp_path)).collect()] == ['{"a":1}']
+    else:
+        with pytest.raises(Exception, match="no array of objects"):
+            array_elements(spark, str(tmp_path)).collect()
+
+
+def test_arrays_that_were_written_read_back(spark, folder):
+    texts = spark.range(100).select(F.to_json(F.struct("id", F.lit("}{").alias("t"))).alias("value")).repartition(3)
+    path = folder()
+    write_arrays(texts, path)
+    lines = spark.read.text(path).collect()
+    assert sum(r.value.startswith("[") for r in lines) == sum(r.value.endswith("]") for r in lines) == 3
+    assert read_messages(spark, path).exceptAll(texts).isEmpty() and read_messages(spark, path).count() == 100
+
+
+def test_messages_are_published_as_sent(spark, folder):
+    texts = [
+        '{"id":1, "sensor_type":"humidity","timestamp":"2010-01-01 00:00:02","value":1.50,"unit":"C"}',
+        '{"id":1,"sensor_type":"humidity","timestamp":"2010-01-01 00:00:01","value":1}',
+        '{"id":2,"value":3}',
+        "no json",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "value string")
+    log = folder()
+    publish_to_files(frame, log)
+    sent = {r.value: r for r in read_file_log(spark, log).collect()}
+    assert sorted(sent) == sorted(texts)
+    assert [sent[t].topic for t in texts] == ["humidity-topic"] * 2 + ["untyped-topic"] * 2
+    assert [sent[t].key for t in texts] == ["1", "1", "2", None]
+    assert sent[texts[1]].offset < sent[texts[0]].offset  # by the time in the text
+    assert read_file_log(spark, log, ["untyped-topic"]).count() == 2
+    publish_to_files(frame, log, topic="other-topic")
+    assert read_file_log(spark, log, ["other-topic"]).count() == 4
+
+
+def test_readings_without_a_type_can_be_read(spark, folder):
+    rows = series(spark, 2, 3).withColumn("sensor_type", F.when(F.col("id") == 1, F.col("sensor_type")))
+    log = folder()
+    publish_to_files(rows, log)
+    assert read_file_log(spark, log).where("topic is null").count() == 0
+    assert read_file_log(spark, log, ["untyped-topic"]).count() == 3
