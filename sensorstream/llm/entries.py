@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from sensorstream.llm import licenses, quality, toxicity, urls
-from sensorstream.llm.common import with_arrow
-from sensorstream.llm.exact import DigestIndex
+from sensorstream.llm.common import text_of, with_arrow
+from sensorstream.llm.exact import DigestIndex, normalised
 from sensorstream.llm.negatives import hard_negatives
 from sensorstream.llm.packing import pack_along_curve
 from sensorstream.llm.periodic import with_runs
@@ -71,10 +71,15 @@ def op5_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document the row that stays for its text, through a new index."""
+    """Per document the row that stays for its text.
+
+    The index is first given the documents of about half of the texts, so that all of them then meet one that
+    knows some texts and not others.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     index = DigestIndex(spark, new_folder(spark, "digest-index"), expected=docs.count())
-    decided, names = index.add(docs)
+    index.add(docs.where(F.xxhash64(normalised(text_of("text"))) < 0), carry=[])
+    decided, names = index.add(docs, carry=["doc_id"])
     index.close()
     return decided.select(
         "doc_id",

@@ -6,7 +6,8 @@ per term, and the product of two term vectors for each pair of terms (Rendle,
 "Factorization machines", 2010); the pairs say what neither term says alone, such as an insult
 beside the mention of a group. All pairs together cost one pass: half of the squared sum
 of the vectors less the sum of their squares. Terms that the labelled sample does not tie
-to either class weigh nothing, so a long clean text does not add up to a toxic one.
+to either class, by themselves or in a pair with another term, weigh nothing, so a long clean text does not add up
+to a toxic one.
 """
 
 from __future__ import annotations
@@ -30,11 +31,15 @@ TERM_BITS = 20
 PREFIXES = (4, 5, 6)
 #: Length of a term's vector.
 RANK = 4
-#: Terms that take part in the model, at most; the others weigh nothing.
+#: Terms that take part in the model, at most (parameter ``most_terms``); the others weigh nothing.
 MODEL_TERMS = 4096
 #: A term takes part if it depends on the class with a G-test statistic of so much at least;
 #: by chance, one in some ten thousand terms does.
 LEAST_G = 15.0
+#: So do both terms of a pair that says by so much more than its terms do, each by itself, whether it is there. There are
+#: some two million pairs, of which one in ten thousand million reaches this by chance. Pairs are looked at
+#: among so many terms, the most frequent ones in ``LEAST_TEXTS`` texts or more.
+LEAST_PAIR_G, PAIR_TERMS, LEAST_TEXTS = 45.0, 2048, 16
 #: Passes over the sample. In the first half each term of a text is left out with this chance, so that terms
 #: that come in numbers learn to speak in fewer; the second half settles on whole texts.
 EPOCHS, LEFT_OUT = 24, 0.5
@@ -78,25 +83,53 @@ class ToxicityModel:
         return tuple(self.chosen[t] for t in terms_of(word) if t in self.chosen)
 
 
-def choose_terms(index: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Terms that depend on the class, by the G-test, the strongest first."""
+def g_statistic(toxic: np.ndarray, clean: np.ndarray, many_toxic: float, many_clean: float) -> np.ndarray:
+    """How far counts of texts in the two classes depend on the class, by the G-test."""
+    statistic = np.zeros(np.shape(toxic))
+    for seen, many in ((toxic, many_toxic), (clean, many_clean)):
+        expected = (toxic + clean) * (many / (many_toxic + many_clean))
+        for observed, awaited in ((seen, expected), (many - seen, many - expected)):
+            statistic += 2 * observed * np.log(np.maximum(observed, 1e-9) / np.maximum(awaited, 1e-9))
+    return statistic
+
+
+def choose_terms(index: list[np.ndarray], labels: np.ndarray, most: int = MODEL_TERMS) -> np.ndarray:
+    """Terms that depend on the class by themselves or in pairs, the strongest first."""
     size = 1 << TERM_BITS
     toxic, clean = np.zeros(size), np.zeros(size)
     for found, label in zip(index, labels):
         (toxic if label else clean)[found] += 1
     many_toxic, many_clean = max(labels.sum(), 1), max((1 - labels).sum(), 1)
-    texts = many_toxic + many_clean
-    statistic = np.zeros(size)
-    for seen, many in ((toxic, many_toxic), (clean, many_clean)):
-        expected = (toxic + clean) * (many / texts)
-        for observed, awaited in ((seen, expected), (many - seen, many - expected)):
-            statistic += 2 * observed * np.log(np.maximum(observed, 1e-9) / np.maximum(awaited, 1e-9))
-    order = np.argsort(-statistic, kind="stable")[:MODEL_TERMS]
-    return order[statistic[order] >= LEAST_G]
+    statistic = g_statistic(toxic, clean, many_toxic, many_clean)
+    # Pairs: in how many texts of either class two terms meet, as products of tables of texts by terms.
+    frequent = np.argsort(-(toxic + clean), kind="stable")[:PAIR_TERMS]
+    frequent = frequent[(toxic + clean)[frequent] >= LEAST_TEXTS]
+    place = np.full(size, -1)
+    place[frequent] = np.arange(len(frequent))
+    met = []
+    for wanted in (1, 0):
+        texts = [place[found] for found, label in zip(index, labels) if label == wanted]
+        held = np.zeros((len(texts), len(frequent)), np.float32)
+        for row, found in zip(held, texts):
+            row[found[found >= 0]] = 1
+        met.append((held.T @ held).astype(np.float64))
+    pairs = g_statistic(*met, many_toxic, many_clean) - statistic[frequent][:, None] - statistic[frequent]
+    np.fill_diagonal(pairs, 0)
+    best = np.zeros(size)
+    best[frequent] = pairs.max(axis=1, initial=0)
+    strength = np.where(statistic >= LEAST_G, statistic, 0) + np.where(best >= LEAST_PAIR_G, best, 0)
+    order = np.argsort(-strength, kind="stable")[:most]
+    return order[strength[order] > 0]
 
 
 def train(
-    index: list[np.ndarray], labels: np.ndarray, *, epochs: int = EPOCHS, rate: float = 0.15, l2: float = 1e-4
+    index: list[np.ndarray],
+    labels: np.ndarray,
+    *,
+    epochs: int = EPOCHS,
+    rate: float = 0.15,
+    l2: float = 1e-4,
+    most_terms: int = MODEL_TERMS,
 ) -> ToxicityModel:
     """Fit by AdaGrad on rows of terms and labels (0 or 1); the rarer class weighs up to 4 times.
 
@@ -104,7 +137,7 @@ def train(
     """
     share = (labels.sum() + 1) / (len(labels) + 2)
     bias = float(np.log(share / (1 - share)))
-    chosen = choose_terms(index, labels) if 0 < labels.sum() < len(labels) else np.empty(0, int)
+    chosen = choose_terms(index, labels, most_terms) if 0 < labels.sum() < len(labels) else np.empty(0, int)
     place = {int(t): k for k, t in enumerate(chosen)}
     rng = np.random.default_rng(11)
     many, few = max(labels.sum(), (1 - labels).sum()), min(labels.sum(), (1 - labels).sum())
@@ -136,7 +169,12 @@ def train(
 
 
 def fit(
-    spark: SparkSession, docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS
+    spark: SparkSession,
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    per_class: int = PER_CLASS,
+    most_terms: int = MODEL_TERMS,
 ) -> ToxicityModel:
     """Fit on labelled rows outside the held-out fold, ``per_class`` of each class at most.
 
@@ -162,13 +200,19 @@ def fit(
         zip(table.column("label").to_pylist(), table.column("terms").to_numpy()),
         key=lambda r: (r[0], len(r[1]), r[1][:8].tolist()),
     )  # whatever order they came in
-    return train([found for _, found in rows], np.array([label for label, _ in rows], int))
+    return train([found for _, found in rows], np.array([label for label, _ in rows], int), most_terms=most_terms)
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, name: str, text: str = "text") -> DataFrame:
-    """Adds the score (double, 0 to 1). Null text counts as empty."""
+    """Adds the score (double, 0 to 1) as the column ``name``, which must be new.
+
+    Null text counts as empty, and texts without a known term share one score. Whole texts are read, however long; equal
+    texts score alike. An empty table gives an empty one.
+    """
+    if name in docs.columns:
+        raise ValueError(f"there is a column {name} already")
     for_texts(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by most_terms
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         model = shared.value

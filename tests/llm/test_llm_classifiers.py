@@ -72,19 +72,29 @@ def test_pairs_say_what_single_terms_do_not():
         filler = rng.choice(np.arange(100, 200), 3, replace=False)
         index.append(np.array(sorted([*([3] if a else [4]), *([7] if b else [8]), *filler])))
         labels.append(int(a == b))
-    model = toxicity.ToxicityModel
     labels = np.array(labels)
-    monkey = toxicity.choose_terms
-    toxicity.choose_terms = lambda index, labels: np.array([3, 4, 7, 8])
-    try:
-        model = toxicity.train(index, labels, epochs=60)
-    finally:
-        toxicity.choose_terms = monkey
+    assert set(toxicity.choose_terms(index, labels).tolist()) == {3, 4, 7, 8}
+    model = toxicity.train(index, labels, epochs=60)
     rows = [[model.chosen[t] for t in found.tolist() if t in model.chosen] for found in index]
     right = [(model.margin(r) > 0) == bool(y) for r, y in zip(rows, labels)]
     assert np.mean(right) > 0.95
 
 
+def test_terms_in_any_order_of_strength_are_bounded():
+    rng = np.random.default_rng(6)
+    labels = np.arange(400) % 2
+    index = [np.sort(np.append(rng.choice(np.arange(50, 90), 5, replace=False), k % 2 * 10 + k // 2 % 8)) for k in range(400)]
+    assert len(toxicity.choose_terms(index, labels)) == 16
+    assert len(toxicity.choose_terms(index, labels, 5)) == 5
+    assert len(toxicity.train(index, labels, most_terms=5).weights) == 5
+
+
+def test_a_score_takes_no_name_that_exists(spark, documents):
+    model = toxicity.train([], np.array([], int))
+    with pytest.raises(ValueError, match="already"):
+        toxicity.with_score(documents([(1, "a")]), model, "score")
+
+
 def test_terms_that_come_in_numbers_decide_in_twos():
     """Toxic texts of the sample hold five of ten terms; two of them in a text are enough."""
     rng = np.random.default_rng(4)

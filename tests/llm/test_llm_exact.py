@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm import exact
 from sensorstream.llm.exact import DigestIndex
-from sensorstream.session import new_folder
+from sensorstream.session import new_folder, settings
 
 
 def plain(rows):
@@ -75,12 +75,66 @@ def test_buckets_grow_with_the_texts_expected(spark, documents):
     assert index.buckets == few and sorted(decided(*index.add(documents(rows)))) == sorted(plain(rows))
 
 
-def test_the_anti_join_sorts_only_the_new_rows(spark, documents):
+def files_of(index):
+    """Data files of each run."""
+    return {run: len(index._table(run).inputFiles()) for run in index.runs}
+
+
+def test_batches_meet_sorted_runs_without_a_sort(spark, documents):
     index = DigestIndex(spark, new_folder(spark, "index"), buckets=4)
+    for k in range(3):
+        index.add(documents([(100 * k + i, f"text {k} {i}") for i in range(60)]))
+    assert list(files_of(index).values()) == [4, 4, 4]  # one file per bucket, whatever came before
+    with settings(spark, exact.IN_ORDER):
+        path = new_folder(spark, "batch")
+        rows = spark.range(9).select(
+            F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256)).alias("digest"),
+            F.lit(1).cast("bigint").alias("keep_id"),
+            F.lit(1).cast("bigint").alias("n_chars"),
+        )
+        batch = index._lay_out(rows.repartition(4, "digest"), path, exact.INDEX, path)
+        plan = index._unknown(batch)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 3
+        assert "Sort [" not in plan and "Exchange" not in plan
+    index.close()
+
+
+def test_runs_of_like_size_are_merged(spark, documents):
+    path = new_folder(spark, "index")
+    index = DigestIndex(spark, path, buckets=3)
+    for k in range(9):
+        index.add(documents([(10 * k + i, f"text {k} {i}") for i in range(8)]))
+        assert len(index.runs) < exact.RUNS + 2 and sum(index.runs.values()) == 8 * (k + 1)
+    assert max(index.runs.values()) >= 32 and max(files_of(index).values()) <= 3
+    index.close()
+    again = DigestIndex(spark, path)  # finds the manifest and only what it names
+    assert again.runs == index.runs and again.read().count() == 72
+    got = decided(*again.add(documents([(900, "text 3 4"), (901, "new")])))
+    assert sorted(r[:2] for r in got) == [(900, 34), (901, 901)]
+    assert again.read().groupBy("digest").count().where("count > 1").isEmpty()
+
+
+def test_a_crash_before_the_switch_leaves_the_index_as_it_was(spark, documents, monkeypatch):
+    path = new_folder(spark, "index")
+    index = DigestIndex(spark, path, buckets=2)
     index.add(documents([(1, "a")]))
-    new = documents([(2, "b")]).select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
-    plan = new.join(index.read().hint("merge"), "digest", "left_anti")._jdf.queryExecution().toString()
-    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    monkeypatch.setattr(DigestIndex, "_switch", lambda self, runs: 1 / 0)
+    try:
+        index.add(documents([(2, "b")]))
+        raise AssertionError("the switch was not reached")
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    again = DigestIndex(spark, path)
+    assert again.read().count() == 1
+    assert sorted(r[:2] for r in decided(*again.add(documents([(3, "b"), (4, "a")])))) == [(3, 3), (4, 1)]
+
+
+def test_carried_columns(spark, documents):
+    index = DigestIndex(spark, new_folder(spark, "index"), buckets=2)
+    got, names = index.add(documents([(1, "a b"), (2, "ab")]), carry=["doc_id", "kept"])
+    assert got.columns == ["doc_id", "kept", names["digest"], names["keep_id"], names["group_size"], names["kept"]]
+    assert sorted(r[:2] for r in decided(got, names)) == [(1, 1), (2, 1)]
 
 
 def test_empty_batch(spark, documents):

@@ -224,18 +224,26 @@ def test_no_vectors(spark):
     assert near_duplicate_vectors(frame).count() == 0
 
 
-def test_vector_query_at_a_size_with_links(spark):
-    sf = "/root/testdata/check_s"
-    rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
-    ids = np.array(sorted(rows))
-    matrix = np.array([rows[i] for i in ids], float)
+def test_vector_query_at_a_size_with_links(spark, tmp_path):
+    """Clusters whose members lie on both sides of the threshold, a large group of copies, and vectors far apart."""
+    rng = np.random.default_rng(8)
+    middles = rng.normal(size=(250, 64))
+    middles /= np.linalg.norm(middles, axis=1)[:, None]
+    spread = rng.uniform(0.1, 0.35, 250)[:, None, None] / 8
+    near = (middles[:, None] + spread * rng.normal(size=(250, 16, 64))).reshape(-1, 64)
+    matrix = np.concatenate([near, np.repeat(near[:1], 300, axis=0), rng.normal(size=(1000, 64))]).astype(np.float32)
+    ids = np.arange(len(matrix))
+    rows = [(int(i), v.tolist(), 0) for i, v in zip(ids, matrix)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    frame.repartition(8).write.parquet(str(tmp_path / "embeddings.parquet"))
+    matrix = matrix.astype(float)
     matrix /= np.linalg.norm(matrix, axis=1)[:, None]
     links = matrix @ matrix.T >= 0.95
     wanted = links.sum(axis=1) - 1
-    got = {r.vec_id: r.n_links for r in op3_embedding_near_dedup(spark, sf).collect()}
+    got = {r.vec_id: r.n_links for r in op3_embedding_near_dedup(spark, str(tmp_path)).collect()}
     found = np.array([got[int(i)] for i in ids])
     assert (found <= wanted).all()
-    assert found.sum() >= 0.995 * wanted.sum() > 0
+    assert found.sum() >= 0.995 * wanted.sum() > 20_000
 
 
 def test_hex_of_prints(spark):
