@@ -17,7 +17,7 @@ import json
 import math
 import re
 from dataclasses import dataclass
-from pathlib import Path
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,9 +154,17 @@ def bigrams_of(text: str) -> list[str]:
 
 
 def whole_texts() -> dict[str, str]:
-    """The whole texts of licences, by identifier."""
-    files = Path(__file__).with_name("texts").glob("*.txt")
-    return {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8") for f in sorted(files)}
+    """The whole texts of licences, by identifier, from wherever the package was imported.
+
+    Of all licences that are held but the CC BY ones a text must be there.
+    """
+    folder = files(__package__).joinpath("texts")
+    names = sorted(f.name for f in folder.iterdir()) if folder.is_dir() else []
+    texts = {n.removesuffix(".txt"): folder.joinpath(n).read_text("utf-8") for n in names if n.endswith(".txt")}
+    missing = sorted(k for k in NOTICES if k not in texts and not k.startswith("CC-BY"))
+    if missing:
+        raise FileNotFoundError(f"the package was shipped without its licence texts: {', '.join(missing)}")
+    return texts
 
 
 def templates_of(notices: dict[str, str] = NOTICES) -> list[Template]:
@@ -200,12 +208,13 @@ def best_license(
 ) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with new columns, whose names are the second value.
 
-    ``license`` is the best match of any unit at ``threshold`` or more, else null; ``dice`` its coefficient (0
-    without a match). Of equals, a licence whose best matches are all another's as well gives way to it if that
+    ``license`` is the best match: of the units at ``threshold`` or more, and of the templates found word by word; null
+    without one. ``dice`` is its coefficient, 0 without a match; below the threshold for a template whose words stand
+    in no unit close enough to it, such as a sentence that says more, or denies it. Of equals, a licence whose best matches are all another's as well gives way to it if that
     one has more matched bigrams in all; then the first by name counts. ``matches`` is the number of pairs of a
     distinct unit (line, paragraph or whole) and a template at the threshold, and of sentences, paragraphs between
     comment marks and templates found word by word for licences that no such unit names. Null text counts as
-    empty: no match. Rows are looked at one by one, repeated or not.
+    empty: no match. Rows are looked at one by one, repeated or not, however long. An empty table gives an empty one.
     """
     templates = templates_of(notices)
     names = {k: fresh_name(k) for k in ("license", "dice", "matches")}
@@ -262,9 +271,16 @@ def best_license(
         return F.filter(F.flatten(F.transform(F.col(found), compared)), lambda m: m["dice"] >= threshold)
 
     said = F.concat(F.lit(" "), F.col(whole), F.lit(" "))
+
+    def closest(t: Column) -> Column:
+        """The coefficient of the unit that is closest to a template; the whole text is a unit too."""
+        common = lambda u: F.size(F.array_intersect(u, t["bigrams"]))
+        dice = lambda u: F.lit(2.0) * common(u) / (F.size(u) + F.size(t["bigrams"]))
+        return F.array_max(F.transform(F.concat(F.col(units), F.col(parts)), dice))
+
     phrases = F.transform(
         F.filter(table, lambda t: F.array_contains(F.col(told), t["first"]) & F.contains(said, t["phrase"])),
-        lambda t: hit(F.lit(1.0), F.size(t["bigrams"]), t),
+        lambda t: hit(closest(t), F.size(t["bigrams"]), t),
     )
     none = F.array().cast("array<array<string>>")
     no_hit = F.array().cast("array<struct<dice:double,common:int,holders:array<string>>>")

@@ -1,7 +1,12 @@
 """URL filters and licence scans against plain Python."""
 
+import os
+import pathlib
 import random
 import re
+import subprocess
+import sys
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,3 +214,46 @@ def test_native_plans_run_no_python(spark):
         plan = frame._jdf.queryExecution().toString()
         assert not re.search("Python|Arrow|Pandas|Exchange|BatchEval", plan)
     assert docs.select(F.lit(1)).count() == 1
+
+
+def packed_library(path, *, texts):
+    root = pathlib.Path(licenses.__file__).parents[1]
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(root.rglob("*")):
+            if f.suffix == ".py" or texts and f.suffix == ".txt":
+                out.write(f, f.relative_to(root.parent))
+    code = "from sensorstream.llm import licenses as l; print(l.__file__); print(len(l.templates_of()))"
+    env = {**os.environ, "PYTHONPATH": str(path)}
+    return subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, cwd=path.parent)
+
+
+def test_templates_from_an_archive(tmp_path):
+    """Imported from a zip file all templates are there; without the texts the import of them says so."""
+    done = packed_library(tmp_path / "whole.zip", texts=True)
+    place, count = done.stdout.split()
+    assert "whole.zip" in place and int(count) == len(licenses.templates_of()) > 400
+    done = packed_library(tmp_path / "bare.zip", texts=False)
+    assert done.returncode and "without its licence texts" in done.stderr
+
+
+def test_dice_is_that_of_the_closest_unit(spark):
+    """By brute force: a template's words within a sentence that says more do not make the sentence equal to it."""
+    texts = [
+        "This is not released under the MIT License.",
+        "Released under the MIT License.",
+        "First of all.\nWe say that it is\nreleased under the MIT License. And more words follow here.",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, names = licenses.best_license(frame)
+    rows = {r.doc_id: r for r in got.collect()}
+    (template,) = [t for t in licenses.templates_of() if t.phrase == "released under the mit license"]
+    for k, text in enumerate(texts):
+        units = [*text.split("\n"), text, *re.split(r"(?<=[.!?])\s+", text)]
+        dice = []
+        for unit in units:
+            mine = set(licenses.bigrams_of(unit))
+            if mine & set(template.bigrams):
+                dice.append(2 * len(mine & set(template.bigrams)) / (len(mine) + len(template.bigrams)))
+        assert rows[k][names["license"]] == "MIT"
+        assert rows[k][names["dice"]] == pytest.approx(max(dice))
+    assert rows[0][names["dice"]] < licenses.THRESHOLD and rows[1][names["dice"]] == 1.0
