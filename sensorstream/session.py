@@ -128,7 +128,7 @@ def ship_library(spark: SparkSession) -> None:
     archive = os.path.join(folder, "sensorstream.zip")
     with zipfile.ZipFile(archive, "w") as out:
         for place, _, names in os.walk(package):
-            for name in sorted(n for n in names if n.endswith(".py")):
+            for name in sorted(n for n in names if n.endswith((".py", ".txt"))):  # code and the texts it reads
                 path = os.path.join(place, name)
                 out.write(path, os.path.relpath(path, os.path.dirname(package)))
     context.addPyFile(archive)
