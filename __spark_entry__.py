@@ -50,6 +50,7 @@ from sensorstream.plans.recompute import recompute  # noqa: E402
 from sensorstream.schemas import TIMESTAMP_FORMAT  # noqa: E402
 from sensorstream.session import new_folder, settings, use_utc  # noqa: E402
 from sensorstream.sources.collections import QUARANTINE, find  # noqa: E402
+from sensorstream.sources.compaction import compact  # noqa: E402
 from sensorstream.sources.files import (  # noqa: E402
     read_file_log,
     read_locations,
@@ -554,6 +555,19 @@ def q_archive_roundtrip(spark, sf_dir):
     )
 
 
+def q_archive_compacted(spark, sf_dir):
+    """A collection written in many batches, compacted twice, with batches behind the last compaction."""
+    log, store, checkpoint = (new_folder(spark, n) for n in ("log", "store", "checkpoint"))
+    readings = _readings(spark, sf_dir)
+    for k in range(3):
+        publish_to_files(readings.where(F.pmod("event_id", F.lit(3)) == k), log, order="event_id", partitions=8)
+        messages = read_file_log(spark, log, streaming=True, max_files_per_trigger=4)
+        start_archive(messages, store, checkpoint=checkpoint, files_per_batch=1).awaitTermination()
+        if k < 2:
+            compact(spark, store, "temperature")
+    return find(spark, store, "temperature").select("sensor_id", "timestamp", "value")
+
+
 def q_collection_find(spark, sf_dir):
     hot = F.col("value") > 89.0
     found = find(spark, _archived(spark, sf_dir), "temperature", hot)
@@ -925,6 +939,8 @@ SELECT replace({_TOPIC}, '-topic', '') AS collection, {_TOPIC} AS topic, count(*
   cast(sum(cast(round(value * 100) AS bigint)) AS bigint) AS cents,
   min({_STAMP}) AS first_ts, max({_STAMP}) AS last_ts
 FROM events GROUP BY 1, 2""",
+        "archive_compacted": f"""
+SELECT cast(user_id AS integer) AS sensor_id, {_STAMP} AS timestamp, value FROM events WHERE {_TEMPERATURE}""",
         "collection_find": f"""
 SELECT cast(user_id AS integer) AS sensor_id, cast(user_id % 4 AS integer) AS location_id,
   cast(user_id % 1000 + 0.25 AS double) AS elevation, {_STAMP} AS timestamp, value

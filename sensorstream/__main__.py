@@ -25,6 +25,7 @@ from sensorstream.plans.publish import in_sending_order, publish_to_files
 from sensorstream.plans.quarantine import start_quarantine
 from sensorstream.plans.recompute import recompute
 from sensorstream.schemas import (
+    COLLECTIONS,
     CONSTANT_THRESHOLD,
     DATABASE,
     HUMIDITY_TOPIC,
@@ -36,7 +37,8 @@ from sensorstream.schemas import (
     WINDOW_SLIDE,
 )
 from sensorstream.session import session_builder
-from sensorstream.sources.collections import create_collections
+from sensorstream.sources.collections import QUARANTINE, create_collections
+from sensorstream.sources.compaction import FILE_BYTES, compact, vacuum
 from sensorstream.sources.files import read_file_log, read_messages, read_readings
 from sensorstream.sources.kafka import publish_to_kafka, read_topics
 from sensorstream.streaming.runner import print_rows, start_console
@@ -93,6 +95,12 @@ def parser() -> argparse.ArgumentParser:
     store.add_argument("--files-per-batch", type=int)
     store.add_argument("--tables", action="store_true", help="declare and fill catalog tables as well")
 
+    pack = job("compact", "stored collections into files of a given size")
+    pack.add_argument("--store", required=True)
+    pack.add_argument("--collections", nargs="+", default=[*COLLECTIONS, QUARANTINE])
+    pack.add_argument("--file-bytes", type=int, default=FILE_BYTES)
+    pack.add_argument("--vacuum", action="store_true", help="delete what is no longer read; no reader may be at work")
+
     aside = job("quarantine", "messages that are no complete readings")
     consumes(aside, [TEMPERATURE_TOPIC, HUMIDITY_TOPIC])
     aside.add_argument("--output", required=True)
@@ -198,6 +206,13 @@ def _archive(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     )
 
 
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    for collection in args.collections:
+        compact(spark, args.store, collection, file_bytes=args.file_bytes)
+        if args.vacuum:
+            vacuum(spark, args.store, collection)
+
+
 def _quarantine(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     return start_quarantine(
         _messages(spark, args),
@@ -238,6 +253,7 @@ def _count(spark: SparkSession, args: argparse.Namespace) -> None:
 JOBS = {
     "overheat": _overheat,
     "archive": _archive,
+    "compact": _compact,
     "publish": _publish,
     "quarantine": _quarantine,
     "recompute": _recompute,

@@ -51,10 +51,12 @@ def find(
 ) -> DataFrame:
     """All documents of a collection, or those that satisfy ``where``.
 
-    Only the collection's own folder is listed, and a condition on ``day`` reads only those days.
+    Only the collection's own folders are listed, and a condition on ``day`` reads only those days. Compacted
+    collections are read as of one snapshot (:mod:`~sensorstream.sources.compaction`).
     """
-    schema = T.StructType([f for f in STORED.fields if f.name != "collection"])
-    documents = spark.read.schema(schema).parquet(f"{store}/collection={collection}")
+    from sensorstream.sources.compaction import documents_of
+
+    documents = documents_of(spark, store, collection)
     found = documents if where is None else documents.where(where)
     return found.drop("day", "batch_id")
 
