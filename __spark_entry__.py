@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -38,6 +39,7 @@ from sensorstream.operators.windows import (  # noqa: E402
 from sensorstream.plans.archive import start_archive  # noqa: E402
 from sensorstream.plans.overheat import (  # noqa: E402
     CLOCK,
+    TIMER,
     current_alerts,
     finish_overheat,
     finished_windows,
@@ -412,6 +414,39 @@ def q_stream_clock_window(spark, sf_dir):
     )
 
 
+def q_stream_clock_timers(spark, sf_dir):
+    """Windows of 4 s by each reading's own arrival, closed by timers: every reading counts in two of them.
+
+    No data come after the first batch, so the job runs until the clock has closed all windows.
+    """
+    log, path = _published(spark, sf_dir), new_folder(spark, "timers")
+    messages = read_file_log(spark, log, streaming=True)
+    job = {"time": TIMER, "size": "4 seconds", "slide": "2 seconds"}
+    schema = overheat(messages, **job).schema
+    wanted, until = 2 * read_file_log(spark, log).count(), time.time() + TIMER_SECONDS
+    query = start_overheat(
+        messages, path, name="timers", checkpoint=new_folder(spark, "checkpoint"), every="1 second", **job
+    )
+    try:
+        while time.time() < until and query.isActive:
+            time.sleep(1)
+            # The folder is there once the first batch is written.
+            if query.lastProgress and query.lastProgress["batchId"] > 0:
+                if read_batches(spark, path, schema).agg(F.sum("n")).first()[0] == wanted:
+                    break
+    finally:
+        query.stop()
+    windows = read_batches(spark, path, schema)
+    return windows.groupBy("sensor_id").agg(
+        F.sum("n").alias("n"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        (F.count(F.lit(1)) - F.countDistinct("window_start")).alias("closed_twice"),
+    )
+
+
+#: Seconds after which the query with timers is stopped, whatever it has.
+TIMER_SECONDS = 180
 SLICES, SLICE_FILES = 4, 4
 # The default rule lags a batch behind, a quarter of the events' span.
 LATE_DAYS = 12
@@ -922,6 +957,10 @@ FROM spans""",
         "stream_clock_window": """
 SELECT cast(user_id AS integer) AS sensor_id, 10 * count(*) AS n,
   strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM events GROUP BY user_id""",
+        "stream_clock_timers": """
+SELECT cast(user_id AS integer) AS sensor_id, 2 * count(*) AS n, 0 AS closed_twice,
+  strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
 FROM events GROUP BY user_id""",
         "stream_quarantine": f"""
 SELECT {_TOPIC} AS topic,

@@ -20,7 +20,7 @@ from sensorstream.functions.eventtime import event_time_from_millis, with_event_
 from sensorstream.functions.keys import log_place
 from sensorstream.operators.windows import window_counts
 from sensorstream.plans.archive import start_archive
-from sensorstream.plans.overheat import CLOCK, EVENT, LOG, finish_overheat, overheat, start_overheat
+from sensorstream.plans.overheat import CLOCK, EVENT, LOG, TIMER, finish_overheat, overheat, start_overheat
 from sensorstream.plans.publish import in_sending_order, publish_to_files
 from sensorstream.plans.quarantine import start_quarantine
 from sensorstream.plans.recompute import recompute
@@ -78,7 +78,7 @@ def parser() -> argparse.ArgumentParser:
     heat.add_argument("--delay", default=OUT_OF_ORDERNESS, help="of the watermark")
     heat.add_argument("--source-tz", help="zone of the readings' timestamps, UTC without it")
     heat.add_argument("--output", help="folder of the result table; prints every row without it")
-    heat.add_argument("--time", choices=[EVENT, LOG, CLOCK], default=EVENT)
+    heat.add_argument("--time", choices=[EVENT, LOG, CLOCK, TIMER], default=EVENT)
     heat.add_argument("--mode", choices=["append", "update"], default="append")
     heat.add_argument("--files-per-batch", type=int)
     heat.add_argument("--alerts-only", action="store_true")
@@ -267,6 +267,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         raise SystemExit("--files-per-batch needs --output")
     if args.job == "overheat" and not args.output and (args.finish or args.ledger):
         raise SystemExit("--finish and --ledger need --output")
+    if args.job == "overheat" and args.time == TIMER and (args.mode != "append" or not args.every):
+        raise SystemExit("windows by the timer need --every, in append mode")
     if args.job == "overheat" and args.finish and (args.every or args.mode != "append"):
         raise SystemExit("--finish is for a bounded run in append mode")
     spark = session_builder(

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from sensorstream.functions.intervals import micros
 from sensorstream.operators.windows import WINDOWS_PER_BLOCK
-from sensorstream.session import require_utc
+from sensorstream.session import require_utc, ship_library
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,7 @@ def ordered_windows(
     require_utc(df.sparkSession)
     if df.isStreaming:
         raise ValueError("ordered window functions are for batch frames")
+    ship_library(df.sparkSession)
     size_us, slide_us = micros(size), micros(slide)
     block_us = slide_us * math.ceil(WINDOWS_PER_BLOCK * max(size_us, slide_us) / slide_us)
 

@@ -12,12 +12,14 @@ from sensorstream.functions.eventtime import parse_event_time, with_event_time
 from sensorstream.operators.quality import good_readings
 from sensorstream.operators.windows import overheat_alerts, overheat_stats
 from sensorstream.schemas import OUT_OF_ORDERNESS
+from sensorstream.session import ship_library
+from sensorstream.streaming.clock import clock_windows
 from sensorstream.streaming.lateness import with_ledger
 from sensorstream.streaming.runner import start_batches
 from sensorstream.streaming.sinks import batch_store, change_log, current_rows, read_batches, read_changes
 
 KEYS = ["sensor_id", "window_start", "window_end"]
-EVENT, LOG, CLOCK = "event", "log", "clock"
+EVENT, LOG, CLOCK, TIMER = "event", "log", "clock", "timer"
 
 
 def overheat(
@@ -34,14 +36,20 @@ def overheat(
     ``time`` says what windows go by: ``"event"`` the reading's own timestamp,
     ``"log"`` the time the log took the message in, ``"clock"`` the time the job
     reads it (one value per batch). ``open_in`` names the checkpoint of a stopped stream and gives the windows
-    it left open. First and last reading carry the reading's own
+    it left open. ``"timer"`` is the time at which each reading is taken in, and its windows close by the clock alone
+    (streams in append mode). First and last reading carry the reading's own
     timestamp as it was sent, whatever the clock and ``source_tz``. Further arguments go
     to :func:`~sensorstream.operators.windows.overheat_stats`.
     """
     clocks = {EVENT: F.col("event_time"), LOG: F.col("log_time"), CLOCK: F.current_timestamp()}
-    if time not in clocks:
-        raise ValueError(f"time must be one of {tuple(clocks)}")
+    if time not in (*clocks, TIMER):
+        raise ValueError(f"time must be one of {(*clocks, TIMER)}")
     decoded = decode(messages, fields=("id", "timestamp", "value"), source_tz=source_tz)
+    if time == TIMER:
+        ship_library(messages.sparkSession)
+        stats.pop("decimals", None)  # sums are exact without it
+        windows = clock_windows(good_readings(decoded), **stats)
+        return overheat_alerts(windows) if alerts_only else windows
     readings = good_readings(decoded).withColumn("sent_at", parse_event_time(F.col("timestamp")))
     timed = with_event_time(readings, clocks[time], delay if messages.isStreaming else None, "at")
     windows = overheat_stats(timed, time="at", reading_time="sent_at", **stats)
