@@ -434,6 +434,8 @@ def q_stream_clock_timers(spark, sf_dir):
             if query.lastProgress and query.lastProgress["batchId"] > 0:
                 if read_batches(spark, path, schema).agg(F.sum("n")).first()[0] == wanted:
                     break
+        while query.isActive and query.status["isTriggerActive"] and time.time() < until:
+            time.sleep(0.05)  # stop between batches
     finally:
         query.stop()
     windows = read_batches(spark, path, schema)
