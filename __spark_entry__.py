@@ -49,6 +49,7 @@ from sensorstream.plans.overheat import (  # noqa: E402
 from sensorstream.plans.publish import messages_of, publish_to_files  # noqa: E402
 from sensorstream.plans.quarantine import QUARANTINED, start_quarantine  # noqa: E402
 from sensorstream.plans.recompute import recompute  # noqa: E402
+from sensorstream.plans.reconcile import reconcile  # noqa: E402
 from sensorstream.schemas import TIMESTAMP_FORMAT  # noqa: E402
 from sensorstream.session import new_folder, settings, use_utc  # noqa: E402
 from sensorstream.sources.collections import QUARANTINE, find  # noqa: E402
@@ -615,6 +616,23 @@ def q_recompute_stored(spark, sf_dir):
     return _plain_bounds(recompute(spark, _archived(spark, sf_dir), **WINDOW, **EXACT))
 
 
+def q_reconcile(spark, sf_dir):
+    """The store against the readings with some left out, some changed and some sent twice: just those."""
+    stored = find(spark, _archived(spark, sf_dir), "temperature").select("sensor_id", "timestamp", "value")
+    lost, changed, doubled = (F.pmod("event_id", F.lit(n)) == 0 for n in (97, 89, 83))
+    sent = _readings(spark, sf_dir).where((F.col("sensor_type") == "temperature") & ~lost)
+    sent = sent.withColumn("value", F.when(changed, F.col("value") + 1000).otherwise(F.col("value")))
+    sent = sent.unionByName(sent.where(doubled)).select(F.col("id").alias("sensor_id"), "timestamp", "value")
+    day = F.substring("timestamp", 1, 10)
+    differ = reconcile(
+        stored.withColumn("day", day),
+        sent.withColumn("day", day),
+        groups=["day", "sensor_id"],
+        columns=["sensor_id", "timestamp", "value"],
+    )
+    return differ
+
+
 def _odd_archive(spark, sf_dir):
     """Archive messages with a field of no known name and one of a wrong type."""
     text = F.concat(
@@ -910,6 +928,20 @@ SELECT event_id, bool_and(closed) OVER (PARTITION BY event_id) AS too_late, ws A
 FROM marked QUALIFY closed"""),
         "stream_overheat_finished": _windows_sql(time=_SECONDS, key_type="integer"),
         "stream_alerts_update": _windows_sql(time=_SECONDS, key_type="integer", having=_HOT),
+        "reconcile": f"""
+WITH stored AS (
+  SELECT cast(user_id AS integer) AS sensor_id, {_STAMP} AS timestamp, value, event_id
+  FROM events WHERE {_TEMPERATURE}
+), sent AS (
+  SELECT sensor_id, timestamp, value + CASE WHEN event_id % 89 = 0 THEN 1000 ELSE 0 END AS value, event_id
+  FROM stored WHERE event_id % 97 <> 0
+), sides AS (
+  SELECT sensor_id, timestamp, value, 1 AS l, 0 AS r FROM stored
+  UNION ALL SELECT sensor_id, timestamp, value, 0, 1 FROM sent
+  UNION ALL SELECT sensor_id, timestamp, value, 0, 1 FROM sent WHERE event_id % 83 = 0
+)
+SELECT sensor_id, timestamp, value, cast(sum(l) AS bigint) AS n_left, cast(sum(r) AS bigint) AS n_right
+FROM sides GROUP BY 1, 2, 3 HAVING sum(l) <> sum(r)""",
         "archive_documents": f"""
 SELECT replace({_TOPIC}, '-topic', '') AS collection,
   '{{"id":' || user_id || ',"latitude":"north","timestamp":"' || {_STAMP} || '","value":' || value

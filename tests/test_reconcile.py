@@ -1,0 +1,48 @@
+"""Reconciliation of two tables."""
+
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from sensorstream.plans.reconcile import group_digests, reconcile
+
+SCHEMA = "day string, sensor long, value double"
+
+
+def table(spark, rows, parts=3):
+    return spark.createDataFrame(rows, SCHEMA).repartition(parts)
+
+
+def found(spark, a, b):
+    got = reconcile(table(spark, a), table(spark, b, 5), groups=["day", "sensor"]).collect()
+    return sorted((tuple(map(str, r[:3])), r.n_left, r.n_right) for r in got)
+
+
+def wanted(a, b):
+    x, y = Counter(tuple(map(str, r)) for r in a), Counter(tuple(map(str, r)) for r in b)
+    return sorted((k, x[k], y[k]) for k in x | y if x[k] != y[k])
+
+
+def test_exactly_what_differs_is_named(spark):
+    rng = random.Random(1)
+    days = [None, "a", "b", "c"]
+    a = [(rng.choice(days), rng.choice([None, 1, 2]), rng.choice([None, 0.5, 1.5, float("nan")])) for _ in range(300)]
+    b = list(a)
+    assert found(spark, a, b) == []
+    b[3] = ("a", 1, 99.0)
+    b += [b[10], ("new", 7, 1.0), (None, None, None)]
+    del b[20]
+    assert found(spark, a, b) == wanted(a, b) != []
+    assert found(spark, [], b[:5]) == wanted([], b[:5])
+    assert found(spark, [], []) == []
+
+
+def test_only_groups_that_differ_are_compared(spark):
+    a = [("a", k % 5, float(k)) for k in range(50)]
+    b = [*a[:-1], ("a", 4, -1.0)]
+    got = reconcile(table(spark, a), table(spark, b), groups=["day", "sensor"])
+    assert {r.sensor for r in got.collect()} == {4} and got.count() == 2
+    sums = group_digests(table(spark, a), ["sensor"], ["day", "sensor", "value"])
+    again = group_digests(table(spark, a[::-1], 7), ["sensor"], ["day", "sensor", "value"])
+    assert sums.exceptAll(again).isEmpty() and sums.where(F.col("n") == 10).count() == 5
