@@ -65,6 +65,7 @@ from sensorstream.sources.files import (  # noqa: E402
     write_locations,
     write_readings,
 )
+from sensorstream.streaming.groups import Group  # noqa: E402
 from sensorstream.streaming.lateness import late_windows, with_ledger  # noqa: E402
 from sensorstream.streaming.runner import start_batches, start_files  # noqa: E402
 from sensorstream.streaming.sinks import (  # noqa: E402
@@ -593,6 +594,33 @@ def q_archive_roundtrip(spark, sf_dir):
     )
 
 
+def q_archive_group(spark, sf_dir):
+    """Three checkpoints of one group, each new to the log: every message once, and the offsets read."""
+    log, store, offsets = (new_folder(spark, n) for n in ("log", "store", "offsets"))
+    group = Group(offsets, "archive")
+    readings = _readings(spark, sf_dir)
+    for k in range(3):
+        if k < 2:  # the third finds nothing new
+            publish_to_files(readings.where(F.pmod("event_id", F.lit(2)) == k), log, order="event_id", partitions=8)
+        messages = read_file_log(spark, log, streaming=True, max_files_per_trigger=8, splits=True)
+        checkpoint = new_folder(spark, "checkpoint")
+        start_archive(messages, store, checkpoint=checkpoint, group=group, files_per_batch=1).awaitTermination()
+    kept = [find(spark, store, c) for c in ("humidity", "temperature", QUARANTINE)]
+    stored = kept[0].unionByName(kept[1]).unionByName(kept[2])
+    behind = stored.groupBy("topic", "partition").agg(
+        (F.max("offset") + 1).alias("behind"), F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("offsets")
+    )
+    return (
+        behind.join(group.next_offsets(spark), ["topic", "partition"], "full")
+        .groupBy("topic")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("offsets").alias("offsets"),
+            F.count_if(~F.col("behind").eqNullSafe(F.col("next_offset"))).alias("wrong_commits"),
+        )
+    )
+
+
 def q_archive_compacted(spark, sf_dir):
     """A collection written in many batches, compacted twice, with batches behind the last compaction."""
     log, store, checkpoint = (new_folder(spark, n) for n in ("log", "store", "checkpoint"))
@@ -1012,6 +1040,10 @@ SELECT replace({_TOPIC}, '-topic', '') AS collection, {_TOPIC} AS topic, count(*
   cast(sum(cast(round(value * 100) AS bigint)) AS bigint) AS cents,
   min({_STAMP}) AS first_ts, max({_STAMP}) AS last_ts
 FROM events GROUP BY 1, 2""",
+        "archive_group": f"""
+SELECT {_TOPIC} AS topic, cast(count(*) AS bigint) AS n, cast(count(*) AS bigint) AS offsets,
+  cast(0 AS bigint) AS wrong_commits
+FROM events GROUP BY 1""",
         "archive_compacted": f"""
 SELECT cast(user_id AS integer) AS sensor_id, {_STAMP} AS timestamp, value FROM events WHERE {_TEMPERATURE}""",
         "collection_find": f"""

@@ -41,6 +41,7 @@ from sensorstream.sources.collections import QUARANTINE, create_collections
 from sensorstream.sources.compaction import FILE_BYTES, compact, vacuum
 from sensorstream.sources.files import read_file_log, read_messages, read_readings
 from sensorstream.sources.kafka import publish_to_kafka, read_topics
+from sensorstream.streaming.groups import Group
 from sensorstream.streaming.runner import print_rows, start_console
 
 
@@ -93,6 +94,10 @@ def parser() -> argparse.ArgumentParser:
     consumes(store, [TEMPERATURE_TOPIC, HUMIDITY_TOPIC])
     store.add_argument("--store", required=True)
     store.add_argument("--files-per-batch", type=int)
+    store.add_argument("--offsets", help="folder of committed offsets of --group-id; a new checkpoint goes on there")
+    store.add_argument(
+        "--topic-partitions", type=int, default=1, help="partitions of each Kafka topic, to start at committed offsets"
+    )
     store.add_argument("--tables", action="store_true", help="declare and fill catalog tables as well")
 
     pack = job("compact", "stored collections into files of a given size")
@@ -133,16 +138,25 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _messages(spark: SparkSession, args: argparse.Namespace, group: Group | None = None) -> DataFrame:
     if args.log:
         return read_file_log(
-            spark, args.log, args.topics, streaming=True, max_files_per_trigger=args.max_per_trigger
+            spark,
+            args.log,
+            args.topics,
+            streaming=True,
+            max_files_per_trigger=args.max_per_trigger,
+            splits=group is not None,
         )
+    starting_offsets = args.starting_offsets
+    if group is not None:
+        partitions = dict.fromkeys(args.topics, args.topic_partitions)
+        starting_offsets = group.starting_offsets(spark, partitions)
     return read_topics(
         spark,
         args.servers,
         args.topics,
-        starting_offsets=args.starting_offsets,
+        starting_offsets=starting_offsets,
         group_id=args.group_id,
         max_offsets_per_trigger=args.max_per_trigger,
     )
@@ -196,13 +210,15 @@ def _overheat(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
 def _archive(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if args.tables:
         create_collections(spark, args.store)
+    group = Group(args.offsets, args.group_id) if args.offsets else None
     return start_archive(
-        _messages(spark, args),
+        _messages(spark, args, group),
         args.store,
         checkpoint=args.checkpoint or f"{args.store}.checkpoint",
         every=args.every,
         files_per_batch=args.files_per_batch,
         database=DATABASE if args.tables else None,
+        group=group,
     )
 
 
@@ -271,6 +287,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         raise SystemExit("windows by the timer need --every, in append mode")
     if args.job == "overheat" and args.finish and (args.every or args.mode != "append"):
         raise SystemExit("--finish is for a bounded run in append mode")
+    if args.job == "archive" and args.offsets and not args.group_id:
+        raise SystemExit("--offsets needs --group-id")
     spark = session_builder(
         f"sensorstream-{args.job}", shuffle_bytes=args.shuffle_bytes, cores=args.cores
     ).getOrCreate()

@@ -15,6 +15,7 @@ from sensorstream.sources.collections import (
     create_folders,
     register_batch,
 )
+from sensorstream.streaming.groups import Group
 from sensorstream.streaming.runner import start_batches
 from sensorstream.streaming.sinks import batch_store
 
@@ -41,22 +42,31 @@ def start_archive(
     every: str | None = None,
     files_per_batch: int | None = None,
     database: str | None = None,
+    group: Group | None = None,
 ) -> StreamingQuery:
     """Run the archive on a stream: one pass and one write for all collections.
 
     ``files_per_batch`` bounds the files of a batch in each folder; ``database`` names the declared
-    tables (``create_collections``) in which each batch is to be seen as soon as it is written.
+    tables (``create_collections``) in which each batch is to be seen as soon as it is written. With a ``group`` a
+    new checkpoint goes on where the group stopped: nothing is stored twice, and nothing is left out.
     """
     create_folders(messages.sparkSession, store)
     store_batch = batch_store(store, FOLDERS, files_per_batch)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write_documents(batch: DataFrame, batch_id: int) -> None:
         store_batch(batch, batch_id)
         if database is not None:
             register_batch(batch.sparkSession, store, batch_id, database)
 
+    stream = documents(messages)
+    if group is not None:
+        run = group.join(messages.sparkSession, checkpoint, store, FOLDERS)
+        stream = run.unread(messages)
+        write = run.committing(lambda batch, batch_id: write_documents(documents(batch), batch_id))
+    else:
+        write = write_documents
     return start_batches(
-        documents(messages),
+        stream,
         write,
         name=name,
         checkpoint=checkpoint,

@@ -155,12 +155,14 @@ def read_file_log(
     streaming: bool = False,
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
+    splits: bool = False,
 ) -> DataFrame:
-    """Messages of a file log; other topics' folders are not read."""
+    """Messages of a file log; other topics' folders are not read. ``splits`` adds the name of each one's file."""
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if streaming and max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    log = reader.schema(ENVELOPE).parquet(path).select(*ENVELOPE.names)
+    split = [F.col("_metadata.file_name").alias("split")] if splits else []
+    log = reader.schema(ENVELOPE).parquet(path).select(*ENVELOPE.names, *split)
     return log if topics is None else log.where(F.col("topic").isin(list(topics)))

@@ -61,7 +61,7 @@ def change_log(
             if first is None:
                 return
             changed = batch.where(alive).withColumn(CHANGE.name, F.lit(RAISED))
-            if _exists(spark, path):
+            if path_exists(spark, path):
                 before = read_batches(spark, path, logged).where(
                     F.col("day").between(F.lit(first), F.lit(last)) & (F.col("batch_id") < batch_id)
                 )
@@ -79,7 +79,7 @@ def change_log(
 def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What :func:`change_log` wrote: the rows, ``change`` and ``batch_id``."""
     logged = T.StructType([*schema.fields, CHANGE])
-    if not _exists(spark, path):  # no batch had a row
+    if not path_exists(spark, path):  # no batch had a row
         return spark.createDataFrame([], T.StructType([*logged.fields, T.StructField("batch_id", T.LongType())]))
     return read_batches(spark, path, logged)
 
@@ -89,7 +89,7 @@ def current_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest_revisions(changes, keys).where(F.col(CHANGE.name) == RAISED).drop(CHANGE.name, "day")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 

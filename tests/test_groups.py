@@ -1,0 +1,135 @@
+"""Offsets committed by groups."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorstream.__main__ import main
+from sensorstream.plans import archive
+from sensorstream.sources.collections import create_folders, find
+from sensorstream.sources.files import read_file_log, write_file_log
+from sensorstream.streaming.groups import Group
+from test_streaming import text
+
+
+@pytest.fixture
+def log(spark, folder):
+    """A log's folder and a function that adds messages to it, in three files a topic."""
+    path, sent = folder("log"), []
+
+    def send(n):
+        rows = []
+        for _ in range(n):
+            k = len(sent)
+            topic = ("temperature-topic", "humidity-topic", "odd")[k % 3]
+            sent.append((topic, k % 2, k))
+            rows.append(("1", text(k % 4, k, 50), topic, k % 2, k))
+        frame = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long")
+        write_file_log(frame.repartition(3, "offset").withColumn("timestamp", F.current_timestamp()), path)
+
+    return path, send, sent
+
+
+def run(spark, path, store, checkpoint, group, files=2):
+    messages = read_file_log(spark, path, streaming=True, max_files_per_trigger=files, splits=True)
+    archive.start_archive(messages, store, checkpoint=checkpoint, group=group).awaitTermination()
+
+
+def stored(spark, store):
+    kept = [find(spark, store, c) for c in ("temperature", "humidity", "quarantine")]
+    return sorted((r.topic, r.partition, r.offset) for c in kept for r in c.collect())
+
+
+def test_new_checkpoints_go_on(spark, folder, log):
+    path, send, sent = log
+    store, group = folder("store"), Group(folder("offsets"), "a")
+    first = folder("checkpoint")
+    for k, checkpoint in enumerate([first, first, folder("checkpoint"), folder("checkpoint")]):
+        if k < 3:
+            send(20)
+        run(spark, path, store, checkpoint, group)
+        assert stored(spark, store) == sorted(sent)
+    greatest = {}
+    for topic, partition, offset in sent:
+        greatest[topic, partition] = max(offset + 1, greatest.get((topic, partition), 0))
+    assert {(r.topic, r.partition): r.next_offset for r in group.next_offsets(spark).collect()} == greatest
+    with pytest.raises(ValueError, match="another checkpoint"):
+        send(3)
+        run(spark, path, store, folder("checkpoint"), group)
+        run(spark, path, store, first, group)
+
+
+def test_groups_know_nothing_of_each_other(spark, folder, log):
+    path, send, sent = log
+    send(9)
+    stores, offsets = [folder("store"), folder("store")], folder("offsets")
+    for store, name in zip(stores, ("a", "b")):
+        run(spark, path, store, folder("checkpoint"), Group(offsets, name))
+    assert stored(spark, stores[0]) == stored(spark, stores[1]) == sorted(sent)
+    # A table that others have written takes no part.
+    with pytest.raises(ValueError, match="has not written"):
+        run(spark, path, stores[0], folder("checkpoint"), Group(offsets, "c"))
+    with pytest.raises(ValueError):
+        Group(offsets, "a/b")
+
+
+@pytest.mark.parametrize("lost_batch", [0, 1])
+def test_a_batch_that_was_written_but_not_committed_is_read_again(spark, folder, log, monkeypatch, lost_batch):
+    path, send, sent = log
+    send(30)
+    store, group = folder("store"), Group(folder("offsets"), "a")
+    plain = archive.batch_store
+
+    def failing(*args, **kwargs):
+        write = plain(*args, **kwargs)
+
+        def write_and_die(batch, batch_id):
+            write(batch, batch_id)
+            if batch_id == lost_batch:
+                raise RuntimeError("driver lost")
+
+        return write_and_die
+
+    monkeypatch.setattr(archive, "batch_store", failing)
+    with pytest.raises(Exception, match="driver lost"):
+        run(spark, path, store, folder("checkpoint"), group, files=1)
+    monkeypatch.undo()
+    assert len(stored(spark, store)) > 0
+    # Other files to a batch than before: the rest of the lost batch's folders must be gone.
+    run(spark, path, store, folder("checkpoint"), group, files=5)
+    assert stored(spark, store) == sorted(sent)
+
+
+def test_checkpoint_of_no_group(spark, folder, log):
+    path, send, _ = log
+    send(3)
+    store, checkpoint = folder("store"), folder("checkpoint")
+    run(spark, path, store, checkpoint, None)
+    with pytest.raises(ValueError, match="outside of group"):
+        run(spark, path, folder("store"), checkpoint, Group(folder("offsets"), "a"))
+
+
+def test_starting_offsets_of_a_connector(spark, folder, log):
+    path, send, _ = log
+    group = Group(folder("offsets"), "a")
+    assert json.loads(group.starting_offsets(spark, {"t": 2})) == {"t": {"0": -2, "1": -2}}
+    send(7)  # temperature: offsets 0, 3, 6 in partitions 0, 1, 0
+    run(spark, path, folder("store"), folder("checkpoint"), group)
+    wanted = {"temperature-topic": {"0": 7, "1": 4, "2": -2}}
+    assert json.loads(group.starting_offsets(spark, {"temperature-topic": 3})) == wanted
+    with pytest.raises(ValueError, match="do not have"):
+        group.starting_offsets(spark, {"temperature-topic": 1})
+
+
+def test_an_empty_log(spark, folder):
+    path, store, group = folder("log"), folder("store"), Group(folder("offsets"), "a")
+    empty = spark.createDataFrame([], "key string, value string, topic string, partition int, offset long, timestamp timestamp")
+    empty.write.parquet(path)
+    run(spark, path, store, folder("checkpoint"), group)
+    assert stored(spark, store) == [] and group.next_offsets(spark).isEmpty()
+
+
+def test_offsets_need_a_name():
+    with pytest.raises(SystemExit, match="group-id"):
+        main(["archive", "--log", "l", "--store", "s", "--offsets", "o"])
