@@ -26,6 +26,7 @@ from sensorstream.functions.eventtime import (  # noqa: E402
     with_event_time,
 )
 from sensorstream.functions.keys import log_place, position_key  # noqa: E402
+from sensorstream.operators.drift import drift, field_types, shapes  # noqa: E402
 from sensorstream.operators.ordered import longest_run, ordered_windows  # noqa: E402
 from sensorstream.operators.quality import good_readings, missing_fields  # noqa: E402
 from sensorstream.operators.routing import collection_of, topic_of  # noqa: E402
@@ -294,6 +295,14 @@ def q_quarantine_split(spark, sf_dir):
     )
 
 
+def q_schema_drift(spark, sf_dir):
+    """Fields and types of two kinds of odd messages, and where they leave the reading's schema."""
+    sent = _sent_texts(spark, sf_dir).select(F.lit("sent").alias("kind"), "value")
+    broken = _broken_messages(spark, sf_dir).select(F.lit("broken").alias("kind"), "value")
+    kind = ["kind"]
+    return drift(field_types(shapes(sent.unionByName(broken), kind), kind), kind)
+
+
 def q_topic_route(spark, sf_dir):
     topic = topic_of(_sensor_type())
     routed = _events(spark, sf_dir).select("event_type", "user_id", topic.alias("topic"))
@@ -1040,6 +1049,21 @@ SELECT replace({_TOPIC}, '-topic', '') AS collection, {_TOPIC} AS topic, count(*
   cast(sum(cast(round(value * 100) AS bigint)) AS bigint) AS cents,
   min({_STAMP}) AS first_ts, max({_STAMP}) AS last_ts
 FROM events GROUP BY 1, 2""",
+        "schema_drift": """
+WITH found AS (
+  SELECT 'sent' AS kind, unnest([' object', 'id whole', 'timestamp text', 'value fraction', 'note text', 'location_id absent',
+    'latitude absent', 'longitude absent', 'elevation absent']) AS f FROM events
+  UNION ALL SELECT 'sent', CASE event_type WHEN 'error' THEN 'sensor_type absent' ELSE 'sensor_type text' END FROM events
+  UNION ALL SELECT 'sent', unnest(['meta object', 'meta.of object', 'meta.of.event_id whole']) FROM events WHERE event_id % 5 = 0
+  UNION ALL SELECT 'broken', unnest([' object', 'id whole', 'timestamp text', 'location_id absent', 'latitude absent',
+    'longitude absent', 'elevation absent', 'sensor_type absent']) FROM events WHERE event_type <> 'purchase'
+  UNION ALL SELECT 'broken', CASE event_type WHEN 'purchase' THEN ' unreadable' WHEN 'error' THEN 'value absent'
+    WHEN 'signup' THEN 'value text' ELSE 'value fraction' END FROM events
+)
+SELECT kind, split_part(f, ' ', 1) AS path, split_part(f, ' ', 2) AS type, cast(count(*) AS bigint) AS n,
+  CASE WHEN f = ' unreadable' THEN 'no object' WHEN f LIKE 'note %' OR f LIKE 'meta%' THEN 'unknown field'
+    WHEN f LIKE '% absent' THEN 'missing' WHEN f = 'value text' THEN 'wrong type' END AS fault
+FROM found GROUP BY kind, f""",
         "archive_group": f"""
 SELECT {_TOPIC} AS topic, cast(count(*) AS bigint) AS n, cast(count(*) AS bigint) AS offsets,
   cast(0 AS bigint) AS wrong_commits

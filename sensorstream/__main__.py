@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorstream.functions.eventtime import event_time_from_millis, with_event_time
 from sensorstream.functions.keys import log_place
+from sensorstream.operators.drift import drift, field_types, shapes
 from sensorstream.operators.windows import window_counts
 from sensorstream.plans.archive import start_archive
 from sensorstream.plans.overheat import CLOCK, EVENT, LOG, TIMER, finish_overheat, overheat, start_overheat
@@ -37,7 +38,7 @@ from sensorstream.schemas import (
     WINDOW_SLIDE,
 )
 from sensorstream.session import session_builder
-from sensorstream.sources.collections import QUARANTINE, create_collections
+from sensorstream.sources.collections import QUARANTINE, create_collections, find
 from sensorstream.sources.compaction import FILE_BYTES, compact, vacuum
 from sensorstream.sources.files import read_file_log, read_messages, read_readings
 from sensorstream.sources.kafka import publish_to_kafka, read_topics
@@ -100,6 +101,11 @@ def parser() -> argparse.ArgumentParser:
     )
     store.add_argument("--tables", action="store_true", help="declare and fill catalog tables as well")
 
+    fields = job("drift", "fields and types of stored messages, and where they leave the reading's schema")
+    fields.add_argument("--store", required=True)
+    fields.add_argument("--collections", nargs="+", default=[*COLLECTIONS, QUARANTINE])
+    fields.add_argument("--output", help="folder of the result table; prints every row without it")
+
     pack = job("compact", "stored collections into files of a given size")
     pack.add_argument("--store", required=True)
     pack.add_argument("--collections", nargs="+", default=[*COLLECTIONS, QUARANTINE])
@@ -229,6 +235,16 @@ def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
             vacuum(spark, args.store, collection)
 
 
+def _drift(spark: SparkSession, args: argparse.Namespace) -> None:
+    stored = [find(spark, args.store, name).select("topic", "raw") for name in args.collections]
+    every = reduce(DataFrame.unionByName, stored)
+    found = drift(field_types(shapes(every, ["topic"], text="raw"), ["topic"]), ["topic"])
+    if args.output:
+        found.write.mode("overwrite").parquet(args.output)
+    else:
+        print_rows(found.orderBy("topic", "path", "type"))
+
+
 def _quarantine(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     return start_quarantine(
         _messages(spark, args),
@@ -270,6 +286,7 @@ JOBS = {
     "overheat": _overheat,
     "archive": _archive,
     "compact": _compact,
+    "drift": _drift,
     "publish": _publish,
     "quarantine": _quarantine,
     "recompute": _recompute,
