@@ -105,6 +105,87 @@ def test_rules_are_filed_under_their_rarest_token(spark):
     assert {r[0]: r[1] for r in got.select("page_id", names["candidates"]).collect()} == {1: 2, 2: 3, 3: 2}
 
 
+def listed_rules(n, draw):
+    """Lines of a rule list: hosts, paths and words of their own, some that share all tokens, some without any."""
+    lines = ["! title", "", "[list 1]"]
+    for k in range(n):
+        shape = draw.randrange(6)
+        lines.append(
+            [
+                f"||ads{k}.example^",
+                f"/Banner{k}/*/click",
+                f"@@||cdn{k % 50}.example/ok{k}|",
+                f"|static{k}.example/x",
+                f"&track{k}=$match-case",
+                f"*part{k}*" if k % 100 == 0 else f".js?v{k}^",
+            ][shape]
+        )
+    return lines
+
+
+def listed_urls(n, rules, draw):
+    made = []
+    for k in range(n):
+        j = draw.randrange(rules)
+        made.append(
+            draw.choice(
+                [
+                    f"http://a.ADS{j}.example/{k}",
+                    f"http://h.com/banner{j}/{k}/CLICK?q",
+                    f"http://h.com/banner{j}x/{k}/click",
+                    f"http://cdn{j % 50}.example/ok{j}",
+                    f"http://cdn{j % 50}.example/ok{j}/more",
+                    f"http://static{j}.example/xy?a=1&track{j}=2",
+                    f"http://x.static{j}.example/xy?a=1&TRACK{j}=2",
+                    f"http://h.com/apart{j - j % 100}y.js?v{j}",
+                    f"http://h.com/l.js?v{j}z",
+                ]
+            )
+        )
+    return made
+
+
+def test_a_list_of_rules_against_brute_force(spark):
+    draw = random.Random(9)
+    rules = urls.parse_rules(listed_rules(600, draw))
+    some = listed_urls(1500, 600, draw) + ["", None, "no scheme", "http://"]
+    pages = spark.createDataFrame(list(enumerate(some)), "page_id long, url string")
+
+    compiled = [(r.verdict == BLOCK, k, r, re.compile(r.regex.replace(r"\z", r"\Z"))) for k, r in enumerate(rules)]
+
+    def plain(url):
+        host, path = plain_verdict(url)[:2]
+        after = url.split("://", 1)[1] if url and "://" in url else ""
+        target = host + after[len(host) :]
+        best = min((c[:3] for c in compiled if c[3].search(target)), key=lambda c: c[:2], default=[None])[-1]
+        return host, path, None, best and best.pattern, best.verdict if best else ALLOW
+
+    wanted = [(k, *plain(u)) for k, u in enumerate(some)]
+    assert sorted(judged(pages, rules), key=str) == sorted(wanted, key=str)
+    assert {w[5] for w in wanted} == {ALLOW, BLOCK} and sum(w[4] is not None for w in wanted) > 100
+
+
+def test_only_few_rules_are_tried_however_many_there_are(spark):
+    draw = random.Random(2)
+    rules = urls.parse_rules(listed_rules(urls.MOST_RULES, draw))
+    assert len(rules) == urls.MOST_RULES
+    pages = spark.createDataFrame(list(enumerate(listed_urls(2000, len(rules), draw))), "page_id long, url string")
+    found = UrlFilter(pages, rules)
+    got, names = found.judge(pages)
+    tried = got.agg(F.max(names["candidates"]), F.count_if(F.col(names["pattern"]).isNotNull())).first()
+    assert tried[0] <= len(found.index[""]) + 5 and tried[1] > 100
+    with pytest.raises(ValueError, match="more than"):
+        UrlFilter(pages, [*rules, Rule(BLOCK, "x")])
+
+
+def test_lists_of_rules():
+    r = urls.parse_rules(["!c", "[Title]", " ||a.b^ ", "@@|x|$match-case"])
+    assert r == [Rule(BLOCK, "||a.b^", ignore_case=True), Rule(ALLOW, "|x|")]
+    for line in ("a##.ad", "||a^$third-party", "@@", "*"):
+        with pytest.raises(ValueError, match="line 1"):
+            urls.parse_rules([line])
+
+
 def test_no_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     assert judged(pages, []) == [(1, "a.com", "/", None, None, ALLOW)]
