@@ -1,17 +1,20 @@
 """Token ids of whole texts, in batches, with the tokenizers library.
 
-The vocabulary files in use split a text at white space before anything else,
+The vocabulary of the contract splits a text at white space before anything else,
 so the ids of a text are those of its words one after the other. Each distinct
 word of a batch goes through the library once; the ids of all words are then
 gathered with numpy. A worker keeps a bounded number of words.
 
-The vocabulary of the contract also lower-cases, and ends a word between a letter
+It also lower-cases, and ends a word between a letter
 and a punctuation mark; doing both before the split (in ASCII and Latin-1, where
 nothing can combine across the cut) leaves fewer distinct words.
+
+Which way a vocabulary splits is read from its file; whole texts of all others go through the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -30,6 +33,19 @@ WORD_END = "</w>"
 #: A letter before a mark that is no apostrophe: two words to the vocabulary.
 LETTER_THEN_MARK = "([a-zß-öø-ÿ])([!-&(-/:-@\\[-`{-~])"
 
+#: How a file says that it lower-cases and drops white space between words.
+WORD_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+WORD_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+
 _workers: dict[tuple[str, int], "BatchTokenizer"] = {}
 
 
@@ -59,6 +75,18 @@ def _plain(texts: pa.Array) -> pa.Array:
     return pc.if_else(pc.match_substring(texts, "<|"), texts, plain)
 
 
+def splits_words(description: dict) -> bool:
+    """True if a tokenizer gives a text the ids of its lower-cased words at white space, one after the other."""
+    normalizer, splitter = description.get("normalizer") or {}, description.get("pre_tokenizer") or {}
+    added = [token["content"] for token in description.get("added_tokens", [])]
+    return (
+        normalizer.get("normalizers") == WORD_NORMALIZERS
+        and (splitter.get("pretokenizers") or [None])[0] == WORD_SPLIT
+        and description["model"].get("end_of_word_suffix") == WORD_END
+        and all(text.startswith("<|") and not re.search(r"\s", text) for text in added)
+    )
+
+
 class BatchTokenizer:
     """Ids of texts, each text closed by ``end_id``. Null counts as empty."""
 
@@ -71,6 +99,7 @@ class BatchTokenizer:
         self.kept_words = kept_words
         vocabulary = self.library.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.by_words = splits_words(json.loads(self.library.to_str()))
         self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self._forget()
 
@@ -129,11 +158,17 @@ class BatchTokenizer:
         """All ids on end, and the bounds of each text's ids (one more than texts)."""
         ids, bounds = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
         for begin, end in slices(texts):
-            some, ends = self._encode_slice(texts.slice(begin, end - begin))
+            encode = self._encode_slice if self.by_words else self._encode_whole
+            some, ends = encode(texts.slice(begin, end - begin))
             bounds.append(ends + bounds[-1][-1])
             ids.append(some)
         return np.concatenate(ids), np.concatenate(bounds)
 
+    def _encode_whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = self._ids_of_each(pc.fill_null(texts, "").to_pylist())
+        ends = np.cumsum(counts)
+        return np.insert(ids, ends, self.end_id).astype(np.uint32), ends + np.arange(1, len(texts) + 1)
+
     def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.ascii_split_whitespace(_plain(pc.fill_null(texts, "")))
         words = lists.flatten().dictionary_encode()

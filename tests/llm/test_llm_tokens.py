@@ -1,5 +1,6 @@
 """Pieces, token files and packing: exact round trips."""
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -25,7 +26,7 @@ from sensorstream.llm.entries import (
 from sensorstream.llm.packing import hilbert_key, pack_along_curve, piece_lengths
 from sensorstream.llm.pieces import Encoder, PieceModel, StreamingViterbi, decode_documents, encode_documents
 from sensorstream.llm.tokenfile import TokenFile, documents_of, file_bytes, pack, unpack, write_token_files
-from sensorstream.llm.tokenizing import BatchTokenizer, public_path
+from sensorstream.llm.tokenizing import BatchTokenizer, public_path, splits_words
 from sensorstream.session import new_folder
 
 SF = "/root/testdata/sf0.01"
@@ -67,6 +68,30 @@ def test_batches_encode_as_the_library_does(texts):
     assert got == [wanted_ids(encoder.library, t) for t in texts]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(max_size=40) | st.sampled_from([*ODD, None, "Mixed Case  and spaces\n", ""]), max_size=5))
+def test_vocabularies_that_keep_case_and_space_get_whole_texts(texts):
+    encoder = BatchTokenizer.of_worker(public_path("byte_bpe_50k.json"), END_ID)
+    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+    assert not encoder.by_words and ids.dtype == np.uint32
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [wanted_ids(encoder.library, t) for t in texts]
+
+
+@pytest.mark.parametrize("change", ["normalizer", "pre_tokenizer", "end_of_word_suffix", "added_tokens"])
+def test_how_a_vocabulary_splits_is_read_from_its_file(change):
+    description = json.loads(Tokenizer.from_file(public_path(WORD_BPE)).to_str())
+    assert splits_words(description)
+    if change == "normalizer":
+        description["normalizer"]["normalizers"].pop()  # no lower case
+    elif change == "pre_tokenizer":
+        description["pre_tokenizer"] = {"type": "Whitespace"}
+    elif change == "end_of_word_suffix":
+        description["model"][change] = None
+    else:
+        description[change].append({"content": "two words"})
+    assert not splits_words(description)
+
+
 def test_a_full_memory_of_words_starts_afresh(library):
     small = BatchTokenizer(public_path(WORD_BPE), END_ID, kept_words=5)
     for texts in (["a b c", None], ["d e f g h i j k"], ["a z"]):
