@@ -22,6 +22,8 @@ from sensorstream.llm.tokenfile import bits_for, pack, unpack
 from sensorstream.llm.tokenizing import BatchTokenizer
 
 LENGTH = 2048
+#: Packed ids that one task sorts, about.
+RANGE_BYTES = 64 * 1024 * 1024
 #: Buckets that token ids are hashed to, and dimensions they are projected to.
 BUCKETS, DIMENSIONS = 1024, 3
 #: Bits of each coordinate; the key has DIMENSIONS times as many.
@@ -104,7 +106,8 @@ def pack_along_curve(
     equal texts share a key and are dealt by id and row. An empty table gives an empty one.
 
     Texts are encoded once; the packed ids are written to the shared folder, dealt by ranges
-    of key, and sorted there. Each task reads its range as a stream.
+    of key, and sorted there. There are as many ranges as the ids need at ``RANGE_BYTES`` each, and no fewer than
+    the session's shuffle has. Each task reads its range as a stream.
     """
     spark = docs.sparkSession
     for_texts(spark)
@@ -129,9 +132,12 @@ def pack_along_curve(
     encoded = texts.mapInArrow(encode, "doc_id long, key long, n long, packed binary")
     placed = Scratch(spark, "packing").write(encoded.withColumn("at", F.monotonically_increasing_id()))
     order = ["key", "doc_id", "at"]
+    ids = placed.agg(F.sum("n")).first()[0] or 0
+    ranges = -(-ids * bits // (8 * RANGE_BYTES))
+    enough = ranges <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.repartitionByRange(*order) if enough else placed.repartitionByRange(ranges, *order)
     return (
-        placed.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        dealt.sortWithinPartitions(*order)
         .mapInArrow(
             lambda batches: _sequences(batches, bits, length),
             "doc_id long, start long, length long, doc_tokens long, sequence_id long, "

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sensorstream.llm import tokenfile
+from sensorstream.llm import packing, tokenfile
 from sensorstream.llm.entries import (
     END_ID,
     PIECE_BPE,
@@ -280,6 +280,15 @@ def test_packing_odd_documents(spark, documents, odd_rows, library, length):
     check_packed(packed_rows(packed), odd_rows, library, length)
 
 
+def test_ranges_grow_with_the_ids(spark, documents, library, monkeypatch):
+    rows = [(k, f"word{k} " * (k % 90)) for k in range(200)]
+    monkeypatch.setattr(packing, "RANGE_BYTES", 2_000)
+    packed = pack_along_curve(documents(rows), public_path(WORD_BPE), vocabulary=WORD_BPE_IDS, length=64)
+    ids = sum(len(wanted_ids(library, text)) for _, text in rows)
+    assert packed.rdd.getNumPartitions() == -(-ids * 2 // 2_000) > 4
+    check_packed(packed_rows(packed), rows, library, 64)
+
+
 def test_no_documents_to_pack(spark, documents):
     assert packed_rows(pack_along_curve(documents([]), public_path(WORD_BPE), vocabulary=WORD_BPE_IDS)) == []
 
