@@ -66,6 +66,7 @@ from sensorstream.sources.files import (  # noqa: E402
     write_locations,
     write_readings,
 )
+from sensorstream.sources.rolling import read_rolled, write_rolled  # noqa: E402
 from sensorstream.streaming.groups import Group  # noqa: E402
 from sensorstream.streaming.lateness import late_windows, with_ledger  # noqa: E402
 from sensorstream.streaming.runner import start_batches, start_files  # noqa: E402
@@ -773,6 +774,14 @@ def q_publish_verbatim(spark, sf_dir):
     return read_file_log(spark, log).select("key", "value", "topic")
 
 
+def q_rolled_files(spark, sf_dir):
+    """Messages in order of arrival as files of 10,000 bytes, read back."""
+    messages = messages_of(_readings(spark, sf_dir))
+    path = new_folder(spark, "rolled")
+    write_rolled(messages, path, F.col("value"), ["event_id"], file_bytes=10_000)
+    return read_rolled(spark, path)
+
+
 def q_location_files(spark, sf_dir):
     """Suppliers as locations: an address over two lines and a list of features."""
     use_utc(spark)
@@ -1095,6 +1104,9 @@ SELECT cast(user_id AS varchar) AS key, coalesce({_SENT_TYPE}, 'untyped') || '-t
     || CASE WHEN event_id % 5 = 0 THEN ',"meta":{{"of":{{"event_id":' || event_id || '}}}}' ELSE '' END
     || '}}' AS value
 FROM events""",
+        "rolled_files": f"""
+SELECT value, cast(floor((sum(strlen(value) + 1) OVER (ORDER BY event_id) - strlen(value) - 1) / 10000) AS bigint) AS file
+FROM (SELECT event_id, {_MESSAGE} AS value FROM events)""",
         "location_files": """
 SELECT cast(s_suppkey AS integer) AS location_id,
   s_name || chr(10) || '"No. 1", ' || s_nationkey AS address,

@@ -42,6 +42,7 @@ from sensorstream.sources.collections import QUARANTINE, create_collections, fin
 from sensorstream.sources.compaction import FILE_BYTES, compact, vacuum
 from sensorstream.sources.files import read_file_log, read_messages, read_readings
 from sensorstream.sources.kafka import publish_to_kafka, read_topics
+from sensorstream.sources.rolling import write_rolled
 from sensorstream.streaming.groups import Group
 from sensorstream.streaming.runner import print_rows, start_console
 
@@ -141,6 +142,7 @@ def parser() -> argparse.ArgumentParser:
     count.add_argument("--size", default="5 milliseconds")
     count.add_argument("--slide", default="2 milliseconds")
     count.add_argument("--output", help="folder for CSV files; prints without it")
+    count.add_argument("--file-bytes", type=int, help="roll the files at this size, in order of key and window")
     return top
 
 
@@ -276,7 +278,11 @@ def _count(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = spark.read.schema(KEYED_MILLIS).csv(args.input)
     timed = with_event_time(rows, event_time_from_millis(F.col("ms")), delay=None)
     counts = window_counts(timed, size=args.size, slide=args.slide)
-    if args.output:
+    if args.output and args.file_bytes:
+        line = F.to_csv(F.struct(*counts.columns))
+        order = ["k", "window_start_ms"]
+        write_rolled(counts, args.output, line, order, file_bytes=args.file_bytes, mode="overwrite")
+    elif args.output:
         counts.write.mode("overwrite").option("header", True).csv(args.output)
     else:
         print_rows(counts.orderBy("k", "window_start_ms"))
@@ -304,6 +310,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         raise SystemExit("windows by the timer need --every, in append mode")
     if args.job == "overheat" and args.finish and (args.every or args.mode != "append"):
         raise SystemExit("--finish is for a bounded run in append mode")
+    if args.job == "count" and args.file_bytes and not args.output:
+        raise SystemExit("--file-bytes needs --output")
     if args.job == "archive" and args.offsets and not args.group_id:
         raise SystemExit("--offsets needs --group-id")
     spark = session_builder(

@@ -111,3 +111,27 @@ def test_a_job_needs_a_source():
         "temperature-topic",
         "humidity-topic",
     ]
+
+
+def test_groups_and_drift(spark, dump, folder, capsys):
+    log, store, offsets = folder("log"), folder("store"), folder("offsets")
+    group = ["--offsets", offsets, "--group-id", "g"]
+    for n in (60, 120):
+        main(["publish", dump, "--log", log])
+        main(["archive", "--log", log, "--store", store, "--checkpoint", folder("checkpoint"), *group])
+        assert sum(find(spark, store, c).count() for c in ("temperature", "humidity")) == n
+    capsys.readouterr()
+    main(["drift", "--store", store])
+    lines = capsys.readouterr().out.splitlines()
+    assert "topic=humidity-topic  path=id  type=whole  n=60  fault=None" in lines
+
+
+def test_count_into_files_of_a_size(spark, tmp_path, folder):
+    path, out = tmp_path / "rows.csv", folder("counts")
+    path.write_text("".join(f"key{k:02},1\n" for k in range(40)))
+    main(["count", str(path), "--output", out, "--file-bytes", "200"])
+    files = sorted(tmp_path.glob("counts-*/file=*/part-*"), key=lambda f: int(f.parent.name[len("file=") :]))
+    lines = "".join(f.read_text() for f in files).splitlines()
+    assert lines == sorted(lines) and len({x.split(",")[0] for x in lines}) == 40 and len(files) > 3
+    with pytest.raises(SystemExit):
+        main(["count", str(path), "--file-bytes", "200"])
