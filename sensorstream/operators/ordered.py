@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorstream.functions.intervals import micros
-from sensorstream.operators.windows import WINDOWS_PER_BLOCK
+from sensorstream.operators.windows import WINDOWS_PER_BLOCK, window_tasks
 from sensorstream.session import require_utc, ship_library
 
 
@@ -85,7 +85,8 @@ def ordered_windows(
     # Between windows, where the slide is longer than the size, there is none.
     rows = rows.where(first <= last)
     blocks = F.sequence(floor_to(first, block_us), floor_to(last, block_us), F.lit(block_us))
-    dealt = rows.withColumn("__block", F.explode(blocks)).repartition(*keys, "__block")
+    dealt = rows.withColumn("__block", F.explode(blocks))
+    dealt = dealt.repartition(window_tasks(rows, size_us, slide_us), *keys, "__block")
     block = F.col("__block")
     starts = F.sequence(
         F.greatest(first, block), F.least(last, block + F.lit(block_us - slide_us)), F.lit(slide_us)

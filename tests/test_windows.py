@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from sensorstream.functions.aggregates import Measure, count_rows, rounded_mean
 from sensorstream.functions.eventtime import event_time_from_millis, with_event_time
 from sensorstream.functions.intervals import micros
+from sensorstream.operators import windows
+from sensorstream.operators.ordered import longest_run, ordered_windows
 from sensorstream.operators.windows import (
     overheat_alerts,
     overheat_stats,
@@ -311,3 +313,18 @@ def test_mean_of_huge_values(spark, readings, plan):
     stats = overheat_stats(readings(rows), size="10 seconds", slide="10 seconds", mean_type="double", plan=plan)
     got = {r.sensor_id: r.mean_temp for r in stats.where("window_start <= '2010-01-02 12:25:00'").collect()}
     assert got == {1: 9e18, 2: 9.9e18, 3: 0.001, 4: 1e19, 5: -0.001, 6: -0.9, 7: 333333333333333.433}
+
+
+@pytest.mark.parametrize("arrival", [None, ("partition", "offset")])
+def test_no_task_holds_more_windows_as_rows_grow(readings, monkeypatch, arrival):
+    """More rows make more tasks, whatever number of partitions the session names."""
+    monkeypatch.setattr(windows, "WINDOWS_PER_TASK", 2_000)
+    for sensors in (300, 1200):
+        rows = readings([(k, 60 * s, 50) for k in range(sensors) for s in range(2)])
+        stats = overheat_stats(rows, arrival=arrival)
+        held = [r["count"] for r in stats.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == 20 * sensors
+        assert max(held) < 4_000
+    runs = ordered_windows(rows, ["sensor_id"], "event_time", "10 seconds", "1 second", longest_run("value", 40.0))
+    held = [r["count"] for r in runs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 20 * 1200 and max(held) < 4_000
