@@ -54,8 +54,13 @@ def publish_to_files(
     """
     keyed = frame.withColumn("sent_order", _order(frame, order))
     after = last_offset(frame.sparkSession, path)
-    placed = with_log_position(_messages(keyed, topic), "sent_order", partitions=partitions, after=after)
-    write_file_log(placed, path)
+    # Placing reads the messages twice, first for the ranges: they are made once.
+    messages = _messages(keyed, topic).persist()
+    try:
+        placed = with_log_position(messages, "sent_order", partitions=partitions, after=after)
+        write_file_log(placed, path)
+    finally:
+        messages.unpersist()
 
 
 def in_sending_order(frame: DataFrame, order: str = "timestamp", *, topic: str | None = None) -> DataFrame:

@@ -297,3 +297,18 @@ def test_readings_without_a_type_can_be_read(spark, folder):
     publish_to_files(rows, log)
     assert read_file_log(spark, log).where("topic is null").count() == 0
     assert read_file_log(spark, log, ["untyped-topic"]).count() == 3
+
+
+def test_messages_are_made_once(spark, folder):
+    """Placing them by ranges reads them twice."""
+    made = spark.sparkContext.accumulator(0)
+
+    def passed(text):
+        made.add(1)
+        return text
+
+    texts = spark.createDataFrame([(f'{{"id":{n},"timestamp":"{n:04}"}}',) for n in range(50)], "value string")
+    path = folder("log")
+    publish_to_files(texts.select(F.udf(passed, "string")("value").alias("value")), path, topic="t")
+    assert read_file_log(spark, path).select("key").distinct().count() == 50
+    assert made.value == 50
