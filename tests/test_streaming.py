@@ -268,6 +268,16 @@ def test_append_equals_batch_up_to_the_watermark(spark, folder, log):
     assert same(stats_of(spark, out, log).drop("batch_id"), closed)
 
 
+def test_each_state_is_looked_up_once(spark, folder, log):
+    """A put or a removal does not look its key up again, as it does where keys are counted."""
+    stats = overheat(read_file_log(spark, log, streaming=True))
+    query = start_batches(stats, batch_store(folder()), name="lookups", checkpoint=folder("c"))
+    query.awaitTermination()
+    kept = [op for progress in query.recentProgress for op in progress["stateOperators"]]
+    assert sum(op["numRowsRemoved"] for op in kept) > 0
+    assert 0 < sum(op["customMetrics"]["rocksdbGetCount"] for op in kept) <= sum(op["numRowsUpdated"] for op in kept)
+
+
 def test_update_equals_batch(spark, folder, log):
     out = folder("out")
     messages = read_file_log(spark, log, streaming=True, max_files_per_trigger=1)
