@@ -40,6 +40,8 @@ LEAST_G = 15.0
 #: some two million pairs, of which one in ten thousand million reaches this by chance. Pairs are looked at
 #: among so many terms, the most frequent ones in ``LEAST_TEXTS`` texts or more.
 LEAST_PAIR_G, PAIR_TERMS, LEAST_TEXTS = 45.0, 2048, 16
+#: Texts, or rows of the table of pairs, in memory at once.
+AT_ONCE = 256
 #: Passes over the sample. In the first half each term of a text is left out with this chance, so that terms
 #: that come in numbers learn to speak in fewer; the second half settles on whole texts.
 EPOCHS, LEFT_OUT = 24, 0.5
@@ -93,33 +95,45 @@ def g_statistic(toxic: np.ndarray, clean: np.ndarray, many_toxic: float, many_cl
     return statistic
 
 
+def _meetings(texts: list[np.ndarray], frequent: np.ndarray) -> np.ndarray:
+    """In how many of the texts any two of the terms meet; whole numbers, exact as floats."""
+    place = np.full(1 << TERM_BITS, -1, np.int32)
+    place[frequent] = np.arange(len(frequent))
+    met = np.zeros((len(frequent), len(frequent)), np.float32)
+    for begin in range(0, len(texts), AT_ONCE):
+        held = np.zeros((len(texts[begin : begin + AT_ONCE]), len(frequent)), np.float32)
+        for row, found in zip(held, texts[begin:]):
+            there = place[found]
+            row[there[there >= 0]] = 1
+        met += held.T @ held
+    return met
+
+
 def choose_terms(index: list[np.ndarray], labels: np.ndarray, most: int = MODEL_TERMS) -> np.ndarray:
     """Terms that depend on the class by themselves or in pairs, the strongest first."""
-    size = 1 << TERM_BITS
-    toxic, clean = np.zeros(size), np.zeros(size)
+    toxic, clean = np.zeros((2, 1 << TERM_BITS), np.int32)
     for found, label in zip(index, labels):
         (toxic if label else clean)[found] += 1
+    known = np.flatnonzero(toxic + clean)
+    toxic, clean = toxic[known].astype(float), clean[known].astype(float)
     many_toxic, many_clean = max(labels.sum(), 1), max((1 - labels).sum(), 1)
     statistic = g_statistic(toxic, clean, many_toxic, many_clean)
     # Pairs: in how many texts of either class two terms meet, as products of tables of texts by terms.
     frequent = np.argsort(-(toxic + clean), kind="stable")[:PAIR_TERMS]
     frequent = frequent[(toxic + clean)[frequent] >= LEAST_TEXTS]
-    place = np.full(size, -1)
-    place[frequent] = np.arange(len(frequent))
-    met = []
-    for wanted in (1, 0):
-        texts = [place[found] for found, label in zip(index, labels) if label == wanted]
-        held = np.zeros((len(texts), len(frequent)), np.float32)
-        for row, found in zip(held, texts):
-            row[found[found >= 0]] = 1
-        met.append((held.T @ held).astype(np.float64))
-    pairs = g_statistic(*met, many_toxic, many_clean) - statistic[frequent][:, None] - statistic[frequent]
-    np.fill_diagonal(pairs, 0)
-    best = np.zeros(size)
-    best[frequent] = pairs.max(axis=1, initial=0)
+    own = statistic[frequent]
+    met = [_meetings([f for f, label in zip(index, labels) if label == wanted], known[frequent]) for wanted in (1, 0)]
+    best = np.zeros(len(known))
+    # A few rows of the table of pairs at a time: the statistic needs several tables of its size.
+    for begin in range(0, len(frequent), AT_ONCE):
+        rows = np.arange(begin, min(begin + AT_ONCE, len(frequent)))
+        both = [m[rows].astype(np.float64) for m in met]
+        pairs = g_statistic(*both, many_toxic, many_clean) - own[rows][:, None] - own
+        pairs[rows - begin, rows] = 0
+        best[frequent[rows]] = pairs.max(axis=1, initial=0)
     strength = np.where(statistic >= LEAST_G, statistic, 0) + np.where(best >= LEAST_PAIR_G, best, 0)
     order = np.argsort(-strength, kind="stable")[:most]
-    return order[strength[order] > 0]
+    return known[order[strength[order] > 0]]
 
 
 def train(

@@ -1,5 +1,6 @@
 """Classifiers: held-out accuracy, folds, and odd input."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -154,3 +155,34 @@ def test_odd_documents_are_scored(spark, documents, odd_rows, module, label):
     keep = module.keep_good if module is quality else module.drop_toxic
     assert keep(docs, model).columns == docs.columns
     assert keep(docs.limit(0), model).count() == 0
+
+
+def test_terms_are_chosen_in_bounded_memory():
+    """As from whole tables of pairs, of which some ten would be needed at once (32 MB each)."""
+    rng = np.random.default_rng(3)
+    labels = np.repeat([1, 0], [300, 500])
+    texts = [np.flatnonzero(rng.random(2300) < 0.1 + 0.1 * (np.arange(2300) % 97 == label)) * 400 for label in labels]
+    # Two terms that toxic texts hold both or neither of, and the others one of.
+    pairs = [([1, 2] if k % 2 else []) if label else [1 + k % 2] for k, label in enumerate(labels)]
+    texts = [np.append(found, np.array(more, int)) for found, more in zip(texts, pairs)]
+    tracemalloc.start()
+    chosen = toxicity.choose_terms(texts, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6
+    held = np.zeros((800, 1 << toxicity.TERM_BITS), np.uint8)
+    for row, found in zip(held, texts):
+        row[found] = 1
+    toxic, clean = held[:300].sum(axis=0, dtype=float), held[300:].sum(axis=0, dtype=float)
+    alone = toxicity.g_statistic(toxic, clean, 300, 500)
+    frequent = np.argsort(-(toxic + clean), kind="stable")[: toxicity.PAIR_TERMS]
+    frequent = frequent[(toxic + clean)[frequent] >= toxicity.LEAST_TEXTS]
+    some = held[:, frequent].astype(float)
+    pairs = toxicity.g_statistic(some[:300].T @ some[:300], some[300:].T @ some[300:], 300, 500)
+    pairs -= alone[frequent][:, None] + alone[frequent]
+    np.fill_diagonal(pairs, 0)
+    strength = np.where(alone >= toxicity.LEAST_G, alone, 0)
+    best = pairs.max(axis=1)
+    strength[frequent] += np.where(best >= toxicity.LEAST_PAIR_G, best, 0)
+    assert set(chosen) == set(np.flatnonzero(strength)) and (best >= toxicity.LEAST_PAIR_G).any()
+    assert (np.diff(strength[chosen]) <= 1e-9).all()
