@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorstream.session import new_folder
+from sensorstream.session import new_folder, settings
 
 FILE_BYTES = 128 * 1024 * 1024
+#: Tasks for each core among which the folders are listed.
+LISTED_AT_ONCE = 4
 
 
 def write_rolled(
@@ -66,4 +68,7 @@ def write_rolled(
 
 def read_rolled(spark: SparkSession, path: str) -> DataFrame:
     """What :func:`write_rolled` wrote: ``value`` and ``file``."""
-    return spark.read.schema("value string, file long").text(path)
+    # Spark would list each of up to ten thousand folders in a task of its own.
+    tasks = LISTED_AT_ONCE * spark.sparkContext.defaultParallelism
+    with settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}):
+        return spark.read.schema("value string, file long").text(path)

@@ -57,3 +57,20 @@ def test_names_of_the_caller(spark, folder):
     path = folder("rolled")
     write_rolled(frame, path, F.concat("value", F.col("at").cast("string")), ["file"], file_bytes=3)
     assert files(path) == [b"a9\n", b"b9\n"]
+
+
+def test_folders_are_listed_in_a_few_tasks(spark, folder):
+    """Not in a task for each folder."""
+    path = rolled(spark, folder, [(k, "a" * 9) for k in range(100)], 10)
+    context, group = spark.sparkContext, path
+    context.setJobGroup(group, "listing")
+    try:
+        frame = read_rolled(spark, path)
+    finally:
+        context.setJobGroup("others", "others")
+    status = context.statusTracker()
+    stages = [s for job in status.getJobIdsForGroup(group) for s in status.getJobInfo(job).stageIds]
+    tasks = [status.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= 4 * context.defaultParallelism < 100
+    assert {(r.file, r.value) for r in frame.collect()} == {(k, "a" * 9) for k in range(100)}
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
