@@ -430,3 +430,16 @@ def test_console_and_memory(spark, folder, log):
     )
     memory.awaitTermination(120)
     assert spark.table("mem").agg(F.sum("n")).first()[0] == 2400
+
+
+def test_revisions_are_sorted_once(spark, folder, capsys):
+    """Of three batches, with keys that are null and keys that only one batch has."""
+    path = folder()
+    rows = [(k or None, batch, f"{batch}-{k}", 7 * batch + k) for batch in range(3) for k in range(7)]
+    frame = spark.createDataFrame([*rows, (99, 1, "alone", -1)], "k int, batch_id long, text string, n long")
+    frame.repartition(5).write.parquet(path)
+    latest = latest_revisions(spark.read.parquet(path), ["k"])
+    latest.explain()
+    assert capsys.readouterr().out.count("Sort [") == 1
+    found = sorted(map(tuple, latest.collect()), key=str)
+    assert found == sorted([(k or None, f"2-{k}", 14 + k) for k in range(7)] + [(99, "alone", -1)], key=str)
