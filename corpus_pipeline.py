@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorstream.llm import quality, toxicity
-from sensorstream.llm.common import Scratch
+from sensorstream.llm.common import Scratch, files_for
 from sensorstream.llm.entries import packed, table
-from sensorstream.llm.exact import DigestIndex
+from sensorstream.llm.exact import DigestIndex, buckets_for
 from sensorstream.llm.simhash import near_duplicates
 from sensorstream.session import new_folder
 
@@ -32,21 +32,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each distinct text."""
-    index = DigestIndex(spark, new_folder(spark, "digest-index"), expected=docs.count())
+    many = docs.count()
+    buckets = min(buckets_for(spark, many), files_for(many))
+    index = DigestIndex(spark, new_folder(spark, "digest-index"), buckets)
     decided, names = index.add(docs)
     index.close()
-    return decided.where(F.col(names["kept"])).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return _no_wider(decided.where(F.col(names["kept"])), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates by SimHash."""
     grouped, names = near_duplicates(docs, size=3, radius=2)
-    return grouped.where(F.col(names["kept"])).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return _no_wider(grouped.where(F.col(names["kept"])), docs)
+
+
+def _no_wider(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of the documents, in no more partitions, and so files, than these came in."""
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns)).coalesce(max(docs.rdd.getNumPartitions(), 1))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens along the curve, as pieces of documents."""
-    return packed(docs)
+    return packed(docs, most_ranges=docs.rdd.getNumPartitions())
 
 
 STAGES = [

@@ -15,6 +15,8 @@ from sensorstream.session import new_folder, ship_library
 
 #: Rows per Arrow batch while whole texts pass through Python.
 TEXT_ROWS = "1000"
+#: Rows of a few numbers each that a file of a small written table holds, about.
+ROWS_PER_FILE = 25_000
 #: ASCII white space, as a class for regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -30,6 +32,11 @@ def fresh_name(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
+def files_for(rows: int) -> int:
+    """Files that a table of so many short rows needs; one at least."""
+    return max(1, -(-rows // ROWS_PER_FILE))
+
+
 class Scratch:
     """Tables written between steps, below the folder that all executors share.
 
@@ -45,8 +52,15 @@ class Scratch:
         self.written += 1
         return f"{self.root}/{self.written}"
 
-    def write(self, frame: DataFrame) -> DataFrame:
+    def write(self, frame: DataFrame, rows: int | None = None) -> DataFrame:
+        """The table as written. ``rows``: how many short rows it has at most, so that a small one takes few files.
+
+        For each file and its checksum, Hadoop's local file system starts a ``chmod`` beside the executor; until that
+        runs it counts as a second JVM, so thousands of tiny files cost more memory than what they hold.
+        """
         path = self.path()
+        if rows is not None:
+            frame = frame.coalesce(files_for(rows))
         frame.write.parquet(path)
         kept = self.spark.read.schema(frame.schema).parquet(path)
         kept.scratch_path = path

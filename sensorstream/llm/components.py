@@ -14,36 +14,41 @@ from pyspark.sql import functions as F
 from sensorstream.llm.common import Scratch
 
 
-def components(spark: SparkSession, links: DataFrame) -> DataFrame:
+def components(spark: SparkSession, links: DataFrame, most: int | None = None) -> DataFrame:
     """(node, root) for every node that ``links`` (a, b: bigint) name; root: the least reachable.
 
     Links may repeat, run either way or join a node with itself; null ends are ignored.
-    No links give no rows.
+    No links give no rows. ``most``: about how many links there are at most, if that is known. Tables are written in as
+    many files as their links need; a round at most doubles them.
     """
     scratch = Scratch(spark, "components")
     high, low = F.greatest("a", "b"), F.least("a", "b")
     now = scratch.write(
         links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
         .select(high.alias("a"), low.alias("b"))
-        .distinct()
+        .distinct(),
+        most,
     )
     seen = _digest(now)
     while seen[0]:
+        rows = 2 * seen[0]
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = scratch.write(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        least = scratch.write(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), rows)
         large = scratch.write(
             both.join(least.hint("merge"), "a")
             .where((F.col("b") > F.col("a")) & (F.col("b") != F.col("m")))
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .distinct()
+            .distinct(),
+            rows,
         )
         scratch.drop(now, least)
-        least = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")))
+        least = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")), rows)
         others = large.join(least.hint("merge"), "a").where(F.col("b") != F.col("m"))
         now = scratch.write(
             others.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
             .union(least.select("a", F.col("m").alias("b")))
-            .distinct()
+            .distinct(),
+            rows,
         )
         scratch.drop(large, least)
         before, seen = seen, _digest(now)

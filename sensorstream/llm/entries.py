@@ -124,9 +124,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, most_ranges: int | None = None) -> DataFrame:
     """Pieces of documents in sequences, with the checksum of their ids."""
-    pieces = pack_along_curve(docs, public_path(WORD_BPE), vocabulary=WORD_BPE_IDS, end_id=END_ID)
+    pieces = pack_along_curve(
+        docs, public_path(WORD_BPE), vocabulary=WORD_BPE_IDS, end_id=END_ID, most_ranges=most_ranges
+    )
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

@@ -96,6 +96,7 @@ def pack_along_curve(
     length: int = LENGTH,
     id_column: str = "doc_id",
     text: str = "text",
+    most_ranges: int | None = None,
 ) -> DataFrame:
     """Pieces of documents in sequences of at most ``length`` tokens.
 
@@ -107,7 +108,8 @@ def pack_along_curve(
 
     Texts are encoded once; the packed ids are written to the shared folder, dealt by ranges
     of key, and sorted there. There are as many ranges as the ids need at ``RANGE_BYTES`` each, and no fewer than
-    the session's shuffle has. Each task reads its range as a stream.
+    the session's shuffle has. Each task reads its range as a stream, or, to leave no more than ``most_ranges`` tasks, several
+    ranges one after the other; their sequences run on.
     """
     spark = docs.sparkSession
     for_texts(spark)
@@ -136,13 +138,13 @@ def pack_along_curve(
     ranges = -(-ids * bits // (8 * RANGE_BYTES))
     enough = ranges <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = placed.repartitionByRange(*order) if enough else placed.repartitionByRange(ranges, *order)
-    return (
-        dealt.sortWithinPartitions(*order)
-        .mapInArrow(
-            lambda batches: _sequences(batches, bits, length),
-            "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
-            "offset long, curve_key long, ids binary",
-        )
+    along = dealt.sortWithinPartitions(*order)
+    if most_ranges is not None:
+        along = along.coalesce(max(most_ranges, ranges, 1))
+    return along.mapInArrow(
+        lambda batches: _sequences(batches, bits, length),
+        "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
+        "offset long, curve_key long, ids binary",
     )
 
 

@@ -21,7 +21,7 @@ from pyspark.sql.types import DoubleType
 
 from sensorstream.llm.common import for_texts, fresh_name, with_arrow
 from sensorstream.llm.sampling import PER_CLASS, fold, labelled_sample
-from sensorstream.llm.words import TOKEN, Memo, hashed, numbered, sums
+from sensorstream.llm.words import TOKEN, Memo, hashed, held, numbered, sums
 
 #: log2 of the number of weights.
 WEIGHT_BITS = 18
@@ -92,13 +92,8 @@ class QualityModel:
         return np.concatenate(out)
 
 
-_memos: list[Memo] = []
-
-
 def _memo() -> Memo:
-    if not _memos:
-        _memos.append(Memo(_number))
-    return _memos[0]
+    return held("quality", lambda: Memo(_number))
 
 
 def _portions(texts: list[str]) -> list[int]:

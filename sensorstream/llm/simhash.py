@@ -108,9 +108,10 @@ def near_links(
     )
     entries = prints.select("fp", tables.alias("e")).select("fp", "e.table", "e.key")
     scratch = Scratch(spark, "simhash-tables")
+    rows = len(masks) * prints.count()
     sizes = entries.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n"))
     full = scratch.write(
-        entries.join(sizes.where("n > 1").hint("merge"), ["table", "key"])
+        entries.join(sizes.where("n > 1").hint("merge"), ["table", "key"]), rows
     )
     cold = full.where(F.col("n") <= most)
 
@@ -202,19 +203,20 @@ def near_duplicates(
     carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
     printed = with_fingerprint(docs, fp, size, text)
     prints = scratch.write(printed.select(*carried, fp, F.monotonically_increasing_id().alias(place)))
+    many = prints.count()
     first = F.struct(
         F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col(place).alias("at")
     )
-    distinct = scratch.write(prints.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")))
+    distinct = scratch.write(prints.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")), many)
     links = near_links(spark, distinct.select("fp"), radius, most=most)
     rooted = distinct.join(
-        components(spark, links).select(F.col("node").alias("fp"), "root"), "fp", "left"
+        components(spark, links, many).select(F.col("node").alias("fp"), "root"), "fp", "left"
     ).select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = scratch.write(rooted)
-    best = scratch.write(rooted.groupBy("root").agg(F.min("first").alias("best")))
+    rooted = scratch.write(rooted, many)
+    best = scratch.write(rooted.groupBy("root").agg(F.min("first").alias("best")), many)
     stays = fresh_name("best")
     groups = scratch.write(
-        rooted.join(best.hint("merge"), "root").select(F.col("fp").alias(fp), F.col("best").alias(stays))
+        rooted.join(best.hint("merge"), "root").select(F.col("fp").alias(fp), F.col("best").alias(stays)), many
     )
     grouped = prints.join(groups.hint("merge"), fp)
     out = [

@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from sensorstream.llm.words import held
+
 #: Words a worker keeps with their ids; beyond it, it starts afresh.
 KEPT_WORDS = 400_000
 #: Text handled at once, in bytes, so that memory does not follow the batch.
@@ -46,8 +48,6 @@ WORD_SPLIT = {
     "invert": True,
 }
 
-_workers: dict[tuple[str, int], "BatchTokenizer"] = {}
-
 
 def public_path(name: str) -> str:
     """Where a public vocabulary file lies on this machine."""
@@ -106,10 +106,7 @@ class BatchTokenizer:
     @classmethod
     def of_worker(cls, path: str, end_id: int) -> "BatchTokenizer":
         """One per Python worker: loading the vocabulary takes a while."""
-        key = (path, end_id)
-        if key not in _workers:
-            _workers[key] = cls(path, end_id)
-        return _workers[key]
+        return held(("tokenizer", path, end_id), lambda: cls(path, end_id))
 
     def _forget(self) -> None:
         self.slot: dict[str, int] = {}

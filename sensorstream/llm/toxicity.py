@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType
 
 from sensorstream.llm.common import for_texts, fresh_name, with_arrow
 from sensorstream.llm.sampling import PER_CLASS, fold, labelled_sample
-from sensorstream.llm.words import Memo, hashed
+from sensorstream.llm.words import Memo, hashed, held
 
 WORD = re.compile(r"\w+")
 #: Terms are hashed to so many bits.
@@ -237,15 +237,9 @@ def with_score(docs: DataFrame, model: ToxicityModel, name: str, text: str = "te
     return with_arrow(docs, [(name, DoubleType())], compute)
 
 
-_memos: dict[int, tuple[ToxicityModel, Memo]] = {}
-
-
 def _memo_for(model: ToxicityModel) -> Memo:
-    """The worker's memo for this model; that of the model before goes."""
-    if id(model) not in _memos:
-        _memos.clear()
-        _memos[id(model)] = (model, Memo(model.rows_of))
-    return _memos[id(model)][1]
+    """The worker's memo for this model, which its memo keeps alive; that of the model before goes."""
+    return held(("toxicity", id(model)), lambda: Memo(model.rows_of))
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Hashable
 from itertools import chain
 
 import numpy as np
@@ -12,7 +12,17 @@ import numpy as np
 #: A word, or a run of marks; white space parts them.
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Words a worker keeps with what was computed for them.
-KEPT = 500_000
+KEPT = 200_000
+
+_held: list[tuple[Hashable, object]] = []
+
+
+def held(owner: Hashable, make: Callable[[], object]) -> object:
+    """What this worker keeps for ``owner``, made when it is new. It keeps one such thing: that of the operator before goes."""
+    if not _held or _held[0][0] != owner:
+        _held.clear()
+        _held.append((owner, make()))
+    return _held[0][1]
 
 
 class Memo(dict):

@@ -5,12 +5,13 @@ import re
 from collections import defaultdict
 
 import corpus_pipeline
-from sensorstream.llm import quality, toxicity
+from sensorstream.llm import quality, toxicity, words
 from sensorstream.llm.common import Scratch
-from sensorstream.llm.entries import WORD_BPE
+from sensorstream.llm.entries import WORD_BPE, packed
 from sensorstream.llm.simhash import fingerprint
-from sensorstream.llm.tokenizing import public_path
+from sensorstream.llm.tokenizing import BatchTokenizer, public_path
 from sensorstream.llm.words import Memo
+from sensorstream.session import settings
 from tokenizers import Tokenizer
 
 from test_llm_near import roots_of
@@ -73,3 +74,44 @@ def test_stages_take_odd_documents(spark, documents, odd_rows):
             assert out.count() <= len(rows)
         last = corpus_pipeline.pack(spark, docs, SF)
         assert last.count() >= len(rows)
+
+
+def test_small_tables_take_few_files_whatever_the_shuffle(spark, documents, monkeypatch):
+    """Each file starts a process beside the executor; a shuffle of many partitions made thousands."""
+    rows = [(k, f"some words of text {k // 2} that a near copy shares " * 5 + "x" * (k % 2)) for k in range(60)]
+    docs = Scratch(spark, "few").write(documents(rows).coalesce(2))
+    folder, plain, written = spark._jvm.org.apache.hadoop.fs.Path, Scratch.path, []
+    monkeypatch.setattr(Scratch, "path", lambda self: written.append(plain(self)) or written[-1])
+    monkeypatch.setattr(Scratch, "drop", lambda self, *frames: None)
+    many = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with settings(spark, many):
+        for _, stage in corpus_pipeline.STAGES[2:]:
+            out = stage(spark, docs, SF)
+            assert out.rdd.getNumPartitions() <= 2
+            assert out.select("doc_id").distinct().count() >= 1
+    assert len(written) > 10
+    for path in written:
+        files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder(path))
+        assert sum(f.getPath().getName().startswith("part-") for f in files) <= 2, path
+
+
+def test_packing_in_fewer_tasks_than_ranges_is_whole(spark, documents, odd_rows):
+    library = Tokenizer.from_file(public_path(WORD_BPE))
+    docs = Scratch(spark, "ranges").write(documents([r for r in odd_rows if r[0] not in (6, None)]).repartition(3))
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        for many in (1, 2):
+            pieces = packed(docs, most_ranges=many)
+            assert pieces.rdd.getNumPartitions() <= many
+            check_packed([tuple(r) for r in pieces.collect()], texts, library)
+
+
+def test_a_worker_keeps_the_words_of_one_operator():
+    memo = quality._memo()
+    assert quality._memo() is memo
+    model = toxicity.ToxicityModel({}, *[quality.np.zeros((1, 4))] * 2, 0.0)
+    assert toxicity._memo_for(model) is toxicity._memo_for(model)
+    encoder = BatchTokenizer.of_worker(public_path(WORD_BPE), 1)
+    assert BatchTokenizer.of_worker(public_path(WORD_BPE), 1) is encoder
+    assert [kept for _, kept in words._held] == [encoder]
+    assert quality._memo() is not memo
