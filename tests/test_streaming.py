@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorstream.functions.eventtime import with_event_time
-from sensorstream.operators.windows import overheat_stats
+from sensorstream.operators.windows import overheat_stats, state_partitions
 from sensorstream.plans.archive import start_archive
 from sensorstream.functions.codec import decode
 from sensorstream.operators.quality import good_readings
@@ -443,3 +443,50 @@ def test_revisions_are_sorted_once(spark, folder, capsys):
     assert capsys.readouterr().out.count("Sort [") == 1
     found = sorted(map(tuple, latest.collect()), key=str)
     assert found == sorted([(k or None, f"2-{k}", 14 + k) for k in range(7)] + [(99, "alone", -1)], key=str)
+
+
+def state_files(checkpoint):
+    """Endings of the state's files in a checkpoint, and its number of partitions."""
+    kinds = {f.rsplit(".", 1)[-1] for _, _, fs in os.walk(f"{checkpoint}/state") for f in fs if not f.startswith(".")}
+    return kinds & {"zip", "changelog"}, len([d for d in os.listdir(f"{checkpoint}/state/0") if d.isdigit()])
+
+
+def test_a_run_over_what_is_there_keeps_its_state(spark, folder):
+    """Not its changes, which the next run would make again; one that goes on keeps those. Either takes up the other's."""
+    path, out, checkpoint = folder("slices"), folder("out"), folder("cp")
+    rng = range(400)
+    rows = [(k % 7, (ORIGIN + timedelta(seconds=k // 3)), float(k % 50)) for k in rng]
+    kinds = []
+    for part, every in enumerate([None, "1 second", None, None]):
+        frame = spark.createDataFrame(rows[part * 100 : part * 100 + 100], "sensor_id int, ts timestamp, value double")
+        frame.coalesce(1).write.mode("append").parquet(path)
+        readings = with_event_time(spark.readStream.schema(frame.schema).parquet(path), F.col("ts"))
+        stats = overheat_stats(readings, decimals=2)
+        query = start_batches(
+            stats, batch_store(out), name="turns", checkpoint=checkpoint, mode="update", every=every, partitions=5 + part
+        )
+        if every:
+            query.processAllAvailable()
+            query.stop()
+        else:
+            query.awaitTermination(120)
+        kinds.append(state_files(checkpoint))
+    assert kinds[0] == ({"zip"}, 5) and kinds[-1] == ({"zip", "changelog"}, 5)
+    whole = spark.createDataFrame(rows, "sensor_id int, event_time timestamp, value double")
+    assert same(latest_revisions(read_batches(spark, out, stats.schema), KEYS), overheat_stats(whole, decimals=2))
+
+
+def test_state_goes_by_the_windows(spark, folder, log):
+    """A session's own number of partitions is taken where it is greater."""
+    assert state_partitions(0, "10 hours", "1 hour") == 1
+    assert state_partitions(36_000_000, "10 hours", "1 hour") == 180
+    assert state_partitions(1_000_001, "5 hours", "2 hours") == 2
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 4
+    for partitions, wanted in ((None, 4), (2, 4), (9, 9)):
+        checkpoint = folder("cp")
+        stats = overheat(read_file_log(spark, log, streaming=True))
+        start_batches(
+            stats, batch_store(folder("out")), name="parts", checkpoint=checkpoint, partitions=partitions
+        ).awaitTermination(120)
+        assert state_files(checkpoint)[1] == wanted
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 4
