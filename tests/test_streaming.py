@@ -26,6 +26,7 @@ from sensorstream.schemas import ENVELOPE, READING
 from sensorstream.sources.collections import find
 from sensorstream.sources.files import read_file_log, with_log_position, write_file_log
 from sensorstream.streaming.lateness import ALLOW_MULTIPLE, late_rows, late_windows, strict_lateness
+from sensorstream.streaming import sinks
 from sensorstream.streaming.runner import start_batches, start_console, start_files
 from sensorstream.streaming.sinks import batch_store, latest_revisions, read_batches, read_changes
 
@@ -490,3 +491,19 @@ def test_state_goes_by_the_windows(spark, folder, log):
         ).awaitTermination(120)
         assert state_files(checkpoint)[1] == wanted
     assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 4
+
+
+def test_revisions_by_their_number(spark, folder, monkeypatch):
+    """Tasks go by the rows, which a hash before the keys orders by one number; equal hashes would not mix keys."""
+    path = folder()
+    rows = [(k % 40, None if k % 40 == 3 else k % 11, k // 440, f"{k}") for k in range(1320)]
+    spark.createDataFrame(rows, "a int, b int, batch_id long, text string").write.parquet(path)
+    newest = {(a, b): text for a, b, batch, text in sorted(rows, key=lambda r: (r[2], int(r[3])))}
+    monkeypatch.setattr(sinks, "REVISIONS_PER_TASK", 60)
+    latest = latest_revisions(spark.read.parquet(path).dropDuplicates(["a", "b", "batch_id"]), ["a", "b"])
+    assert latest.rdd.getNumPartitions() == 22
+    assert {(r.a, r.b) for r in latest.collect()} == set(newest) and latest.columns == ["a", "b", "text"]
+    assert "xxhash64" in latest._jdf.queryExecution().toString().split("Physical Plan")[1]
+    monkeypatch.setattr(sinks.F, "xxhash64", lambda *_: F.lit(7).cast("bigint"))
+    again = latest_revisions(spark.read.parquet(path).where(F.col("b").isNotNull()), ["a", "b"])
+    assert sorted(map(tuple, again.collect())) == sorted((a, b, t) for (a, b), t in newest.items() if b is not None)
